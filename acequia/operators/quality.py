@@ -86,8 +86,8 @@ def null_profile(df: DataFrame, table: str) -> DataFrame:
 
 def check(name: str, table: str, failures: DataFrame) -> DataFrame:
     """(check, table, failures, passed) from a one-row frame whose only column is the failure count."""
-    count = F.col(failures.columns[0]).cast("long")
-    return failures.select(
+    count = F.col("failures").cast("long")
+    return failures.toDF("failures").select(
         F.lit(name).alias("check"), F.lit(table).alias("table"), count.alias("failures"),
         (count == 0).alias("passed"),
     )
