@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from acequia.functions.text import same_text, to_text
 from acequia.functions.values import OPEN_END, as_date
 from acequia.operators.keys import assign_ids, max_id
-from acequia.operators.skew import HOT_ROWS, lookup, split_hot, with_previous, with_successor
+from acequia.operators.skew import HOT_ROWS, lookup, measure_hot, split_hot, with_previous, with_successor
 
 
 def scd2(
@@ -22,7 +22,7 @@ def scd2(
     order_col: str,
     load_date: dt.date | str,
     id_col: str,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Apply a batch to a versioned dimension; returns its new snapshot.
 
@@ -31,7 +31,8 @@ def scd2(
     differs from the row before it, ignoring case and outer spaces, and a version
     with a successor is closed at the load date (half-open interval). Repeated
     batch rows count once, at their first position. Rows without key are ignored
-    here; see `split_valid`.
+    here; see `split_valid`. Keys with more than `hot_rows` batch rows are counted
+    beforehand and folded in slices; None skips the count.
 
     Shuffles the current versions and the batch once, closed history not at all.
     """
@@ -51,12 +52,12 @@ def scd2(
     )
     live = current.filter("is_current").select(*columns, F.lit(None).cast(rows.schema["_ord"].dataType).alias("_ord"))
     measured = batch.select(to_text(F.col(key)).alias(key), F.col(order_col).alias("_ord"))
-    fold = split_hot(live.unionByName(rows), key, "_ord", hot_rows, source=measured)
-    fold = with_previous(fold, key, "_ord", tracked)
+    hot = measure_hot(measured, key, "_ord", hot_rows)
+    fold = with_previous(split_hot(live.unionByName(rows), key, "_ord", hot), key, "_ord", tracked, hot)
     unchanged = F.col("_prev").isNotNull()
     for c in tracked:
         unchanged = unchanged & same_text(F.col(c), F.col(f"_prev.{c}"))
-    versions = with_successor(fold.filter(~unchanged), key, "_ord").select(
+    versions = with_successor(fold.filter(~unchanged), key, "_ord", hot).select(
         id_col, key, *tracked, "valid_from",
         F.when(F.col("_followed"), day).otherwise(F.col("valid_to")).alias("valid_to"),
         (~F.col("_followed")).alias("is_current"),
@@ -90,13 +91,14 @@ def as_of(fact: DataFrame, dim: DataFrame, key: str, date_col: str, id_col: str)
     )
 
 
-def history_check(dim: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def history_check(dim: DataFrame, key: str, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Per key: versions, current versions, overlapping neighbours and a verdict.
 
-    Versions sharing a start are ordered by their end.
+    Versions sharing a start are ordered by their end. Hot keys are checked in slices.
     """
     order = ["valid_from", "valid_to"]
-    chained = with_previous(split_hot(dim, key, order, hot_rows), key, order, ["valid_to"])
+    hot = measure_hot(dim, key, order, hot_rows)
+    chained = with_previous(split_hot(dim, key, order, hot), key, order, ["valid_to"], hot)
     return (
         chained.groupBy(key)
         .agg(

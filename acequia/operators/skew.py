@@ -33,77 +33,85 @@ def lookup(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str
     )
 
 
-def hot_keys(df: DataFrame, keys: str | Sequence[str], min_rows: int = HOT_ROWS, top: int = HOT_KEYS) -> DataFrame:
-    """The largest keys above `min_rows`, at most `top` of them.
-
-    Only the balance of later work depends on this list: a key missing from it
-    is still processed, in one group of at most 1/top of all rows.
-    """
-    keys = names(keys)
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > min_rows)
-        .orderBy(F.desc("_rows"), *keys)
-        .limit(top)
-    )
-
-
-def split_hot(
+def measure_hot(
     df: DataFrame,
     keys: str | Sequence[str],
     order: str | Sequence[str],
-    min_rows: int = HOT_ROWS,
+    min_rows: int | None = HOT_ROWS,
+    top: int = HOT_KEYS,
     chunks: int = CHUNKS,
-    source: DataFrame | None = None,
-) -> DataFrame:
-    """Add `_chunk`: ranges of the first order column for hot keys, null for all others.
-
-    Window functions over (keys, _chunk) then never see more than a slice of a hot
-    key. Slices follow each other in order, null orders coming first. `source`
-    may name a cheaper frame with the same keys and order column to measure.
+) -> DataFrame | None:
+    """Keys with more than `min_rows` rows and cut points of their order, or None.
+
+    Runs one count per key (combined map-side), so that the usual input without hot
+    keys gets the plain plan. The result has at most `top` rows of `chunks` values
+    and only steers the balance of later work: a key missing from it is still
+    processed, in one group of at most 1/top of all rows. `min_rows=None` skips
+    the count. The first order column must be a number, date or timestamp.
     """
-    keys, order = names(keys), names(order)[0]
-    kind = df.schema[order].dataType
+    keys, first = names(keys), names(order)[0]
+    kind = df.schema[first].dataType
     if not isinstance(kind, (NumericType, DateType, TimestampType, TimestampNTZType)):
-        raise TypeError(f"order column {order!r} must be a number, date or timestamp, not {kind.simpleString()}")
-    measured = (source if source is not None else df).select(*keys, order)
+        raise TypeError(f"order column {first!r} must be a number, date or timestamp, not {kind.simpleString()}")
+    if min_rows is None:
+        return None
+    largest = (
+        df.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .filter(F.col("_rows") > min_rows)
+        .orderBy(F.desc("_rows"), *keys)
+        .select(*keys)
+    )
+    rows = largest.limit(top).collect()
+    if not rows:
+        return None
+    session = df.sparkSession
+    hot = session.createDataFrame(rows, df.select(*keys).schema)
     cuts = [i / chunks for i in range(1, chunks)]
     bounds = (
-        measured.join(F.broadcast(hot_keys(measured, keys, min_rows).select(*keys)), keys, "left_semi")
+        df.select(*keys, first).join(F.broadcast(hot), keys, "left_semi")
         .groupBy(*keys)
-        .agg(F.percentile_approx(order, cuts).alias("_bounds"))
+        .agg(F.percentile_approx(first, cuts).alias("_bounds"))
     )
-    # at most HOT_KEYS rows of `chunks` values
+    return session.createDataFrame(bounds.collect(), bounds.schema)
+
+
+def split_hot(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str], hot: DataFrame | None) -> DataFrame:
+    """Add `_chunk`: consecutive ranges of the first order column for hot keys, null for others.
+
+    Windows over (keys, _chunk) then see a slice of a hot key at a time. Null orders
+    fall into the first slice. Takes the result of `measure_hot`.
+    """
+    if hot is None:
+        return df
+    first = F.col(names(order)[0])
+    within = F.size(F.filter("_bounds", lambda b: b <= first))
     return (
-        df.join(F.broadcast(bounds), keys, "left")
-        .withColumn(
-            "_chunk",
-            F.when(
-                F.col("_bounds").isNotNull(),
-                F.size(F.filter("_bounds", lambda b: b <= F.col(order))),
-            ),
-        )
+        df.join(F.broadcast(hot), names(keys), "left")
+        .withColumn("_chunk", F.when(F.col("_bounds").isNotNull(), within))
         .drop("_bounds")
     )
 
 
-def _in_order(keys: Sequence[str], order: Sequence[str]):
-    return Window.partitionBy(*keys, "_chunk").orderBy(*[F.col(c).asc_nulls_first() for c in order])
+def _in_order(keys: Sequence[str], order: Sequence[str], hot: DataFrame | None):
+    groups = keys if hot is None else [*keys, "_chunk"]
+    return Window.partitionBy(*groups).orderBy(*[F.col(c).asc_nulls_first() for c in order])
 
 
 def with_previous(
-    df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str], cols: Sequence[str]
+    df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str], cols: Sequence[str], hot: DataFrame | None
 ) -> DataFrame:
     """Add struct `_prev` of the columns in the preceding row of the key, null in its first row.
 
-    Expects `_chunk`. Inside a slice this is `lag`; the first row of a later slice
-    takes the last row of the slice before it, from a table of one row per hot key
-    and slice.
+    Expects the `_chunk` of `split_hot`. Inside a slice this is `lag`; the first row
+    of a later slice takes the last row of the slice before it, from a table of one
+    row per hot key and slice.
     """
     keys, order = names(keys), names(order)
-    here = _in_order(keys, order)
     row = F.struct(*cols)
+    out = df.withColumn("_prev", F.lag(row).over(_in_order(keys, order, hot)))
+    if hot is None:
+        return out
     ends = (
         df.filter(F.col("_chunk").isNotNull())
         .groupBy(*keys, "_chunk")
@@ -113,25 +121,28 @@ def with_previous(
         .filter(F.col("_before").isNotNull())
     )
     return (
-        df.withColumn("_prev", F.lag(row).over(here))
-        .join(F.broadcast(ends), [*keys, "_chunk"], "left")
+        out.join(F.broadcast(ends), [*keys, "_chunk"], "left")
         .withColumn("_prev", F.coalesce("_prev", "_before"))
         .drop("_before")
     )
 
 
-def with_successor(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str]) -> DataFrame:
-    """Add boolean `_followed`: the key has a later row. Expects `_chunk`."""
+def with_successor(
+    df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str], hot: DataFrame | None
+) -> DataFrame:
+    """Add boolean `_followed`: the key has a later row. Expects the `_chunk` of `split_hot`."""
     keys, order = names(keys), names(order)
-    here = _in_order(keys, order)
+    out = df.withColumn("_followed", F.lead(F.lit(True), 1, False).over(_in_order(keys, order, hot)))
+    if hot is None:
+        return out
     last = (
         df.filter(F.col("_chunk").isNotNull())
         .groupBy(*keys)
         .agg(F.max("_chunk").alias("_last"))
     )
+    later = F.coalesce(F.col("_chunk") < F.col("_last"), F.lit(False))
     return (
-        df.withColumn("_followed", F.lead(F.lit(True), 1, False).over(here))
-        .join(F.broadcast(last), keys, "left")
-        .withColumn("_followed", F.col("_followed") | F.coalesce(F.col("_chunk") < F.col("_last"), F.lit(False)))
+        out.join(F.broadcast(last), keys, "left")
+        .withColumn("_followed", F.col("_followed") | later)
         .drop("_last")
     )
