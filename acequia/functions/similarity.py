@@ -81,9 +81,9 @@ def lcs_lengths(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
-@F.pandas_udf(IntegerType())
-def _lcs(left: pd.Series, right: pd.Series) -> pd.Series:
-    return lcs_lengths(left, right)
+# Declared non-deterministic so that the optimizer neither repeats it per use nor
+# moves a filter on its result below the step that makes pairs distinct.
+_lcs = F.pandas_udf(lcs_lengths, IntegerType()).asNondeterministic()
 
 
 def lcs_length(a: Column, b: Column) -> Column:

@@ -21,6 +21,7 @@ DEMO_TOKEN = "DEMO"
 
 # `(?U)`: word boundaries, digits and spaces by their Unicode definition.
 _UNICODE = "(?U)"
+_NOT_ASCII = r"[^\x00-\x7F]"
 _EDGE_SPACE = (_UNICODE + r"^\s+", _UNICODE + r"\s+$")
 
 
@@ -65,10 +66,9 @@ def accent_tables() -> tuple[dict[str, str], dict[str, str]]:
     return single, several
 
 
-def strip_accents(c: Column) -> Column:
-    """Compatibility-decompose and drop combining marks; ASCII rows pass untouched."""
+def _fold(c: Column) -> Column:
     single, several = accent_tables()
-    # translate() deletes the characters that have no counterpart in `replace`
+    # translate() deletes the characters that have no counterpart in its third argument
     kept = {k: v for k, v in single.items() if v}
     gone = [k for k, v in single.items() if not v]
     one = F.translate(c, "".join(kept) + "".join(gone), "".join(kept.values()))
@@ -76,37 +76,43 @@ def strip_accents(c: Column) -> Column:
     many = F.array_join(
         F.transform(F.split(one, ""), lambda x: F.coalesce(F.try_element_at(expand, x), x)), ""
     )
-    has_many = one.rlike("[" + "".join(several) + "]")
-    return F.when(c.rlike(r"[^\x00-\x7F]"), F.when(has_many, many).otherwise(one)).otherwise(c)
-
+    return F.when(F.translate(one, "".join(several), "") != one, many).otherwise(one)
 
-def singular_units(c: Column) -> Column:
-    return F.regexp_replace(c, rf"{_UNICODE}\b({'|'.join(PLURAL_UNITS)})S\b", "$1")
 
-
-def drop_units(c: Column) -> Column:
-    return F.regexp_replace(c, rf"{_UNICODE}\b({'|'.join(DROPPED_UNITS)})\b", "")
+def strip_accents(c: Column) -> Column:
+    """Compatibility-decompose and drop combining marks; ASCII rows pass untouched."""
+    return F.when(c.rlike(_NOT_ASCII), _fold(c)).otherwise(c)
 
 
-def glue_units(c: Column) -> Column:
-    return F.regexp_replace(c, rf"{_UNICODE}\b(\d+)\s*({'|'.join(GLUED_UNITS)})\b", "$1$2")
+def _words(*words: str) -> str:
+    return rf"\b(?:{'|'.join(words)})\b"
 
 
-def drop_stop_words(c: Column) -> Column:
-    return F.regexp_replace(c, rf"{_UNICODE}\b({'|'.join(STOP_WORDS)})\b", "")
+# Fixed values: (pattern, replacement) steps of the normaliser, in order. The last
+# turns every run of other characters, spaces included, into one space.
+_STEPS = (
+    (rf"\b({'|'.join(PLURAL_UNITS)})S\b", "$1"),
+    (_words(*DROPPED_UNITS), ""),
+    (rf"\b(\d+)[\s\x1c-\x1f]*({'|'.join(GLUED_UNITS)})\b", "$1$2"),
+    (_words(*STOP_WORDS), ""),
+    ("[^A-Z0-9]+", " "),
+)
 
 
-def alnum_only(c: Column) -> Column:
-    """Every run of other characters becomes one space (this also collapses spaces)."""
-    return F.regexp_replace(c, "[^A-Z0-9]+", " ")
+def _apply_steps(c: Column, flag: str) -> Column:
+    for pattern, replacement in _STEPS:
+        c = F.regexp_replace(c, flag + pattern, replacement)
+    return F.trim(c)
 
 
 def normalize_text(c: Column) -> Column:
-    """Comparable form of a free-text name; null becomes the empty string."""
+    """Comparable form of a free-text name; null becomes the empty string.
+
+    Unicode word boundaries cost several times the ASCII ones, so only rows that
+    still hold other characters after folding pay for them.
+    """
     text = strip_accents(F.upper(F.coalesce(c.cast("string"), F.lit(""))))
-    for step in (singular_units, drop_units, glue_units, drop_stop_words, alnum_only):
-        text = step(text)
-    return F.trim(text)
+    return F.when(text.rlike(_NOT_ASCII), _apply_steps(text, _UNICODE)).otherwise(_apply_steps(text, ""))
 
 
 def trim_text(c: Column) -> Column:

@@ -15,16 +15,24 @@ from pyspark.sql import functions as F
 from acequia.functions.similarity import lcs_length, ratio
 from acequia.functions.text import clean_code, contains_all, first_words, normalize_text, sorted_words
 from acequia.operators.cleaning import keep_filled
-from acequia.operators.skew import lookup
+from acequia.operators.skew import lookup, widen
 
 THRESHOLD = 85
 # Below this the segments of the fuzzy search would become empty.
 LOWEST_THRESHOLD = 67
 FIRST_WORDS = 4
 
-# Gram lengths of the partial search: a word of at least n letters is found by a
-# piece of exactly n letters.
-GRAMS = (5, 3, 2, 1)
+# Piece lengths of the partial search; the short ones serve entries without longer words.
+LONG_GRAMS = (5, 3)
+SHORT_GRAMS = (2, 1)
+
+# Largest catalogue sent whole to every executor.
+BROADCAST_BYTES = 64 * 1024 * 1024
+
+# Letters of normalised names, for the letter-count signature of the fuzzy search.
+ALPHABET = " 0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_COUNTED = 3  # occurrences of a letter that are told apart
+_PER_WORD = 63 // _COUNTED
 
 
 def build_catalogue(sources: Sequence[tuple[DataFrame, str, str, str]]) -> DataFrame:
@@ -71,12 +79,30 @@ def _pieces(text: Column, n: int) -> Column:
     ).otherwise(F.array().cast("array<string>"))
 
 
-def _gram_length(words: Column) -> Column:
-    longest = F.array_max(F.transform(words, lambda w: F.length(w)))
-    pick = F.lit(GRAMS[-1])
-    for n in reversed(GRAMS[:-1]):
-        pick = F.when(longest >= n, F.lit(n)).otherwise(pick)
-    return pick
+def _search_pieces(words: Column) -> Column:
+    """Pieces by which a word set may be found: of the longest kinds its words allow."""
+
+    def of(n: int) -> Column:
+        return F.flatten(F.transform(words, lambda w: _pieces(w, n)))
+
+    long_pieces = F.concat(*[of(n) for n in LONG_GRAMS])
+    pick = of(SHORT_GRAMS[-1])
+    for n in reversed(SHORT_GRAMS[:-1]):
+        found = of(n)
+        pick = F.when(F.size(found) > 0, found).otherwise(pick)
+    return F.array_distinct(F.when(F.size(long_pieces) > 0, long_pieces).otherwise(pick))
+
+
+def _signature(pieces: str) -> list[Column]:
+    """Two 64-bit words (`_lo`, `_hi`) with one bit for each piece of an array column, by hash.
+
+    If all pieces of A are among those of B, then so are A's bits among B's.
+    """
+    mask = (
+        "aggregate({p}, 0L, (m, g) -> m | if(pmod(xxhash64(g), 2) = {half}, "
+        "shiftleft(1L, cast(pmod(xxhash64(g) div 2, 64) as int)), 0L))"
+    )
+    return [F.expr(mask.format(p=pieces, half=h)).alias(n) for h, n in ((0, "_lo"), (1, "_hi"))]
 
 
 def word_patterns(catalogue: DataFrame, n_words: int = FIRST_WORDS) -> DataFrame:
@@ -89,35 +115,51 @@ def word_patterns(catalogue: DataFrame, n_words: int = FIRST_WORDS) -> DataFrame
         catalogue.withColumn("words", F.array_sort(F.array_distinct(first_words(F.col("name"), n_words))))
         .groupBy("words")
         .agg(F.min_by("code", "pos").alias("code"), F.min("pos").alias("pos"))
-        .withColumn("_n", _gram_length(F.col("words")))
     )
-    pieces = F.lit(None).cast("array<string>")
-    for n in GRAMS:
-        found = F.flatten(F.transform("words", lambda w, n=n: _pieces(w, n)))
-        pieces = F.when(F.col("_n") == n, found).otherwise(pieces)
-    spread = patterns.select("words", "code", "pos", F.explode(F.array_distinct(pieces)).alias("gram"))
+    spread = patterns.select("words", "code", "pos", F.explode(_search_pieces(F.col("words"))).alias("gram"))
     shared = spread.groupBy("gram").agg(F.count(F.lit(1)).alias("_shared"))
+    rarest = F.struct(F.col("_shared"), -F.length("gram"), F.col("gram"))
     return (
         lookup(spread, shared, "gram")
         .groupBy("words", "code", "pos")
-        .agg(F.min_by("gram", F.struct("_shared", "gram")).alias("gram"))
+        .agg(F.min_by("gram", rarest).alias("gram"))
     )
 
 
+def _bytes(catalogue: DataFrame) -> int:
+    """Upper bound for the size of the catalogue's patterns."""
+    return catalogue.agg(F.sum(4 * F.length("name") + 200)).first()[0] or 0
+
+
 def match_partial(names: DataFrame, catalogue: DataFrame, n_words: int = FIRST_WORDS) -> DataFrame:
     """(name, code) where a name contains all of an entry's first words; first entry wins.
 
     Words count as substrings. Every pattern is filed under one gram that a matching
-    name must contain; the containment test runs inside the join, so that only true
-    matches leave it, and they shrink to one row per name and task before the shuffle.
+    name must contain. Tests run inside the join, so that only true matches leave it,
+    and they shrink to one row per name and task before the shuffle: first bit
+    signatures of all letter pairs, then containment itself.
     """
-    grams = F.flatten(F.array(*[_pieces(F.col("name"), n) for n in GRAMS]))
-    spread = names.select("name", F.explode(F.array_distinct(grams)).alias("gram"))
-    patterns = word_patterns(catalogue, n_words)
-    hit = (F.col("s.gram") == F.col("p.gram")) & contains_all(F.col("s.name"), F.col("p.words"))
+    grams = F.flatten(F.array(*[_pieces(F.col("name"), n) for n in (*LONG_GRAMS, *SHORT_GRAMS)]))
+    spread = (
+        widen(names.select("name"), "name")
+        .withColumn("_pairs", _pieces(F.col("name"), 2))
+        .select("name", *_signature("_pairs"), F.explode(F.array_distinct(grams)).alias("gram"))
+    )
+    patterns = (
+        word_patterns(catalogue, n_words)
+        .withColumn("_pairs", F.flatten(F.transform("words", lambda w: _pieces(w, 2))))
+        .select("words", "code", "pos", "gram", *_signature("_pairs"))
+    )
+    covered = F.lit(True)
+    for c in ("_lo", "_hi"):
+        covered = covered & (F.col(f"p.{c}").bitwiseAND(F.bitwise_not(F.col(f"s.{c}"))) == 0)
+    hit = (F.col("s.gram") == F.col("p.gram")) & covered & contains_all(F.col("s.name"), F.col("p.words"))
+    # A small catalogue spares the shuffle of all pieces of all names. Spark cannot
+    # judge that itself: it does not see how much the pieces outgrow the names.
+    how = "broadcast" if _bytes(catalogue) <= BROADCAST_BYTES else "merge"
     return (
         spread.alias("s")
-        .join(patterns.alias("p"), hit)
+        .join(patterns.hint(how).alias("p"), hit)
         .groupBy("name")
         .agg(F.min_by("code", "pos").alias("code"))
     )
@@ -136,18 +178,35 @@ def _edits(t: int) -> Column:
     return F.expr(f"((100 - {t}) * (la + lb)) div 100")
 
 
+def _letters(text: str) -> list[Column]:
+    """Two 64-bit words (`_lo`, `_hi`) with a bit for each of the first occurrences of a letter.
+
+    One insertion or deletion changes at most one bit.
+    """
+    out = []
+    for at, name in ((0, "_lo"), (_PER_WORD, "_hi")):
+        bits = [
+            f"shiftleft(shiftleft(1L, least(length({text}) - length(translate({text}, '{ch}', '')), {_COUNTED})) - 1L,"
+            f" {_COUNTED * i})"
+            for i, ch in enumerate(ALPHABET[at: at + _PER_WORD])
+        ]
+        out.append(F.expr(" | ".join(bits)).alias(name))
+    return out
+
+
 def request_segments(names: DataFrame, t: int) -> DataFrame:
-    """(name, text, lb, i, seg): the word-sorted name cut into even segments."""
-    cut = names.select("name", sorted_words(F.col("name")).alias("text")).withColumn("lb", F.length("text"))
+    """(name, text, lb, i, seg) and letter bits: the word-sorted name cut into even segments."""
+    sorted_names = names.select("name", sorted_words(F.col("name")).alias("text"))
+    cut = sorted_names.select("name", "text", F.length("text").alias("lb"), *_letters("text"))
     numbered = cut.withColumn("_k", _segments("lb", t)).withColumn(
         "i", F.explode(F.expr("sequence(0, _k - 1)"))
     )
     seg = F.expr("substring(text, i * lb div _k + 1, (i + 1) * lb div _k - i * lb div _k)")
-    return numbered.withColumn("seg", seg).select("name", "text", "lb", "i", "seg")
+    return numbered.withColumn("seg", seg).select("name", "text", "lb", "i", "seg", "_lo", "_hi")
 
 
 def entry_segments(catalogue: DataFrame, t: int) -> DataFrame:
-    """(entry, code, pos, lb, i, seg): where a similar request's segments may lie.
+    """(entry, code, pos, la, lb, i, seg) and letter bits: where a similar request's segments may lie.
 
     If a request of length lb becomes the entry by d <= tau insertions and
     deletions, take the first segment i with at most i edits up to and including
@@ -155,11 +214,14 @@ def entry_segments(catalogue: DataFrame, t: int) -> DataFrame:
     tau - i follow. So it stands in the entry shifted by s, with |s| <= i, s - i even and
     |la - lb - s| <= tau - i. One of the first tau + 1 segments qualifies, hence no match is lost.
     """
-    entries = (
+    distinct = (
         catalogue.withColumn("entry", sorted_words(F.col("name")))
         .groupBy("entry")
         .agg(F.min_by("code", "pos").alias("code"), F.min("pos").alias("pos"))
-        .withColumn("la", F.length("entry"))
+    )
+    entries = (
+        widen(distinct, "entry")
+        .select("entry", "code", "pos", F.length("entry").alias("la"), *_letters("entry"))
     )
     lengths = F.expr(f"sequence(({t} * la + 199 - {t}) div (200 - {t}), ((200 - {t}) * la) div {t})")
     placed = (
@@ -179,27 +241,30 @@ def entry_segments(catalogue: DataFrame, t: int) -> DataFrame:
     pieces = F.array_distinct(
         F.transform(shifts, lambda s: F.substr(F.col("entry"), (F.col("_at") + s + 1).cast("int"), F.col("_len").cast("int")))
     )
-    return placed.withColumn("seg", F.explode(pieces)).select("entry", "code", "pos", "lb", "i", "seg")
+    return placed.withColumn("seg", F.explode(pieces)).select(
+        "entry", "code", "pos", "la", "lb", "i", "seg", "_lo", "_hi"
+    )
 
 
 def fuzzy_candidates(names: DataFrame, catalogue: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Distinct (name, text, entry, code, pos) that may reach the threshold; loses no match.
 
-    Edit distance with substitutions never exceeds the number of insertions and
-    deletions, so it discards pairs inside the join, before anything is shuffled.
+    Letter counts discard most pairs inside the join, before anything is shuffled:
+    letters that the request has in excess must be deleted, those it lacks inserted,
+    and deletions and insertions are bounded by the lengths and the threshold.
     """
     if not LOWEST_THRESHOLD <= threshold <= 100:
         raise ValueError(f"threshold must lie in {LOWEST_THRESHOLD}..100, not {threshold}")
-    near = F.expr(
-        f"levenshtein(text, entry, cast(((100 - {threshold}) * (length(text) + length(entry))) div 100 as int)) >= 0"
-    )
-    left, right = request_segments(names, threshold), entry_segments(catalogue, threshold)
+    left = request_segments(names, threshold).alias("r")
+    # merge join: Spark would broadcast the entries by their size before they are cut up
+    right = entry_segments(catalogue, threshold).hint("merge").alias("e")
     same = (F.col("r.lb") == F.col("e.lb")) & (F.col("r.i") == F.col("e.i")) & (F.col("r.seg") == F.col("e.seg"))
-    return (
-        left.alias("r").join(right.alias("e"), same & near)
-        .select("name", "text", "entry", "code", "pos")
-        .distinct()
+    edits = f"((100 - {threshold}) * (e.la + r.lb)) div 100"
+    surplus, lacking = (
+        f"bit_count({x}._lo & ~{y}._lo) + bit_count({x}._hi & ~{y}._hi)" for x, y in (("r", "e"), ("e", "r"))
     )
+    near = F.expr(f"2 * ({surplus}) <= {edits} - e.la + r.lb and 2 * ({lacking}) <= {edits} + e.la - r.lb")
+    return left.join(right, same & near).select("name", "text", "entry", "code", "pos").distinct()
 
 
 def match_fuzzy(names: DataFrame, catalogue: DataFrame, threshold: int = THRESHOLD) -> DataFrame:

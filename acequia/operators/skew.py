@@ -33,6 +33,17 @@ def lookup(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str
     )
 
 
+def widen(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a small input of heavy work over all cores.
+
+    AQE merges small shuffle partitions by their bytes and cannot know that each
+    row is about to become hundreds; a fixed number of partitions is left alone.
+    """
+    session = df.sparkSession
+    n = max(int(session.conf.get("spark.sql.shuffle.partitions")), session.sparkContext.defaultParallelism)
+    return df.repartition(n, *keys)
+
+
 def measure_hot(
     df: DataFrame,
     keys: str | Sequence[str],
