@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import Column
@@ -66,22 +67,32 @@ def accent_tables() -> tuple[dict[str, str], dict[str, str]]:
     return single, several
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(value)` with the value computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _fold(c: Column) -> Column:
     single, several = accent_tables()
     # translate() deletes the characters that have no counterpart in its third argument
     kept = {k: v for k, v in single.items() if v}
     gone = [k for k, v in single.items() if not v]
     one = F.translate(c, "".join(kept) + "".join(gone), "".join(kept.values()))
-    expand = F.create_map(*[F.lit(x) for kv in several.items() for x in kv])
-    many = F.array_join(
-        F.transform(F.split(one, ""), lambda x: F.coalesce(F.try_element_at(expand, x), x)), ""
-    )
-    return F.when(F.translate(one, "".join(several), "") != one, many).otherwise(one)
+    # one literal instead of a node per entry keeps the plan small
+    entries = "\x01".join(f"{k}\x02{v}" for k, v in several.items())
+    expand = F.str_to_map(F.lit(entries), F.lit("\x01"), F.lit("\x02"))
+
+    def many(text: Column) -> Column:
+        chars = F.transform(F.split(text, ""), lambda x: F.coalesce(F.try_element_at(expand, x), x))
+        return F.array_join(chars, "")
+
+    keys = "".join(several)
+    return _let(one, lambda t: F.when(F.translate(t, keys, "") != t, many(t)).otherwise(t))
 
 
 def strip_accents(c: Column) -> Column:
     """Compatibility-decompose and drop combining marks; ASCII rows pass untouched."""
-    return F.when(c.rlike(_NOT_ASCII), _fold(c)).otherwise(c)
+    return _let(c, lambda t: F.when(t.rlike(_NOT_ASCII), _fold(t)).otherwise(t))
 
 
 def _words(*words: str) -> str:
@@ -111,8 +122,11 @@ def normalize_text(c: Column) -> Column:
     Unicode word boundaries cost several times the ASCII ones, so only rows that
     still hold other characters after folding pay for them.
     """
-    text = strip_accents(F.upper(F.coalesce(c.cast("string"), F.lit(""))))
-    return F.when(text.rlike(_NOT_ASCII), _apply_steps(text, _UNICODE)).otherwise(_apply_steps(text, ""))
+    folded = strip_accents(F.upper(F.coalesce(c.cast("string"), F.lit(""))))
+    return _let(
+        folded,
+        lambda t: F.when(t.rlike(_NOT_ASCII), _apply_steps(t, _UNICODE)).otherwise(_apply_steps(t, "")),
+    )
 
 
 def trim_text(c: Column) -> Column:

@@ -62,8 +62,12 @@ def build_catalogue(sources: Sequence[tuple[DataFrame, str, str, str]]) -> DataF
 
 
 def distinct_names(orders: DataFrame, name_col: str) -> DataFrame:
-    """(name): the distinct non-empty normalised names of the order lines."""
-    return orders.select(normalize_text(F.col(name_col)).alias("name")).filter(F.col("name") != "").distinct()
+    """(name): the distinct normalised names of the order lines.
+
+    The empty name may be among them; no step matches it. A filter here would make
+    Spark normalise every line twice.
+    """
+    return orders.select(normalize_text(F.col(name_col)).alias("name")).distinct()
 
 
 def match_exact(names: DataFrame, catalogue: DataFrame) -> DataFrame:
@@ -140,11 +144,9 @@ def match_partial(names: DataFrame, catalogue: DataFrame, n_words: int = FIRST_W
     signatures of all letter pairs, then containment itself.
     """
     grams = F.flatten(F.array(*[_pieces(F.col("name"), n) for n in (*LONG_GRAMS, *SHORT_GRAMS)]))
-    spread = (
-        widen(names.select("name"), "name")
-        .withColumn("_pairs", _pieces(F.col("name"), 2))
-        .select("name", *_signature("_pairs"), F.explode(F.array_distinct(grams)).alias("gram"))
-    )
+    # signatures come before the shuffle: after it they would be computed per piece
+    signed = names.withColumn("_pairs", _pieces(F.col("name"), 2)).select("name", *_signature("_pairs"))
+    spread = widen(signed, "name").withColumn("gram", F.explode(F.array_distinct(grams)))
     patterns = (
         word_patterns(catalogue, n_words)
         .withColumn("_pairs", F.flatten(F.transform("words", lambda w: _pieces(w, 2))))
