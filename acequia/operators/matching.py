@@ -16,6 +16,7 @@ from acequia.functions.similarity import lcs_length, ratio
 from acequia.functions.text import clean_code, contains_all, first_words, normalize_text, sorted_words
 from acequia.operators.cleaning import keep_filled
 from acequia.operators.skew import lookup, widen
+from acequia.session import materialize
 
 THRESHOLD = 85
 # Below this the segments of the fuzzy search would become empty.
@@ -293,12 +294,12 @@ def match_names(
     catalogue: DataFrame,
     threshold: int = THRESHOLD,
     use_fuzzy: bool = True,
-    keep: Callable[[DataFrame, str], DataFrame] = lambda df, _: df,
+    keep: Callable[[DataFrame, str], DataFrame] = materialize,
 ) -> DataFrame:
     """(name, code, step) for the distinct non-empty names that any step can code.
 
-    Each step sees what the ones before it left over. `keep` may write an
-    intermediate result and read it back, so that later steps do not repeat it.
+    Each step sees what the ones before it left over. `keep` stores the result of a
+    step, so that later ones do not repeat it; by default in the shared folder.
     """
     coded = keep(match_exact(names, catalogue).withColumn("step", F.lit("exact")), "exact")
     rest = names.join(coded.select("name"), "name", "left_anti")
@@ -317,7 +318,7 @@ def code_orders(
     name_col: str,
     threshold: int = THRESHOLD,
     use_fuzzy: bool = True,
-    keep: Callable[[DataFrame, str], DataFrame] = lambda df, _: df,
+    keep: Callable[[DataFrame, str], DataFrame] = materialize,
 ) -> DataFrame:
     """Order lines with `code` and `step`; lines that no step can code have null and `none`."""
     named = orders.withColumn("_name", normalize_text(F.col(name_col)))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 # AQE sizes and splits the shuffle partitions at run time, so one setting serves
 # a laptop and a large cluster: start high, coalesce small, split skewed ones.
@@ -30,3 +33,26 @@ def build_session(app: str = "acequia", master: str | None = None, **extra: str)
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """Folder for intermediate tables: the cluster's `spark.checkpoint.dir`.
+
+    Only a session without that setting, such as a local one, gets a folder made here.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        folder = tempfile.mkdtemp(prefix="acequia-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write a frame to the shared folder and read it back.
+
+    Later steps then neither repeat its work nor depend on executors that may be
+    lost, and Spark knows its true size.
+    """
+    path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1 +1 @@
-
+"""Reading and writing: delimited files, staging, exports and published snapshots."""

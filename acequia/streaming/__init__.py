@@ -1 +1 @@
-
+"""Incremental loads over arriving files."""
