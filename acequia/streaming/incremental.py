@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from acequia.operators.dedupe import dedupe_keep_last
 from acequia.operators.upsert import CHANGE, delta, upsert
 from acequia.sources.tables import current_run, publish, read_published
 
@@ -33,7 +34,8 @@ def upsert_stream(
         if last is not None and last >= run_id:
             return
         current = initial if last is None else read_published(spark, root, table)
-        changes = delta(current, batch, keys, attrs)
+        # last row per key first: an older row must not win because the newest changes nothing
+        changes = delta(current, dedupe_keep_last(batch, keys, order), keys, attrs)
         publish({table: upsert(current, changes, keys, attrs, order).drop(CHANGE)}, root, run_id)
 
     return (
