@@ -62,13 +62,16 @@ def build_catalogue(sources: Sequence[tuple[DataFrame, str, str, str]]) -> DataF
     )
 
 
-def distinct_names(orders: DataFrame, name_col: str) -> DataFrame:
-    """(name): the distinct normalised names of the order lines.
+def distinct_names(
+    orders: DataFrame, name_col: str, keep: Callable[[DataFrame, str], DataFrame] = materialize
+) -> DataFrame:
+    """(name): the distinct normalised names of the order lines, stored by `keep`.
 
-    The empty name may be among them; no step matches it. A filter here would make
-    Spark normalise every line twice.
+    Not a lazy frame: Spark would move conditions on pieces of a name below the
+    distinct and normalise every line once per condition. The empty name may be
+    among the names; no step matches it.
     """
-    return orders.select(normalize_text(F.col(name_col)).alias("name")).distinct()
+    return keep(orders.select(normalize_text(F.col(name_col)).alias("name")).distinct(), "names")
 
 
 def match_exact(names: DataFrame, catalogue: DataFrame) -> DataFrame:
@@ -322,8 +325,7 @@ def code_orders(
 ) -> DataFrame:
     """Order lines with `code` and `step`; lines that no step can code have null and `none`."""
     named = orders.withColumn("_name", normalize_text(F.col(name_col)))
-    wanted = keep(distinct_names(orders, name_col), "names")
-    codes = match_names(wanted, keep(catalogue, "catalogue"), threshold, use_fuzzy, keep)
+    codes = match_names(distinct_names(orders, name_col, keep), keep(catalogue, "catalogue"), threshold, use_fuzzy, keep)
     return (
         lookup(named, codes.withColumnRenamed("name", "_name"), "_name")
         .withColumn("step", F.coalesce("step", F.lit("none")))

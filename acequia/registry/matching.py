@@ -9,6 +9,7 @@ from acequia.operators import matching as m
 from acequia.operators.cleaning import keep_filled
 from acequia.registry.cleaning import _sql_normalize
 from acequia.registry.scenario import Tables, text, with_ctes
+from acequia.session import materialize
 
 
 def _catalogue(t: Tables) -> DataFrame:
@@ -61,12 +62,12 @@ def match_exact(spark, root):
 
 def match_partial(spark, root):
     t = Tables(spark, root)
-    return m.match_partial(_names(t), _catalogue(t))
+    return m.match_partial(_names(t), materialize(_catalogue(t), "catalogue"))
 
 
 def match_fuzzy(spark, root):
     t = Tables(spark, root)
-    catalogue, names = _catalogue(t), _names(t)
+    catalogue, names = materialize(_catalogue(t), "catalogue"), _names(t)
     return m.match_fuzzy(names.join(catalogue.select("name"), "name", "left_anti"), catalogue)
 
 
