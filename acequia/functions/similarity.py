@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
@@ -81,6 +84,9 @@ def lcs_lengths(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
+# Executors get the functions themselves and need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Declared non-deterministic so that the optimizer neither repeats it per use nor
 # moves a filter on its result below the step that makes pairs distinct.
 _lcs = F.pandas_udf(lcs_lengths, IntegerType()).asNondeterministic()
