@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -38,10 +39,14 @@ def build_session(app: str = "acequia", master: str | None = None, **extra: str)
 def shared_dir(spark: SparkSession) -> str:
     """Folder for intermediate tables: the cluster's `spark.checkpoint.dir`.
 
-    Only a session without that setting, such as a local one, gets a folder made here.
+    A session in one process (master `local…`) without that setting gets a folder
+    made here; on a cluster the setting is required, since executors and driver
+    share no local folder.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="acequia-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -51,8 +56,11 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
     Later steps then neither repeat its work nor depend on executors that may be
-    lost, and Spark knows its true size.
+    lost, and Spark knows its true size. The files go when the driver's JVM ends.
     """
-    path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return spark.read.schema(df.schema).parquet(path)
