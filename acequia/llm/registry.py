@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acequia.llm.common import table
+from acequia.llm.cover_tree import vector_components
+from acequia.llm.minhash import minhash_components
 from acequia.llm.sharding import shard_by_bytes
 from acequia.llm.token_counts import count_tokens, public_file
 
@@ -25,8 +27,18 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), lambda: public_file(TOKENIZER), TOKEN_LIMIT)
 
 
+def op6_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_components(table(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_components(table(spark, sf_dir, "documents"), shingle_words=4)
+
+
 QUERIES = {
     "op3_shard": op3_shard,
     "op4_token_counts": op4_token_counts,
+    "op6_vectors": op6_vectors,
+    "op7_minhash": op7_minhash,
 }
 SQL: dict[str, str] = {}
