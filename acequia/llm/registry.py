@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from acequia.llm.common import table
 from acequia.llm.cover_tree import vector_components
+from acequia.llm.imatch import fingerprint_documents
 from acequia.llm.minhash import minhash_components
 from acequia.llm.sharding import shard_by_bytes
 from acequia.llm.token_counts import count_tokens, public_file
@@ -35,10 +36,15 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_components(table(spark, sf_dir, "documents"), shingle_words=4)
 
 
+def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op3_shard": op3_shard,
     "op4_token_counts": op4_token_counts,
     "op6_vectors": op6_vectors,
     "op7_minhash": op7_minhash,
+    "op10_imatch": op10_imatch,
 }
 SQL: dict[str, str] = {}

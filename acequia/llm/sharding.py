@@ -9,11 +9,10 @@ inside the ranges places every record.
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from acequia.llm.ranges import before, sampled, splitters, with_range
 from acequia.session import materialize
 
 RANGES_PER_SHARD = 16
@@ -21,49 +20,7 @@ SAMPLES_PER_RANGE = 16
 # A range is overfull beyond this many times the mean.
 OVERFULL = 2.0
 HEADER_BYTES = 8
-
-
-def _key() -> Column:
-    return F.struct("h", "id", "row")
-
-
-def _sampled(records: DataFrame, size: str, step: Column, seed: int) -> DataFrame:
-    """Each record with probability min(1, size / step): a size-weighted sample, weights in units of the step."""
-    u = (F.pmod(F.xxhash64("h", "id", "row", F.lit(seed)), F.lit(1 << 30)) + 0.5) / float(1 << 30)
-    return records.filter(u * step < F.col(size))
-
-
-def _splitters(sample: DataFrame, ranges: int, size: str, step: float) -> list:
-    """Quantile boundaries of the sample; its rows are bounded by the sample size, not by the data."""
-    order = Window.orderBy("key")
-    weighed = sample.select(_key().alias("key"), F.greatest(F.col(size) / step, F.lit(1.0)).alias("w"))
-    part = F.floor(F.sum("w").over(order) * ranges / F.sum("w").over(Window.partitionBy()))
-    cuts = weighed.select("key", part.alias("part")).groupBy("part").agg(F.max("key").alias("key"))
-    return [r.key for r in cuts.orderBy("key").collect()]
-
-
-def _range_of(spark, cuts: list, schema) -> DataFrame:
-    """Splitters in one row: a coarse array and the fine arrays below it, for a two-level search."""
-    width = max(1, math.isqrt(len(cuts)))
-    fine = [cuts[i:i + width] for i in range(0, len(cuts), width)]
-    coarse = [block[0] for block in fine]
-    key = schema.simpleString()
-    return spark.createDataFrame([(coarse, fine, width)], f"coarse array<{key}>, fine array<array<{key}>>, width int")
-
-
-def _with_range(records: DataFrame, cuts: list, schema) -> DataFrame:
-    """Add `range`: how many splitters are below or at the record's key."""
-    if not cuts:
-        return records.withColumn("range", F.lit(0))
-    table = F.broadcast(_range_of(records.sparkSession, cuts, schema).withColumn("one", F.lit(1)))
-    key = _key()
-    block = F.size(F.filter("coarse", lambda s: s <= key))
-    inside = F.size(F.filter(F.element_at("fine", F.greatest(block, F.lit(1))), lambda s: s <= key))
-    found = F.when(block == 0, 0).otherwise((block - 1) * F.col("width") + inside)
-    return (
-        records.withColumn("one", F.lit(1)).join(table, "one").withColumn("range", found)
-        .drop("one", "coarse", "fine", "width")
-    )
+KEY = ("h", "id", "row")
 
 
 def shard_by_bytes(docs: DataFrame, shards: int, ranges_per_shard: int = RANGES_PER_SHARD,
@@ -92,25 +49,24 @@ def shard_by_bytes(docs: DataFrame, shards: int, ranges_per_shard: int = RANGES_
         "records",
     )
     total = records.agg(F.sum("size")).first()[0] or 0
-    schema = records.select(_key().alias("key")).schema["key"].dataType
     ranges = shards * ranges_per_shard
     step = max(total / (ranges * samples_per_range), 1.0)
-    cuts = _splitters(_sampled(records, "size", F.lit(step), 1), ranges, "size", step)
+    cuts = splitters(sampled(records, KEY, "size", step, 1), KEY, ranges, "size", step)
     # subdivide ranges that the sample left overfull, by a denser sample of their own
-    placed = _with_range(records, cuts, schema)
+    placed = with_range(records, KEY, cuts)
     full = placed.groupBy("range").agg(F.sum("size").alias("held")).filter(F.col("held") > OVERFULL * total / ranges)
     more = placed.join(F.broadcast(full), "range").drop("held")
     denser = step / ranges_per_shard
-    cuts = sorted(set(cuts) | set(_splitters(_sampled(more, "size", F.lit(denser), 2), ranges, "size", denser)))
-    placed = _with_range(records, cuts, schema)
+    cuts = sorted(set(cuts) | set(splitters(sampled(more, KEY, "size", denser, 2), KEY, ranges, "size", denser)))
+    placed = with_range(records, KEY, cuts)
     # where each range begins, in bytes and rows; one row per range
-    upto = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    upto = before("range")
     starts = F.broadcast(
         placed.groupBy("range").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
         .select("range", F.coalesce(F.sum("bytes").over(upto), F.lit(0)).alias("byte0"),
                 F.coalesce(F.sum("rows").over(upto), F.lit(0)).alias("row0"))
     )
-    inside = Window.partitionBy("range").orderBy("h", "id", "row")
+    inside = Window.partitionBy("range").orderBy(*KEY)
     middle = F.col("byte0") + F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size") / 2
     ranked = materialize(
         placed.join(starts, "range").select(
