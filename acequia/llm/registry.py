@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acequia.llm.common import table
+from acequia.llm.common import content_key, table
 from acequia.llm.cover_tree import vector_components
 from acequia.llm.imatch import fingerprint_documents
+from acequia.llm.kneser_ney import classify
 from acequia.llm.minhash import minhash_components
 from acequia.llm.sharding import shard_by_bytes
 from acequia.llm.token_counts import count_tokens, public_file
@@ -17,6 +18,15 @@ TOKEN_LIMIT = 512
 SHARDS = 24
 
 
+def trusted_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that `labels` calls good and not toxic."""
+    return table(spark, sf_dir, "labels").filter("quality = 1 and toxic = 0").select("doc_id")
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(table(spark, sf_dir, "documents"), trusted_documents(spark, sf_dir), content_key()).drop("key")
+
+
 def op3_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard_by_bytes(table(spark, sf_dir, "documents"), SHARDS)
     return placed.select(
@@ -41,6 +51,7 @@ def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op3_shard": op3_shard,
     "op4_token_counts": op4_token_counts,
     "op6_vectors": op6_vectors,
