@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acequia.llm.common import content_key, table
+from acequia.llm.common import broadcast_if_small, content_key, table
 from acequia.llm.cover_tree import vector_components
 from acequia.llm.imatch import fingerprint_documents
 from acequia.llm.kneser_ney import classify
+from acequia.llm.line_templates import drop_recurring_lines
 from acequia.llm.minhash import minhash_components
+from acequia.llm.mixing import copies, mix, with_rates
+from acequia.llm.mixing import tokens_of as words_of
+from acequia.llm.packing import pack
 from acequia.llm.sharding import shard_by_bytes
 from acequia.llm.token_counts import count_tokens, public_file
+from acequia.llm.url_filter import host_of, judge, path_of
 
 TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
@@ -27,6 +32,78 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), trusted_documents(spark, sf_dir), content_key()).drop("key")
 
 
+DAY = 86_400
+EPOCH = 1_704_067_200  # 2024-01-01, when the lists begin
+
+
+def _number(text, start: int):
+    """A number from a text's md5, the same in Spark and SQL."""
+    return F.conv(F.substring(F.md5(text), start, 6), 16, 10).cast("long")
+
+
+def dated_lists(pages: DataFrame) -> DataFrame:
+    """List entries on the sites and site sections of the pages: (pattern, allow, action, at).
+
+    Each site (three last labels of a host) is blocked for a time and again later,
+    each section (host and first path segment) is allowed for a time; the dates
+    come from the names.
+    """
+    named = pages.select(host_of(F.col("url")).alias("host"), F.split(path_of(F.col("url")), "/")[1].alias("section"))
+    sites = named.select(F.substring_index("host", ".", -3).alias("pattern")).filter("pattern <> ''").distinct()
+    sections = named.filter("host <> '' and section <> ''").select(F.concat_ws("/", "host", "section").alias("pattern")).distinct()
+    day = _number(F.col("pattern"), 1) % 200
+    length = _number(F.col("pattern"), 7) % 120 + 10
+    gap = _number(F.col("pattern"), 13) % 60 + 1
+
+    def entry(action: str, at) :
+        return F.struct(F.lit(action).alias("action"), (F.lit(EPOCH) + at * DAY).alias("at"))
+
+    blocks = sites.select("pattern", F.lit(False).alias("allow"), F.explode(F.array(
+        entry("add", day), entry("remove", day + length), entry("add", day + length + gap))).alias("e"))
+    allows = sections.select("pattern", F.lit(True).alias("allow"), F.explode(F.array(
+        entry("add", day), entry("remove", day + length))).alias("e"))
+    return blocks.union(allows).select("pattern", "allow", "e.action", "e.at")
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    # the table has no fetch times: they are spread over a year by id
+    at = F.lit(EPOCH) + F.col("page_id") * 7919 % 366 * DAY
+    captures = pages.select(F.col("page_id").alias("capture_id"), "url", at.alias("fetched_at"))
+    return judge(captures, dated_lists(pages)).withColumnRenamed("capture_id", "page_id")
+
+
+OP2_SQL = """
+WITH named AS (
+  SELECT page_id, url, 1704067200 + page_id * 7919 % 366 * 86400 AS fetched_at,
+         rtrim(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\\-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1)), '.') AS host,
+         regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\\-]*://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages),
+patterns AS (
+  SELECT DISTINCT array_to_string(string_split(host, '.')[-3:], '.') AS pattern, false AS allow FROM named WHERE host <> ''
+  UNION ALL
+  SELECT DISTINCT host || '/' || string_split(path, '/')[2], true FROM named WHERE host <> '' AND string_split(path, '/')[2] <> ''),
+dates AS (
+  SELECT pattern, allow,
+         ('0x' || substr(md5(pattern), 1, 6))::BIGINT % 200 AS d,
+         ('0x' || substr(md5(pattern), 7, 6))::BIGINT % 120 + 10 AS n,
+         ('0x' || substr(md5(pattern), 13, 6))::BIGINT % 60 + 1 AS gap
+  FROM patterns),
+valid AS (
+  SELECT pattern, allow, 1704067200 + d * 86400 AS since, 1704067200 + (d + n) * 86400 AS until FROM dates
+  UNION ALL
+  SELECT pattern, allow, 1704067200 + (d + n + gap) * 86400, 9223372036854775807 FROM dates WHERE NOT allow),
+active AS (
+  SELECT page_id, v.pattern, v.allow,
+         row_number() OVER (PARTITION BY page_id ORDER BY length(v.pattern) DESC, v.allow, v.pattern DESC) AS r,
+         count(*) OVER (PARTITION BY page_id) AS n_active
+  FROM named JOIN valid v ON since <= fetched_at AND fetched_at < until AND (
+       host = v.pattern OR ends_with(host, '.' || v.pattern) OR host || path = v.pattern OR starts_with(host || path, v.pattern || '/')))
+SELECT n.page_id, n.url, n.fetched_at, coalesce(a.n_active, 0) AS n_active, a.pattern, coalesce(NOT a.allow, false) AS blocked
+FROM named n LEFT JOIN active a ON a.page_id = n.page_id AND a.r = 1
+"""
+
+
 def op3_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard_by_bytes(table(spark, sf_dir, "documents"), SHARDS)
     return placed.select(
@@ -38,6 +115,19 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), lambda: public_file(TOKENIZER), TOKEN_LIMIT)
 
 
+def packable(docs: DataFrame) -> DataFrame:
+    """Documents as sequences to pack: words as tokens, equal texts (but for case and white space) as clusters."""
+    text = F.coalesce("text", F.lit(""))
+    folded = F.lower(F.btrim(F.regexp_replace(text, r"\s+", " ")))
+    return docs.select(
+        "doc_id", content_key().alias("key"), words_of(F.col("text")).alias("n_tokens"), "source", F.xxhash64(folded).alias("cluster")
+    )
+
+
+def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(packable(table(spark, sf_dir, "documents"))).drop("key")
+
+
 def op6_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_components(table(spark, sf_dir, "embeddings"), cosine=0.95)
 
@@ -46,16 +136,36 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_components(table(spark, sf_dir, "documents"), shingle_words=4)
 
 
+def labelled_domains(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
+    """Text and domain of the documents in `labels`; a document's domain is its language."""
+    labels = broadcast_if_small(table(spark, sf_dir, "labels").select("doc_id").dropna().distinct())
+    return docs.join(labels, "doc_id", "left_semi").select("text", F.col("lang").alias("domain"))
+
+
+# Shares of the domains are those found, raised to this: small languages gain.
+MIX_EXPONENT = 0.7
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    mixture = mix(docs, labelled_domains(spark, sf_dir, docs), MIX_EXPONENT)
+    return with_rates(docs, mixture).select(
+        "doc_id", "n_tokens", "posterior", "rate", copies(F.col("rate"), content_key()).alias("copies")
+    )
+
+
+def op9_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = drop_recurring_lines(table(spark, sf_dir, "documents"), content_key())
+    return found.select("doc_id", "n_lines", "n_recurring", "whole", F.md5("text").alias("text_md5"))
+
+
 def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
-    "op1_quality": op1_quality,
-    "op3_shard": op3_shard,
-    "op4_token_counts": op4_token_counts,
-    "op6_vectors": op6_vectors,
-    "op7_minhash": op7_minhash,
-    "op10_imatch": op10_imatch,
+    f.__name__: f
+    for f in (op1_quality, op2_url_filter, op3_shard, op4_token_counts, op5_pack, op6_vectors, op7_minhash, op8_mixing,
+              op9_line_templates, op10_imatch)
 }
-SQL: dict[str, str] = {}
+SQL = {"op2_url_filter": OP2_SQL}

@@ -29,7 +29,7 @@ from acequia.session import materialize
 FLUSH_PAIRS = 3_000_000
 # A pre-token in this many documents of one flush is counted there and added to the documents'
 # heads: no long row lists are shuffled, and no pre-token becomes a hot join key.
-FOLD_ROWS = 16
+FOLD_ROWS = 6
 _PART_BITS = 33  # a row's number: partition above, place in its scan task below
 _FREQ_BITS = 15  # a pair in one int: place in the flush above, frequency below
 _MOST_FREQ = (1 << _FREQ_BITS) - 1
