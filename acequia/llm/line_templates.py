@@ -78,6 +78,23 @@ def recurring_lines(docs: DataFrame, key: Column, min_documents: int = MIN_DOCUM
     return owned.join(materialize(recurring, "recurring"), "template").select("key", "line_no").distinct()
 
 
+def _marked(docs: DataFrame, found: DataFrame, key: Column, whole_share: float) -> DataFrame:
+    """The documents as `doc`, the text without its recurring lines, and the counts."""
+    marks = found.groupBy("key").agg(F.collect_set("line_no").alias("drop"))  # a document's lines at most
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("text").alias("text"), key.alias("key"))
+    lines = F.split("text", "\n")
+    joined = rows.join(marks, "key", "left").withColumn("drop", F.coalesce("drop", F.array().cast("array<int>")))
+    lost = F.aggregate(
+        F.transform("drop", lambda i: F.length(F.element_at(lines, i + 1))), F.lit(0).cast("long"), lambda a, x: a + x
+    )
+    marked = joined.withColumn("whole", F.coalesce((F.size("drop") > 0) & (lost >= whole_share * F.length("text")), F.lit(False)))
+    kept = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("drop", i)), "\n")
+    return marked.select(
+        "doc", F.when((F.size("drop") > 0) & ~F.col("whole"), kept).otherwise(F.col("text")).alias("text"),
+        F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).alias("n_lines"), F.size("drop").alias("n_recurring"), "whole",
+    )
+
+
 def drop_recurring_lines(docs: DataFrame, key: Column, min_documents: int = MIN_DOCUMENTS,
                          constant_share: float = CONSTANT_SHARE, leading: int = LEADING,
                          whole_share: float = WHOLE_SHARE) -> DataFrame:
@@ -93,20 +110,18 @@ def drop_recurring_lines(docs: DataFrame, key: Column, min_documents: int = MIN_
 
     Blank lines are never dropped. Null and empty texts stay as they are with 0
     recurring lines (null texts: 0 lines). Repeated rows count as one document
-    and get equal results. Other columns pass through, whatever their names. No
-    rows give none.
+    and get equal results. Other columns pass through, except that the added ones
+    replace those of the same name. No rows give none.
     """
     found = recurring_lines(docs, key, min_documents, constant_share, leading)
-    marks = found.groupBy(F.col("key").alias("__key")).agg(F.collect_set("line_no").alias("__drop"))  # a document's lines at most
-    lines = F.split("text", "\n")
-    joined = docs.withColumn("__key", key).join(marks, "__key", "left").withColumn("__drop", F.coalesce("__drop", F.array().cast("array<int>")))
-    lost = F.transform("__drop", lambda i: F.length(F.element_at(lines, i + 1)))
-    lost = F.aggregate(lost, F.lit(0).cast("long"), lambda a, x: a + x)
-    whole = F.coalesce((F.size("__drop") > 0) & (lost >= whole_share * F.length("text")), F.lit(False))
-    marked = joined.withColumn("whole", whole)
-    kept = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("__drop", i)), "\n")
-    text = F.when((F.size("__drop") > 0) & ~F.col("whole"), kept).otherwise(F.col("text"))
-    return marked.select(
-        *[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns],
-        F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).alias("n_lines"), F.size("__drop").alias("n_recurring"), "whole",
-    )
+    marked = _marked(docs, found, key, whole_share)
+    added = ["n_lines", "n_recurring", "whole"]
+    others = [F.col("text") if c == "text" else F.col("doc")[c].alias(c) for c in docs.columns if c not in added]
+    return marked.select(*others, *added)
+
+
+def without_recurring_lines(docs: DataFrame, key: Column, **options) -> DataFrame:
+    """As `drop_recurring_lines`, with exactly the columns of `docs`, whatever their names."""
+    whole_share = options.pop("whole_share", WHOLE_SHARE)
+    marked = _marked(docs, recurring_lines(docs, key, **options), key, whole_share)
+    return marked.select(*[F.col("text") if c == "text" else F.col("doc")[c].alias(c) for c in docs.columns])

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acequia.llm.common import broadcast_if_small, components
@@ -85,7 +85,7 @@ def _signatures(k: int, m: int, per_key: int) -> Callable:
         a, b = _seeds(2 * m * per_key)
         for batch in batches:
             sizes, classes, keys = [], [], []
-            for text in batch.column(1):
+            for text in batch.column(2):
                 s = shingle_set(text.as_py(), k, hashes)
                 sizes.append(len(s))
                 if not len(s):
@@ -99,8 +99,9 @@ def _signatures(k: int, m: int, per_key: int) -> Callable:
                     key = _scramble(key * _MIX + low[:, j])
                 keys.append(key.view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "class", "keys"])
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()),
+                 pa.array(keys, pa.list_(pa.int64()))],
+                ["doc_id", "key", "n_shingles", "class", "keys"])
 
     return run
 
@@ -163,8 +164,9 @@ def _may_link(percent: int):
     return F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
 
 
-def minhash_components(docs: DataFrame, shingle_words: int = 5, percent: int = 80, m: int = 12, per_key: int = 2) -> DataFrame:
-    """Groups of near-duplicate rows: (doc_id, n_shingles, component_id, kept).
+def minhash_components(docs: DataFrame, shingle_words: int = 5, percent: int = 80, m: int = 12, per_key: int = 2,
+                       key: Column | None = None) -> DataFrame:
+    """Groups of near-duplicate rows: (doc_id, key, n_shingles, component_id, kept).
 
     Texts are lower-cased (A-Z) and cut at ASCII white space into words; two rows
     link when 100 * intersection >= percent * union of their sets of
@@ -172,11 +174,14 @@ def minhash_components(docs: DataFrame, shingle_words: int = 5, percent: int = 8
     component_id is the least doc_id reachable over links, kept says that the row
     holds it. Null, empty and blank texts have no shingles and stay alone. Repeated
     rows share a component and are all kept or not; rows without id take part
-    and get their component's id, null if it has none. No rows give none.
+    and get their component's id, null if it has none. `key` is any long column by
+    which a caller tells rows apart (default null); other columns are ignored. No
+    rows give none.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    key = F.lit(None).cast("long") if key is None else key
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("key"), "text")
     signed = materialize(
-        rows.mapInArrow(_signatures(shingle_words, m, per_key), "doc_id bigint, n_shingles bigint, class bigint, keys array<bigint>"), "signed"
+        rows.mapInArrow(_signatures(shingle_words, m, per_key), "doc_id bigint, key bigint, n_shingles bigint, class bigint, keys array<bigint>"), "signed"
     )
     classes = signed.filter("class is not null").groupBy("class").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys")
@@ -206,8 +211,8 @@ def minhash_components(docs: DataFrame, shingle_words: int = 5, percent: int = 8
     least = ids.groupBy("root").agg(F.min("least").alias("component_id"))
     found = ids.join(least, "root").select("class", "component_id")
     component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return signed.select("doc_id", "n_shingles", "class").join(found, "class", "left").select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
+    return signed.select("doc_id", "key", "n_shingles", "class").join(found, "class", "left").select(
+        "doc_id", "key", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
     )
 
 

@@ -133,7 +133,7 @@ def op6_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash_components(table(spark, sf_dir, "documents"), shingle_words=4)
+    return minhash_components(table(spark, sf_dir, "documents"), shingle_words=4).drop("key")
 
 
 def labelled_domains(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from acequia.llm.common import content_key
 from acequia.llm.kneser_ney import classify
-from acequia.llm.line_templates import drop_recurring_lines
+from acequia.llm.line_templates import without_recurring_lines
 from acequia.llm.minhash import minhash_components
-from acequia.llm.mixing import copies, mix, with_rates
+from acequia.llm.mixing import copies, mix
 from acequia.llm.packing import pack
 from acequia.llm.registry import MIX_EXPONENT, labelled_domains, packable, trusted_documents
 from acequia.session import shared_dir
@@ -19,28 +19,28 @@ from acequia.session import shared_dir
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents whose perplexity lies within the quantiles of trusted text."""
-    kept = classify(docs, trusted_documents(spark, sf_dir), content_key()).filter("kept").select(F.col("key").alias("__key")).distinct()
-    return docs.withColumn("__key", content_key()).join(kept, "__key", "left_semi").select(docs.columns)
+    kept = classify(docs, trusted_documents(spark, sf_dir), content_key()).filter("kept").select(F.col("key").alias("content")).distinct()
+    return docs.join(kept, content_key() == kept["content"], "left_semi")
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop lines of recurring templates; n_chars follows the text."""
-    shorter = drop_recurring_lines(docs, content_key())
-    return shorter.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    shorter = without_recurring_lines(docs, content_key())
+    return shorter.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep of each group of near copies the document with the least id, once."""
-    kept = minhash_components(docs, shingle_words=5).filter("kept").select(F.col("doc_id").alias("__id")).distinct()
-    same = docs["doc_id"].eqNullSafe(kept["__id"])
-    return docs.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text"]).select(docs.columns)
+    kept = minhash_components(docs, shingle_words=5, key=content_key()).filter("kept").select(F.col("key").alias("content")).distinct()
+    return docs.join(kept, content_key() == kept["content"], "left_semi").dropDuplicates(["doc_id", "text"])
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeat or leave out documents so that the languages' expected tokens meet the target weights."""
     mixture = mix(docs, labelled_domains(spark, sf_dir, docs), MIX_EXPONENT)
-    times = with_rates(docs, mixture).withColumn("times", copies(F.col("rate"), content_key())).filter("times > 0")
-    return times.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy")).select(docs.columns)
+    rate = mixture.rate(mixture.posterior(F.col("text")))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), copies(rate, content_key()).alias("times"))
+    return rows.filter("times > 0").select("doc", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy")).select("doc.*")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
