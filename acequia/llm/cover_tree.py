@@ -27,6 +27,9 @@ from acequia.session import materialize
 BLOCK_ROWS = 2048
 MOST_PIVOTS = 256  # bounds the pivots and the table of cell pairs (its square) on the driver
 LEVELS = 7  # radii 2, 1, 1/2, ... below the root
+_WIDE = 48  # children from which two families meet in a matrix product
+_LISTED = 500_000  # child pairs listed at once
+_MARGIN = 1e-5  # on cosines in single precision
 _SLACK = 1e-9  # the bounds leave this much to rounding; what lies between is compared itself
 
 
@@ -47,23 +50,24 @@ class Tree:
     def __init__(self, x: np.ndarray, levels: int = LEVELS):
         n = len(x)
         dist = np.sqrt(np.maximum(2.0 - 2.0 * (x @ x.T), 0.0))
+        np.fill_diagonal(dist, 0.0)
         groups = [(0, np.arange(n))]
         self.points, self.radius, self.first, sizes = [], [], [], []
         for level in range(levels + 1):
-            self.points.append(np.array([c for c, _ in groups]))
+            self.points.append(np.array([c for c, _ in groups], np.int32))
             self.radius.append(np.array([dist[c, rows].max() for c, rows in groups]))
             sizes.append(np.array([len(rows) for _, rows in groups]))
             if level == levels or not self.radius[-1].any():
                 break
             below, first = [], [0]
             for centre, rows in groups:
-                below.extend(_net(dist, centre, rows, 2.0 ** -level))
+                below.extend([(centre, rows)] if len(rows) == 1 else _net(dist, centre, rows, 2.0 ** -level))
                 first.append(len(below))
-            self.first.append(np.array(first))
+            self.first.append(np.array(first, np.int32))
             groups = below
-        self.order = np.concatenate([rows for _, rows in groups])
-        self.start = [np.concatenate([[0], np.cumsum(s)]) for s in sizes]
-        self.x = x
+        self.order = np.concatenate([rows for _, rows in groups]).astype(np.int32)
+        self.start = [np.concatenate([[0], np.cumsum(s)]).astype(np.int32) for s in sizes]
+        self.x, self.near = x, x.astype(np.float32)
 
 
 def _net(dist: np.ndarray, centre: int, rows: np.ndarray, radius: float) -> list:
@@ -139,32 +143,56 @@ def _distances(xa: np.ndarray, xb: np.ndarray, i: np.ndarray, j: np.ndarray) ->
     return np.sqrt(np.maximum(2.0 - 2.0 * np.einsum("ij,ij->i", xa[i], xb[j]), 0.0))
 
 
+def _families(first: np.ndarray | None, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the children of each node begin and how many there are; on the last level a node is its own child."""
+    if first is None:
+        return nodes, np.ones(len(nodes), np.int64)
+    return first[nodes], first[nodes + 1] - first[nodes]
+
+
 def _children(a: Tree, b: Tree, la: int, lb: int, last_a: bool, last_b: bool, ia, ib, reach: float):
-    """Pairs of children of the given node pairs that the covering bounds leave; wide families by one matrix product."""
-    fa, fb = (None if last_a else a.first[la]), (None if last_b else b.first[lb])
+    """Pairs of children of the given node pairs that the covering bounds leave.
+
+    Wide families (the root's, as a rule) meet in one matrix product, in single
+    precision with a margin, since all that is left is measured again; the others are listed.
+    """
     na, nb = (la if last_a else la + 1), (lb if last_b else lb + 1)
-    xa, xb, ra, rb = a.x[a.points[na]], b.x[b.points[nb]], a.radius[na], b.radius[nb]
-    out_a, out_b = [], []
-    for u, v in zip(ia, ib):
-        ka = np.array([u]) if last_a else np.arange(fa[u], fa[u + 1])
-        kb = np.array([v]) if last_b else np.arange(fb[v], fb[v + 1])
-        dots = xa[ka] @ xb[kb].T
+    pa, pb, ra, rb = a.points[na], b.points[nb], a.radius[na], b.radius[nb]
+    start_a, n_a = _families(None if last_a else a.first[la], ia)
+    start_b, n_b = _families(None if last_b else b.first[lb], ib)
+    wide = (n_a > _WIDE) & (n_b > _WIDE)
+    out_a, out_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for u, nu, v, nv in zip(start_a[wide], n_a[wide], start_b[wide], n_b[wide]):
+        ka, kb = np.arange(u, u + nu), np.arange(v, v + nv)
+        dots = a.near[pa[ka]] @ b.near[pb[kb]].T
         x, y = np.nonzero(_within(dots, ra[ka], rb[kb], reach + _SLACK))
         out_a.append(ka[x])
         out_b.append(kb[y])
-    if not out_a:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
+    start_a, n_a, start_b, n_b = (x[~wide] for x in (start_a, n_a, start_b, n_b))
+    many = n_a * n_b
+    cuts = np.searchsorted(np.cumsum(many), np.arange(0, many.sum() + _LISTED, _LISTED))
+    for s, e in zip(cuts, [*cuts[1:], len(many)]):
+        if s == e:
+            continue
+        m = many[s:e]
+        family = np.repeat(np.arange(s, e), m)
+        place = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
+        ka, kb = start_a[family] + place // n_b[family], start_b[family] + place % n_b[family]
+        keep = _distances(a.x[pa], b.x[pb], ka, kb) <= reach + ra[ka] + rb[kb] + _SLACK
+        out_a.append(ka[keep])
+        out_b.append(kb[keep])
     return np.concatenate(out_a), np.concatenate(out_b)
 
 
 def _within(dots: np.ndarray, ra: np.ndarray, rb: np.ndarray, reach: float) -> np.ndarray:
-    """distance <= reach + ra + rb, as a bound on the cosine; most nodes are single vectors of radius 0."""
-    out = dots >= 1.0 - reach ** 2 / 2.0
+    """distance <= reach + ra + rb, as a bound on a cosine in single precision; most nodes are single vectors of radius 0."""
+    reach, ra, rb = np.float32(math.sqrt(reach ** 2 + 2 * _MARGIN)), ra.astype(np.float32), rb.astype(np.float32)
+    out = dots >= 1 - reach ** 2 / 2
     wide_a, wide_b = np.nonzero(ra)[0], np.nonzero(rb)[0]
     if len(wide_a):
-        out[wide_a] = dots[wide_a] >= 1.0 - (reach + ra[wide_a][:, None] + rb[None, :]) ** 2 / 2.0
+        out[wide_a] = dots[wide_a] >= 1 - (reach + ra[wide_a][:, None] + rb[None, :]) ** 2 / 2
     if len(wide_b):
-        out[:, wide_b] = dots[:, wide_b] >= 1.0 - (reach + ra[:, None] + rb[wide_b][None, :]) ** 2 / 2.0
+        out[:, wide_b] = dots[:, wide_b] >= 1 - (reach + ra[:, None] + rb[wide_b][None, :]) ** 2 / 2
     return out
 
 
@@ -200,19 +228,29 @@ def forest(pairs: list[tuple[int, int]], n: int) -> list[tuple[int, int]]:
     return out
 
 
+def _small(x: np.ndarray) -> np.ndarray:
+    """The vectors in single precision if that loses nothing."""
+    half = x.astype(np.float32)
+    return half if (half == x).all() else x
+
+
 def _build(frame: pd.DataFrame) -> pd.DataFrame:
     """One block: its rows' ids and weights, and its tree."""
     frame = frame.sort_values("node")
-    tree = Tree(unit(np.stack(frame["embedding"].to_numpy()).astype(np.float64)))
+    raw = np.stack(frame["embedding"].to_numpy()).astype(np.float64)
+    tree = Tree(unit(raw))
     first = frame.iloc[0]
-    body = pickle.dumps((frame["node"].to_numpy(), frame["members"].to_numpy(), vars(tree)))
+    kept = {k: v for k, v in vars(tree).items() if k not in ("x", "near")}
+    body = pickle.dumps((frame["node"].to_numpy(), frame["members"].to_numpy(), _small(raw), kept))
     return pd.DataFrame({"cell": [first.cell], "block": [first.block], "body": [body]})
 
 
 def _load(body: bytes) -> tuple[np.ndarray, np.ndarray, Tree]:
-    node, members, parts = pickle.loads(body)
+    node, members, raw, parts = pickle.loads(body)
     tree = Tree.__new__(Tree)
     vars(tree).update(parts)
+    tree.x = unit(raw.astype(np.float64))
+    tree.near = tree.x.astype(np.float32)
     return node, members, tree
 
 
@@ -263,7 +301,6 @@ def _links_of_dimension(classes: DataFrame, n: int, cosine: float) -> DataFrame:
     pivots = unit(np.array([r.embedding for r in drawn], np.float64))
     celled = materialize(_cells(classes, pivots), "cells")
     sizes = {r.cell: (r.n, r.off) for r in celled.groupBy("cell").agg(F.count("*").alias("n"), F.max("off").alias("off")).collect()}
-    most = -(-max(s for s, _ in sizes.values()) // BLOCK_ROWS)
     counts = spark.createDataFrame([(c, -(-s // BLOCK_ROWS)) for c, (s, _) in sizes.items()], "cell int, blocks int")
     spread = celled.join(F.broadcast(counts), "cell").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     trees = materialize(
@@ -285,8 +322,6 @@ def _links_of_dimension(classes: DataFrame, n: int, cosine: float) -> DataFrame:
         .filter((F.col("cell") < F.col("other")) | (F.col("left_block") <= F.col("right_block")))
         .select("left", "right", same.alias("same"))
     )
-    partitions = max(1, min(len(near) * most * most, n * n // (BLOCK_ROWS * BLOCK_ROWS)))
-    pairs = pairs.repartition(partitions)
     return materialize(pairs.mapInPandas(_linked(cosine), "a bigint, b bigint, n bigint"), "vector_links")
 
 

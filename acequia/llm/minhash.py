@@ -7,18 +7,21 @@ similarity 0.8 misses all tables with probability under 1e-5.
 
 Documents with equal shingle sets form a class and are compared once. In every
 table a bucket's least and greatest class are compared with all its members; what
-these links leave in different components is then compared with all the bucket's
-members outside its component, so no link inside a bucket is lost, while a large
-group of near copies is never expanded into all its pairs.
+these links leave in different components is then compared in blocks, by matrix
+products within a task, so no link inside a bucket is lost, while the pairs of a
+large group of near copies never become rows.
 """
 
 from __future__ import annotations
 
+import math
+import pickle
 import re
 import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import cloudpickle
@@ -33,6 +36,11 @@ _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuv
 _MOST_WORDS_KEPT = 500_000  # word hashes kept by a task before the table is started anew
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _CELLS = 2_000_000
+# Blocks of classes that are compared all with all: shingles a block holds at most about, the
+# ratio between the set sizes of neighbouring blocks, and elements taken into one matrix product.
+BLOCK_SHINGLES = 100_000
+SIZE_STEP = 1.05
+COLUMNS = 4096
 
 
 class _WordHashes(dict):
@@ -196,15 +204,13 @@ def minhash_components(docs: DataFrame, shingle_words: int = 5, percent: int = 8
     sets = materialize(_class_sets(rows, signed, tables.join(ends.select("key"), "key").select("class").distinct(), shingle_words), "sets")
     links = materialize(_verify(first, sets, percent), "links")
     roots = components(links)
-    # what the ends of the buckets left apart: compare across components, within the bucket
+    # what the ends of the buckets left apart
     placed = tables.join(ends.select("key"), "key").join(roots.withColumnRenamed("node", "class"), "class", "left").select(
         "key", "class", "n", F.coalesce("root", "class").alias("root")
     )
-    open_keys = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
-    placed = materialize(placed.join(open_keys, "key"), "open")
-    other = placed.select("key", F.col("class").alias("other"), F.col("n").alias("m"), F.col("root").alias("other_root"))
-    rest = _pairs(placed.join(other, "key").filter("root < other_root"), percent).join(first.select("a", "b"), ["a", "b"], "left_anti")
-    links = links.unionByName(materialize(_verify(rest, sets, percent), "late_links"))
+    open_keys = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key", "lo")
+    placed = materialize(placed.join(open_keys, "key").select("class", "n", "root", "lo").distinct(), "open")
+    links = links.unionByName(_links_in_blocks(placed, sets, percent))
     groups = components(links)
     ids = classes.select("class", F.col("doc_id").alias("least")).join(groups.withColumnRenamed("node", "class"), "class", "left")
     ids = materialize(ids.select("class", F.coalesce("root", "class").alias("root"), "least"), "ids")
@@ -216,6 +222,95 @@ def minhash_components(docs: DataFrame, shingle_words: int = 5, percent: int = 8
     )
 
 
+def _links_in_blocks(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between classes of different components that share a bucket: (a, b), enough to connect what is linked.
+
+    `placed` has class, n, root (its component) and lo (a component met in a
+    bucket). Components that meet in buckets, directly or over others, form a pool;
+    a pool's classes are compared in blocks of bounded size, block against block
+    where the set sizes allow the similarity. Only links that connect components
+    leave a task.
+    """
+    pools = components(placed.select("root", "lo").distinct(), "root", "lo")
+    members = placed.select("class", "n", "root").distinct().join(pools.select(F.col("node").alias("root"), F.col("root").alias("pool")), "root")
+    members = members.withColumn("size", F.floor(F.log("n") / math.log(SIZE_STEP)).cast("int"))
+    chunks = members.groupBy("pool", "size").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("chunks"))
+    members = members.join(chunks, ["pool", "size"]).withColumn("chunk", F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int"))
+    members = members.select("class", "root", F.struct("pool", "size", "chunk").alias("block"))
+    blocks = materialize(
+        members.join(sets, "class").groupBy("block").applyInPandas(
+            _blocked, "block struct<pool: bigint, size: int, chunk: int>, body binary"
+        ),
+        "blocks",
+    )
+    ids = blocks.select("block", F.col("block.pool").alias("pool"))
+    other = ids.select(F.col("block").alias("other"), "pool")
+    reach = math.ceil(math.log(100 / percent) / math.log(SIZE_STEP)) + 1
+    near = F.abs(F.col("block.size") - F.col("other.size")) <= reach
+    met = materialize(ids.join(other, "pool").filter((F.col("block") <= F.col("other")) & near).select("block", "other"), "block_pairs")
+    bodies = blocks.select(F.col("block").alias("other"), F.col("body").alias("other_body"))
+    both = met.join(blocks, "block").join(bodies, "other").select("body", "other_body", (F.col("block") == F.col("other")).alias("same"))
+    return materialize(both.mapInPandas(_linked_blocks(percent), "a bigint, b bigint"), "late_links")
+
+
+def _blocked(frame: pd.DataFrame) -> pd.DataFrame:
+    frame = frame.sort_values("class")
+    body = pickle.dumps((frame["class"].to_numpy(), frame["root"].to_numpy(), frame["shingles"].tolist()))
+    return pd.DataFrame({"block": [frame["block"].iloc[0]], "body": [body]})
+
+
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets of the left with all of the right, by matrix products over shared elements."""
+    rows = [np.repeat(np.arange(len(side)), [len(s) for s in side]) for side in (left, right)]
+    values = [np.concatenate(side) for side in (left, right)]
+    shared = np.intersect1d(*values)
+    out = np.zeros((len(left), len(right)), np.float32)
+    found = []
+    for row, value in zip(rows, values):
+        at = np.searchsorted(shared, value)
+        hit = (at < len(shared)) & (shared[np.minimum(at, max(len(shared) - 1, 0))] == value) if len(shared) else np.zeros(len(value), bool)
+        order = np.argsort(at[hit], kind="stable")
+        found.append((row[hit][order], at[hit][order]))
+    for s in range(0, len(shared), COLUMNS):
+        sides = []
+        for (row, at), n in zip(found, (len(left), len(right))):
+            lo, hi = np.searchsorted(at, [s, s + COLUMNS])
+            dense = np.zeros((n, min(COLUMNS, len(shared) - s)), np.float32)
+            dense[row[lo:hi], at[lo:hi] - s] = 1.0
+            sides.append(dense)
+        out += sides[0] @ sides[1].T
+    return out.astype(np.int64)
+
+
+def _linked_blocks(percent: int) -> Callable:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in batches:
+            for body, other, same in zip(frame["body"], frame["other_body"], frame["same"]):
+                a, root_a, sets_a = pickle.loads(body)
+                b, root_b, sets_b = (a, root_a, sets_a) if same else pickle.loads(other)
+                sets_a, sets_b = ([np.frombuffer(s, np.uint64) for s in side] for side in (sets_a, sets_b))
+                both = common_counts(sets_a, sets_b)
+                union = np.array([len(s) for s in sets_a])[:, None] + np.array([len(s) for s in sets_b])[None, :] - both
+                hits = np.nonzero((100 * both >= percent * union) & (root_a[:, None] != root_b[None, :]))
+                up: dict[int, int] = {}
+
+                def find(x: int) -> int:
+                    while up.setdefault(x, x) != x:
+                        up[x] = up[up[x]]
+                        x = up[x]
+                    return x
+
+                out = []
+                for i, j in zip(*hits):
+                    x, y = find(root_a[i]), find(root_b[j])
+                    if x != y:
+                        up[x] = y
+                        out.append((a[i], b[j]))
+                yield pd.DataFrame({"a": pd.Series([x for x, _ in out], dtype="int64"), "b": pd.Series([y for _, y in out], dtype="int64")})
+
+    return run
+
+
 def _pairs(met: DataFrame, percent: int) -> DataFrame:
     """Distinct class pairs (a < b) whose set sizes allow the similarity."""
     return (
