@@ -108,7 +108,7 @@ def traverse(a: Tree, b: Tree, cosine: float, wa: np.ndarray, wb: np.ndarray, sa
                 bu, be = b.start[lb][v], b.start[lb][v + 1]
                 ra, rb = a.order[au:ae], b.order[bu:be]
                 count_a[ra] += sum_b[be] - sum_b[bu]
-                count_b[rb] += sum_a[ae] - sum_a[au]
+                count_b[rb] += wb[rb] if same and u == v else sum_a[ae] - sum_a[au]
                 pairs.extend((r, rb[0]) for r in ra)
                 pairs.extend((ra[0], r) for r in rb[1:])
             rest = ~far & ~whole
@@ -121,7 +121,7 @@ def traverse(a: Tree, b: Tree, cosine: float, wa: np.ndarray, wb: np.ndarray, sa
                 rb = b.order[b.start[lb][v]:b.start[lb][v + 1]]
                 hit = a.x[ra] @ b.x[rb].T >= cosine
                 count_a[ra] += hit @ wb[rb]
-                count_b[rb] += hit.T @ wa[ra]
+                count_b[rb] += wb[rb] if same and u == v else hit.T @ wa[ra]
                 pairs.extend(_spanning(hit, ra, rb))
             break
         ia, ib = _children(a, b, la, lb, last_a, last_b, ia, ib, reach)
@@ -133,7 +133,7 @@ def traverse(a: Tree, b: Tree, cosine: float, wa: np.ndarray, wb: np.ndarray, sa
             ia, ib = ia[once], ib[once]
         level += 1
     if same:
-        # each unordered pair was met once, a row with itself counted in both sums
+        # each pair of different nodes was met once; within a node the first sum holds all, the second the row itself
         count_a = count_a + count_b
         count_b = np.zeros_like(count_b)
     return count_a, count_b, pairs
