@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,20 +33,43 @@ def broadcast_if_small(df: DataFrame, most: int = BROADCAST_KEYS) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each batch's edges as stars: every node of the batch with the least node that the batch connects it to."""
+    for batch in batches:
+        up: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while up.setdefault(x, x) != x:
+                up[x] = up[up[x]]
+                x = up[x]
+            return x
+
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            a, b = find(a), find(b)
+            if a != b:
+                up[max(a, b)] = min(a, b)
+        stars = [(x, find(x)) for x in list(up) if up[x] != x]
+        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in stars], pa.int64()), pa.array([r for _, r in stars], pa.int64())], ["u", "v"])
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of an edge list of long ids: (node, root), root the least id of the component.
 
-    Large-star and small-star rounds (each node hands its neighbours to its least
-    neighbour) until nothing changes. Every step is an aggregate or an equi-join on
-    node ids, so a hub is never gathered in one group; each round is written to
-    the shared folder, which also cuts the lineage. Only nodes that have an edge
-    are returned; no edges give an empty table.
+    Batches of edges are first reduced to stars where they lie. Large-star and
+    small-star rounds (each node hands its neighbours to its least neighbour)
+    follow until every node points at its root. Every step is an aggregate or an
+    equi-join on node ids, so a hub is never gathered in one group; each round is
+    written to the shared folder, which also cuts the lineage. Only nodes that
+    have an edge are returned; no edges give an empty table.
     """
-    state = materialize(
-        edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct(), "edges"
-    )
-    seen = None
+    clean = edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).filter("u <> v")
+    state = materialize(clean.mapInArrow(_forests, "u bigint, v bigint").distinct(), "edges")
     for _ in range(MAX_ROUNDS):
+        # done when every node has one edge and what it points at has none
+        roots = state.select(F.col("v").alias("u")).distinct().withColumn("root", F.lit(1))
+        degrees = state.groupBy("u").agg(F.count("*").alias("n"))
+        if degrees.join(roots, "u", "left").filter("n > 1 or root is not null").isEmpty():
+            break
         both = state.select("u", "v").union(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = materialize(
@@ -50,11 +78,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         state = materialize(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "small")
-        mark = state.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if mark == seen:
-            break
-        seen = mark
     else:
         raise RuntimeError("component search did not settle")
     roots = state.select(F.col("v").alias("node")).distinct().withColumn("root", F.col("node"))
     return state.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)
+
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

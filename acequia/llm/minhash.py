@@ -210,10 +210,11 @@ def minhash_components(docs: DataFrame, shingle_words: int = 5, percent: int = 8
     )
     open_keys = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key", "lo")
     placed = materialize(placed.join(open_keys, "key").select("class", "n", "root", "lo").distinct(), "open")
-    links = links.unionByName(_links_in_blocks(placed, sets, percent))
-    groups = components(links)
-    ids = classes.select("class", F.col("doc_id").alias("least")).join(groups.withColumnRenamed("node", "class"), "class", "left")
-    ids = materialize(ids.select("class", F.coalesce("root", "class").alias("root"), "least"), "ids")
+    late = _links_in_blocks(placed, sets, percent)
+    groups = components(late).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    ids = classes.select("class", F.col("doc_id").alias("least")).join(roots.withColumnRenamed("node", "class"), "class", "left")
+    ids = ids.select(F.coalesce("root", "class").alias("root"), "class", "least").join(groups, "root", "left")
+    ids = materialize(ids.select("class", F.coalesce("top", "root").alias("root"), "least"), "ids")
     least = ids.groupBy("root").agg(F.min("least").alias("component_id"))
     found = ids.join(least, "root").select("class", "component_id")
     component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
@@ -223,7 +224,7 @@ def minhash_components(docs: DataFrame, shingle_words: int = 5, percent: int = 8
 
 
 def _links_in_blocks(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between classes of different components that share a bucket: (a, b), enough to connect what is linked.
+    """Components with linked classes that share a bucket: (a, b) as component roots, enough to connect what is linked.
 
     `placed` has class, n, root (its component) and lo (a component met in a
     bucket). Components that meet in buckets, directly or over others, form a pool;
@@ -305,7 +306,7 @@ def _linked_blocks(percent: int) -> Callable:
                     x, y = find(root_a[i]), find(root_b[j])
                     if x != y:
                         up[x] = y
-                        out.append((a[i], b[j]))
+                        out.append((root_a[i], root_b[j]))
                 yield pd.DataFrame({"a": pd.Series([x for x, _ in out], dtype="int64"), "b": pd.Series([y for _, y in out], dtype="int64")})
 
     return run
