@@ -156,8 +156,8 @@ def _count_tables(trained: DataFrame, order: int) -> list[DataFrame]:
 def _discounts(table: DataFrame) -> DataFrame:
     """Per language the discounts of counts 1, 2 and more, from the counts of counts."""
     n = [F.sum(F.when(F.col("c") == i, 1).otherwise(0)) for i in range(1, 5)]
-    y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
-    raw = [i - (i + 1) * y * F.col(f"n{i + 1}") / F.col(f"n{i}") for i in (1, 2, 3)]
+    y = F.try_divide(F.col("n1"), F.col("n1") + 2 * F.col("n2"))
+    raw = [i - (i + 1) * y * F.try_divide(F.col(f"n{i + 1}"), F.col(f"n{i}")) for i in (1, 2, 3)]
     # tiny corpora lack some counts: an absolute discount of one half takes their place
     safe = [F.when((d > 0) & (d < i), d).otherwise(F.lit(0.5)) for i, d in enumerate(raw, 1)]
     return table.groupBy("lang").agg(*[x.alias(f"n{i}") for i, x in enumerate(n, 1)]).select(
