@@ -23,7 +23,11 @@ DEMO_TOKEN = "DEMO"
 # `(?U)`: word boundaries, digits and spaces by their Unicode definition.
 _UNICODE = "(?U)"
 _NOT_ASCII = r"[^\x00-\x7F]"
-_EDGE_SPACE = (_UNICODE + r"^\s+", _UNICODE + r"\s+$")
+# Every white-space character of Unicode.
+_SPACES = (
+    "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def _folded(ch: str) -> str:
@@ -131,9 +135,7 @@ def normalize_text(c: Column) -> Column:
 
 def trim_text(c: Column) -> Column:
     """Strip every kind of white space at both ends; null stays null."""
-    for pattern in _EDGE_SPACE:
-        c = F.regexp_replace(c, pattern, "")
-    return c
+    return F.btrim(c, F.lit(_SPACES))
 
 
 def squeeze_spaces(c: Column) -> Column:
@@ -146,6 +148,11 @@ def clean_code(c: Column) -> Column:
     return F.regexp_replace(trim_text(c.cast("string")), r"\.0$", "")
 
 
+def key_text(c: Column) -> Column:
+    """Natural key as text: a clean code, null when nothing is left of it."""
+    return F.nullif(clean_code(c), F.lit(""))
+
+
 def truncate(c: Column, n: int) -> Column:
     return F.substring(c, 1, n)
 
@@ -177,7 +184,10 @@ def join_key(c: Column) -> Column:
 
 
 def composite_key(*parts: Column) -> Column:
-    """Parts joined by `-`; a missing part is kept as an empty one, so keys cannot collide."""
+    """Parts joined by `-`; a missing part is kept as an empty one.
+
+    Parts that hold `-` themselves can give one key for different rows.
+    """
     return F.concat_ws("-", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts])
 
 

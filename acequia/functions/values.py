@@ -15,7 +15,9 @@ NULL_LITERALS = (
     "nan", "null",
 )
 
-DATE_FORMATS = ("yyyy-MM-dd", "dd/MM/yyyy", "yyyy-MM-dd HH:mm:ss")
+DATE_FORMATS = (
+    "yyyy-MM-dd", "d/M/yyyy", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "d/M/yyyy H:mm", "d/M/yyyy H:mm:ss",
+)
 
 OPEN_END = dt.date(9999, 12, 31)
 

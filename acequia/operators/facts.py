@@ -34,16 +34,25 @@ class Reference:
 def resolve_keys(staged: DataFrame, references: Sequence[Reference]) -> DataFrame:
     """Add each dimension's id, null where it has no such key.
 
-    Only key and id of a dimension take part. Spark broadcasts dimensions that it
-    measures as small and splits hot keys for the others.
+    Only key and id of a dimension take part. Keys that differ in case or outer
+    spaces alone are one key here, and the member with the lowest id stands for
+    it, so that a staged row never becomes two; `key_twins` reports them. Spark
+    broadcasts dimensions that it measures as small and splits hot keys for the
+    others.
     """
     for ref in references:
         normal = (lambda c: c.cast("date")) if ref.is_date else join_key
-        ids = ref.dim.select(normal(F.col(ref.key)).alias("_key"), F.col(ref.id_col))
+        ids = ref.dim.groupBy(normal(F.col(ref.key)).alias("_key")).agg(F.min(ref.id_col).alias(ref.id_col))
         staged = lookup(staged.withColumn("_key", normal(F.col(ref.column))), ids, "_key").drop("_key")
     return staged
 
 
+def key_twins(dim: DataFrame, key: str) -> DataFrame:
+    """Keys of a dimension that differ in case or outer spaces alone: (join_key, spellings)."""
+    found = dim.filter(F.col(key).isNotNull()).groupBy(join_key(F.col(key)).alias("join_key"))
+    return found.agg(F.sort_array(F.collect_set(key)).alias("spellings")).filter(F.size("spellings") > 1)
+
+
 def fact_rows(
     staged: DataFrame,
     references: Sequence[Reference],

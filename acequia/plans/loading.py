@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acequia import schemas
-from acequia.functions.text import clean_code, to_text, truncate
+from acequia.functions.text import key_text, to_text, truncate
 from acequia.functions.values import parse_date, to_number
 from acequia.operators import quality as q
 from acequia.operators.facts import Reference, load_facts
@@ -45,46 +45,67 @@ def current_warehouse(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {name: read_published(spark, root, name) for name in TABLES}
 
 
+def dimension_batches(staged: Tables) -> dict[str, tuple[DataFrame, str]]:
+    """Cleaned batch and natural key of each master dimension; blank keys become null."""
+
+    def keyed(source: str, key: str, **more) -> tuple[DataFrame, str]:
+        return staged[source].withColumns({key: key_text(F.col(key)), **more}), key
+
+    def short(column: str, n: int):
+        return truncate(to_text(F.col(column)), n)
+
+    return {
+        "dim_insurer": keyed("insurers", "insurer_nk", insurer=to_text(F.col("insurer"))),
+        "dim_patient": keyed("patients", "document", admitted=parse_date(F.col("admitted"))),
+        "dim_equipment": keyed("equipment", "equipment_nk"),
+        "dim_order": keyed("orders", "order_number", item=short("item", 255), quantity=to_number(F.col("quantity"))),
+        "dim_drug": keyed("drugs", "code", name=short("name", 255), form=short("form", 100), route=short("route", 100)),
+    }
+
+
+def dimension_rejects(staged: Tables) -> DataFrame:
+    """Master rows without a natural key, which no dimension takes: (table, seq, reason, row as JSON)."""
+    out = None
+    for name, (batch, key) in dimension_batches(staged).items():
+        lost = batch.filter(F.col(key).isNull()).select(
+            F.lit(name).alias("table"), F.col(SEQ).cast("long").alias(SEQ), F.lit(f"no {key}").alias("reason"),
+            F.to_json(F.struct(*batch.columns)).alias("row"),
+        )
+        out = lost if out is None else out.unionByName(lost)
+    return out
+
+
 def load_dimensions(
     current: Tables, staged: Tables, load_date: dt.date | str, versioned: tuple[str, ...] = ("dim_equipment",)
 ) -> dict[str, DataFrame]:
     """New snapshots of the five master dimensions.
 
     Insurers and patients are overwritten in place unless listed in `versioned`.
+    Rows without natural key are left out; `dimension_rejects` lists them.
     """
+    batches = dimension_batches(staged)
 
-    def texts(df: DataFrame, *cols: str) -> DataFrame:
-        return df.withColumns({c: to_text(F.col(c)) for c in cols})
-
-    def members(name: str, batch: DataFrame, key: str, attrs: list[str], id_col: str) -> DataFrame:
+    def members(name: str, attrs: list[str], id_col: str | None, dated: bool = True) -> DataFrame:
+        batch, key = batches[name]
         if name in versioned:
             return scd2(current[name], batch, key, attrs, SEQ, load_date, id_col)
-        return upsert(current[name], batch, key, attrs, SEQ, load_date, id_col).drop(CHANGE)
+        return upsert(current[name], batch, key, attrs, SEQ, load_date if dated else None, id_col).drop(CHANGE)
 
-    insurers = texts(staged["insurers"], "insurer").withColumn("insurer_nk", clean_code(F.col("insurer_nk")))
-    patients = texts(staged["patients"], "document").withColumn("admitted", parse_date(F.col("admitted")))
-    equipment = staged["equipment"].withColumn("equipment_nk", clean_code(F.col("equipment_nk")))
-    orders = texts(staged["orders"], "order_number").withColumns(
-        {"item": truncate(to_text(F.col("item")), 255), "quantity": to_number(F.col("quantity"))}
-    )
-    drugs = staged["drugs"].withColumns(
-        {
-            "code": clean_code(F.col("code")), "name": truncate(to_text(F.col("name")), 255),
-            "form": truncate(to_text(F.col("form")), 100), "route": truncate(to_text(F.col("route")), 100),
-        }
-    )
     people = ["name", "city", "state", "insurer", "zone", "admitted"]
     return {
-        "dim_insurer": members("dim_insurer", insurers, "insurer_nk", ["insurer"], "insurer_id"),
-        "dim_patient": members("dim_patient", patients, "document", people, "patient_id"),
-        "dim_equipment": members("dim_equipment", equipment, "equipment_nk", ["equipment", "state"], "equipment_id"),
-        "dim_order": upsert(
-            current["dim_order"], orders, "order_number", ["item", "quantity"], SEQ, id_col="order_id"
-        ).drop(CHANGE),
-        "dim_drug": upsert(current["dim_drug"], drugs, "code", ["name", "form", "route"], SEQ).drop(CHANGE),
+        "dim_insurer": members("dim_insurer", ["insurer"], "insurer_id"),
+        "dim_patient": members("dim_patient", people, "patient_id"),
+        "dim_equipment": members("dim_equipment", ["equipment", "state"], "equipment_id"),
+        "dim_order": members("dim_order", ["item", "quantity"], "order_id", dated=False),
+        "dim_drug": members("dim_drug", ["name", "form", "route"], None, dated=False),
     }
 
 
+def _fact_codes(staged: DataFrame, *columns: str) -> DataFrame:
+    """Codes of a staged fact in the form that the dimensions hold."""
+    return staged.withColumns({c: key_text(F.col(c)) for c in columns})
+
+
 def _fact_dimensions(warehouse: Tables, staged: DataFrame, day: str, load_date) -> dict[str, DataFrame]:
     """Patients, insurers and dates completed by what a staged fact mentions."""
     name = F.min("patient") if "patient" in staged.columns else F.lit(UNKNOWN)
@@ -110,9 +131,9 @@ def _references(dims: Tables, day: str) -> list[Reference]:
 
 def load_equipment(warehouse: Tables, report: DataFrame, load_date, load_ts) -> tuple[dict[str, DataFrame], DataFrame]:
     """(changed tables, rejected rows) of the equipment report; key: code, serial, date."""
-    staged = report.withColumns(
+    staged = _fact_codes(report, "equipment_nk", "document", "insurer_nk").withColumns(
         {
-            "equipment_nk": clean_code(F.col("equipment_nk")), "delivered": parse_date(F.col("delivered")),
+            "delivered": parse_date(F.col("delivered")),
             "quantity": to_number(F.col("quantity")),
         }
     )
@@ -130,7 +151,7 @@ def load_equipment(warehouse: Tables, report: DataFrame, load_date, load_ts) ->
 
 def load_services(warehouse: Tables, history: DataFrame, load_date, load_ts) -> tuple[dict[str, DataFrame], DataFrame]:
     """(changed tables, rejected rows) of the service history; each request counts one."""
-    staged = history.withColumn("sent", parse_date(F.col("sent")))
+    staged = _fact_codes(history, "order_number", "document", "insurer_nk").withColumn("sent", parse_date(F.col("sent")))
     dims = _fact_dimensions(warehouse, staged, "sent", load_date)
     dims["dim_order"] = add_missing_members(
         warehouse["dim_order"], staged, "order_number", "order_number", {"item": F.min("item"), "quantity": F.lit(1.0)},
@@ -164,9 +185,10 @@ def validate(warehouse: Tables) -> DataFrame:
 
 
 def run_all(spark: SparkSession, root: str, staged: Tables, run_id: str, load_date, load_ts) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """Dimensions, equipment facts, service facts, publish, validate: (checks, rejects by fact).
+    """Dimensions, equipment facts, service facts, validate, publish: (checks, rejects by table).
 
-    All tables of the run become visible together or not at all.
+    All tables of the run become visible together or not at all; a run whose checks
+    fail is not published. Rejects of the dimensions are under `dimensions`.
     """
     warehouse = current_warehouse(spark, root)
     dims = load_dimensions(warehouse, staged, load_date)
@@ -175,6 +197,6 @@ def run_all(spark: SparkSession, root: str, staged: Tables, run_id: str, load_da
     warehouse |= changed
     changed, service_rejects = load_services(warehouse, staged["history"], load_date, load_ts)
     warehouse |= changed
-    publish(warehouse, root, run_id)
-    checks = validate({name: read_published(spark, root, name) for name in TABLES})
-    return checks, {"fact_equipment": equipment_rejects, "fact_service": service_rejects}
+    checks = publish(warehouse, root, run_id, validate)
+    rejects = {"dimensions": dimension_rejects(staged), "fact_equipment": equipment_rejects, "fact_service": service_rejects}
+    return checks, rejects

@@ -6,14 +6,15 @@ import csv
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from acequia.operators.cleaning import nulls_from_text
 
 # Encodings to try, under the names Spark knows them by.
 UTF8, LATIN1 = "UTF-8", "ISO-8859-1"
 SEPARATORS = ";,\t|"
-_PREFIX = 64 * 1024
+_SURPLUS = 16  # fields beyond the header that are looked at to tell a surplus row
 _INVISIBLE = "\ufeff\u200b\u200c\u200d\u2060\u00a0"
 
 
@@ -34,67 +35,115 @@ def require_inputs(spark: SparkSession, paths: Sequence[str]) -> None:
         raise FileNotFoundError("missing inputs: " + ", ".join(missing))
 
 
-def _first_file(spark: SparkSession, path: str) -> str:
-    fs, jpath = _hadoop(spark, path)
-    if not fs.getFileStatus(jpath).isDirectory():
-        return path
-    files = sorted(
-        s.getPath().toString() for s in fs.listStatus(jpath)
-        if s.isFile() and not s.getPath().getName().startswith(("_", "."))
+def separator_of(header: str, separators: str = SEPARATORS, default: str = SEPARATORS[0]) -> str:
+    """Separator of a header line; the default for a header of one column."""
+    if not any(c in header for c in separators):
+        return default
+    try:
+        return csv.Sniffer().sniff(header, separators).delimiter
+    except csv.Error as err:
+        raise ValueError(f"no separator found in the header {header[:80]!r}") from err
+
+
+def file_formats(spark: SparkSession, path: str, separators: str = SEPARATORS) -> list[tuple[str, str, str, str]]:
+    """(file, header line, separator, encoding) of every file under a path.
+
+    The encoding is decided over all lines of a file, in Spark: UTF-8 if all are
+    valid UTF-8, else Latin-1, which decodes any bytes. One row per file reaches
+    the driver.
+    """
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"),
+    )
+    files = lines.groupBy("file").agg(
+        F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
+        F.min(F.when(F.col("block") == 0, F.struct("at", F.col("value").cast("binary").alias("raw")))).alias("first"),
     )
-    if not files:
-        raise FileNotFoundError(f"no data files in {path}")
-    return files[0]
+    out = []
+    for r in files.orderBy("file").collect():
+        encoding = UTF8 if r.utf8 else LATIN1
+        header = bytes(r.first.raw).decode("utf-8-sig" if r.utf8 else "latin-1").rstrip("\r")
+        out.append((r.file, header, separator_of(header, separators), encoding))
+    if not out:
+        raise FileNotFoundError(f"no data in {path}")
+    return out
 
 
 def detect_format(spark: SparkSession, path: str, separators: str = SEPARATORS) -> tuple[str, str]:
-    """(separator, encoding) from the header line.
+    """(separator, encoding) shared by all files under a path."""
+    found = {(sep, encoding) for _, _, sep, encoding in file_formats(spark, path, separators)}
+    if len(found) > 1:
+        raise ValueError(f"files under {path} differ in format: {sorted(found)}")
+    return found.pop()
 
-    Text that is not UTF-8 counts as Latin-1, which decodes any bytes.
-    """
-    fs, jpath = _hadoop(spark, _first_file(spark, path))
-    stream = fs.open(jpath)
-    try:
-        size = min(_PREFIX, fs.getFileStatus(jpath).getLen())
-        raw = bytes(b & 0xFF for b in stream.readNBytes(int(size)))
-    finally:
-        stream.close()
-    line = raw.split(b"\n", 1)[0]
-    try:
-        text, encoding = line.decode("utf-8-sig"), UTF8
-    except UnicodeDecodeError:
-        text, encoding = line.decode("latin-1"), LATIN1
-    try:
-        return csv.Sniffer().sniff(text, separators).delimiter, encoding
-    except csv.Error as err:
-        raise ValueError(f"no separator found in the header of {path}") from err
+
+def _clean(name: str) -> str:
+    return name.translate(str.maketrans("", "", _INVISIBLE)).strip()
 
 
 def clean_headers(df: DataFrame) -> DataFrame:
     """Trim column names and remove byte-order marks and invisible characters."""
-    drop = str.maketrans("", "", _INVISIBLE)
-    return df.toDF(*[c.translate(drop).strip() for c in df.columns])
+    return df.toDF(*[_clean(c) for c in df.columns])
 
 
-def read_delimited(
+def read_with_rejects(
     spark: SparkSession,
     path: str,
     sep: str | None = None,
     encoding: str | None = None,
     schema: StructType | None = None,
     columns: Sequence[str] | None = None,
-) -> DataFrame:
-    """Text columns with clean headers and nulls for the usual missing-value texts.
-
-    Separator and encoding are detected when not given. Without a schema the header
-    names the columns; nothing is inferred.
+    multiline: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejected rows) of the delimited files under a path, all columns as text.
+
+    Each file has its own separator and encoding (detected when not given) and its
+    own column order: columns are found by header name, those that a file lacks
+    are null. Quotes inside quoted fields are doubled; quoted line breaks need
+    `multiline`, which reads each file by one task. Short rows are filled with
+    nulls; rows with more fields than the header, whose extra fields are not all
+    empty, are rejected (`file`, `fields`). With a schema its columns are returned,
+    in its order; one that no file has is an error.
     """
-    if sep is None or encoding is None:
-        found_sep, found_encoding = detect_format(spark, path)
-        sep, encoding = sep or found_sep, encoding or found_encoding
-    reader = spark.read.options(header=True, sep=sep, encoding=encoding, inferSchema=False, mode="PERMISSIVE")
-    if schema is not None:
-        reader = reader.schema(schema)
-    df = clean_headers(reader.csv(path))
-    return nulls_from_text(df.select(*[f"`{c}`" for c in columns]) if columns else df)
+    groups: dict[tuple, list[str]] = {}
+    for file, header, found_sep, found_encoding in file_formats(spark, path):
+        use = sep or found_sep
+        names = tuple(_clean(c) for c in next(csv.reader([header], delimiter=use)))
+        groups.setdefault((use, encoding or found_encoding, names), []).append(file)
+    wanted = [f.name for f in schema.fields] if schema is not None else list(dict.fromkeys(c for _, _, names in groups for c in names))
+    absent = [c for c in [*wanted, *(columns or ())] if not any(c in names for _, _, names in groups)]
+    if absent:
+        raise ValueError(f"columns {absent} are in no file under {path}")
+    rows, rejects = None, None
+    for (use, code, names), files in groups.items():
+        places = [f"_{i}" for i in range(len(names) + _SURPLUS)]
+        raw = spark.read.schema(StructType([StructField(p, StringType()) for p in places])).options(
+            header=True, sep=use, encoding=code, quote='"', escape='"', multiLine=multiline, mode="PERMISSIVE", enforceSchema=True
+        ).csv(files)
+        extra = F.coalesce(*[F.nullif(p, F.lit("")) for p in places[len(names):]]).isNotNull()
+        raw = raw.select("*", F.col("_metadata.file_path").alias("file"))
+        at = {c: i for i, c in reversed(list(enumerate(names)))}
+        good = raw.filter(~extra).select(*[(F.col(places[at[c]]) if c in at else F.lit(None).cast("string")).alias(c) for c in wanted])
+        bad = raw.filter(extra).select("file", F.array(*places).alias("fields"))
+        rows = good if rows is None else rows.unionByName(good)
+        rejects = bad if rejects is None else rejects.unionByName(bad)
+    rows = nulls_from_text(rows)
+    return (rows.select(*[f"`{c}`" for c in columns]) if columns else rows), rejects
 
+
+def read_delimited(
+    spark: SparkSession,
+    path: str,
+    sep: str | None = None,
+    encoding: str | None = None,
+    schema: StructType | None = None,
+    columns: Sequence[str] | None = None,
+    multiline: bool = False,
+) -> DataFrame:
+    """The rows of `read_with_rejects`; raises when rows hold more fields than their header."""
+    rows, rejects = read_with_rejects(spark, path, sep, encoding, schema, columns, multiline)
+    bad = rejects.limit(3).collect()
+    if bad:
+        raise ValueError(f"rows with surplus fields under {path}: {[r.fields for r in bad]}")
+    return rows

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,9 +20,9 @@ def read_stage(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def export_csv(df: DataFrame, path: str, sep: str = ",", run_ts: dt.datetime | None = None) -> str:
-    """Write delimited UTF-8 part files; with a run time, to `path_YYYYMMDD_HHMM`."""
+    """Write delimited UTF-8 part files, quotes doubled; with a run time, to `path_YYYYMMDD_HHMM`."""
     target = f"{path}_{run_ts:%Y%m%d_%H%M}" if run_ts else path
-    df.write.mode("overwrite").options(header=True, sep=sep, encoding="UTF-8").csv(target)
+    df.write.mode("overwrite").options(header=True, sep=sep, encoding="UTF-8", quote='"', escape='"').csv(target)
     return target
 
 
@@ -35,28 +35,57 @@ def write_fact(df: DataFrame, path: str, partition_cols: Sequence[str] = ("year"
     df.hint("rebalance", *partition_cols).write.mode("overwrite").partitionBy(*partition_cols).parquet(path)
 
 
-def publish(snapshots: Mapping[str, DataFrame], root: str, run_id: str) -> None:
+def publish(
+    snapshots: Mapping[str, DataFrame],
+    root: str,
+    run_id: str,
+    check: Callable[[dict[str, DataFrame]], DataFrame] | None = None,
+    keep_runs: int | None = None,
+) -> DataFrame | None:
     """Make a set of tables visible together.
 
     Tables go to a folder of their own run; a marker created last makes the run the
     current one. A failed run leaves no marker, and readers keep the previous set.
-    Run ids must sort in time order.
+    Run ids must sort in time order as texts; one that is not above the current run
+    is refused. `check` gets the written tables and returns checks with a `passed`
+    column: unless all pass, nothing is published. Returns the checks. With
+    `keep_runs` the files of older runs are removed.
     """
     spark = next(iter(snapshots.values())).sparkSession
-    fs, marker = _hadoop(spark, f"{root}/published/{run_id}")
-    if fs.exists(marker):
-        raise FileExistsError(f"run {run_id} is already published")
+    last = current_run(spark, root)
+    if last is not None and run_id <= last:
+        raise FileExistsError(f"run {run_id} does not come after the published run {last}")
     for name, df in snapshots.items():
         df.write.mode("overwrite").parquet(f"{root}/runs/{run_id}/{name}")
+    checks = None
+    if check is not None:
+        checks = check({name: spark.read.parquet(f"{root}/runs/{run_id}/{name}") for name in snapshots})
+        failed = [r.asDict() for r in checks.filter("not passed").limit(20).collect()]
+        if failed:
+            raise ValueError(f"run {run_id} failed its checks and is not published: {failed}")
+    fs, marker = _hadoop(spark, f"{root}/published/{run_id}")
     fs.create(marker, False).close()
+    if keep_runs:
+        for old in published_runs(spark, root)[:-keep_runs]:
+            for part in ("published", "runs"):
+                fs.delete(_hadoop(spark, f"{root}/{part}/{old}")[1], True)
+    return checks
+
+
+def published_runs(spark: SparkSession, root: str) -> list[str]:
+    """Published runs from the oldest to the current one."""
+    fs, folder = _hadoop(spark, f"{root}/published")
+    return sorted(s.getPath().getName() for s in fs.listStatus(folder)) if fs.exists(folder) else []
 
 
 def current_run(spark: SparkSession, root: str) -> str | None:
     """Latest published run, None before the first."""
-    fs, folder = _hadoop(spark, f"{root}/published")
-    if not fs.exists(folder):
-        return None
-    return max((s.getPath().getName() for s in fs.listStatus(folder)), default=None)
+    return next(reversed(published_runs(spark, root)), None)
+
+
+def run_tables(spark: SparkSession, root: str, run_id: str) -> set[str]:
+    fs, folder = _hadoop(spark, f"{root}/runs/{run_id}")
+    return {s.getPath().getName() for s in fs.listStatus(folder)}
 
 
 def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:

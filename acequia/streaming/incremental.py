@@ -9,7 +9,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from acequia.operators.dedupe import dedupe_keep_last
 from acequia.operators.upsert import CHANGE, delta, upsert
-from acequia.sources.tables import current_run, publish, read_published
+from acequia.sources.tables import current_run, publish, read_published, run_tables
+
+KEEP_RUNS = 3
 
 
 def upsert_stream(
@@ -25,7 +27,9 @@ def upsert_stream(
     """Apply every available micro-batch to a published table, then stop.
 
     A batch is published under its number, so one that is delivered again after a
-    failure is recognised and skipped.
+    failure is recognised and skipped. The table has a root of its own, as a run
+    stands for all tables of its root; another one is refused. The last
+    `KEEP_RUNS` snapshots are kept.
     """
 
     def apply(batch: DataFrame, number: int) -> None:
@@ -33,10 +37,12 @@ def upsert_stream(
         last = current_run(spark, root)
         if last is not None and last >= run_id:
             return
+        if last is not None and run_tables(spark, root, last) != {table}:
+            raise ValueError(f"{root} holds other tables than {table}")
         current = initial if last is None else read_published(spark, root, table)
         # last row per key first: an older row must not win because the newest changes nothing
         changes = delta(current, dedupe_keep_last(batch, keys, order), keys, attrs)
-        publish({table: upsert(current, changes, keys, attrs, order).drop(CHANGE)}, root, run_id)
+        publish({table: upsert(current, changes, keys, attrs, order).drop(CHANGE)}, root, run_id, keep_runs=KEEP_RUNS)
 
     return (
         arriving.writeStream.foreachBatch(apply)

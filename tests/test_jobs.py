@@ -3,7 +3,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from acequia import schemas
+from acequia import schemas, session
+from acequia.operators.facts import key_twins
 from acequia.plans.loading import TABLES, run_all
 from acequia.sources import delimited as d
 from acequia.sources import tables as t
@@ -27,6 +28,42 @@ def test_delimited_detection_and_nulls(spark, tmp_path):
         d.require_inputs(spark, [str(latin), str(tmp_path / "x.csv"), str(tmp_path / "y.csv")])
 
 
+def test_delimited_encoding_is_decided_over_all_lines(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_bytes("Codigo;Nombre\n1;Acetaminofén\n".encode("latin-1"))
+    (tmp_path / "in" / "b.csv").write_bytes("Nombre,Codigo\nCatéter,2\n".encode("utf-8"))
+    df = d.read_delimited(spark, str(tmp_path / "in"))
+    assert sorted(map(tuple, df.select("Codigo", "Nombre").collect())) == [("1", "Acetaminofén"), ("2", "Catéter")]
+    with pytest.raises(ValueError, match="differ in format"):
+        d.detect_format(spark, str(tmp_path / "in"))
+    with pytest.raises(ValueError, match="Precio"):
+        d.read_delimited(spark, str(tmp_path / "in"), columns=["Precio"])
+
+
+def test_delimited_quotes_short_and_surplus_rows(spark, tmp_path):
+    path = tmp_path / "q.csv"
+    path.write_text('A;B;C\n"Tubo 5"" largo; azul";R1;x\nshort;R2\n3;"x";R3;extra\n4;y;z;\n', encoding="utf-8")
+    rows, rejects = d.read_with_rejects(spark, str(path))
+    assert sorted(map(tuple, rows.collect()), key=str) == sorted(
+        [('Tubo 5" largo; azul', "R1", "x"), ("short", "R2", None), ("4", "y", "z")], key=str)
+    assert [r.fields[:4] for r in rejects.collect()] == [["3", "x", "R3", "extra"]]
+    with pytest.raises(ValueError, match="surplus"):
+        d.read_delimited(spark, str(path))
+    path.write_text('A;B\n"one\ntwo";2\n', encoding="utf-8")
+    assert d.read_delimited(spark, str(path), multiline=True).first().A == "one\ntwo"
+    path.write_text("Solo\nuno\n", encoding="utf-8")
+    assert [r.Solo for r in d.read_delimited(spark, str(path)).collect()] == ["uno"]
+    schema = schemas.text_schema("B", "A")
+    path.write_text("A;B\n1;2\n", encoding="utf-8")
+    assert tuple(d.read_delimited(spark, str(path), schema=schema).first()) == ("2", "1")
+
+
+def test_export_reads_back(spark, tmp_path):
+    rows = [('say "hi"; ok', "a,b"), ("\\", "ñ")]
+    out = t.export_csv(spark.createDataFrame(rows, "x string, y string"), str(tmp_path / "e"), ";")
+    assert sorted(map(tuple, d.read_delimited(spark, out).collect())) == sorted(rows)
+
+
 def test_stage_export_and_partitions(spark, tmp_path):
     df = spark.sql("select 1 as id, 2024 as year, 6 as month, 'é;x' as name")
     t.write_stage(df, str(tmp_path), "stg")
@@ -49,6 +86,49 @@ def test_publish_is_all_or_nothing(spark, tmp_path):
     assert t.current_run(spark, root) == "1" and t.read_published(spark, root, "x").count() == 1
     t.publish({"x": spark.range(7)}, root, "3")
     assert t.read_published(spark, root, "x").count() == 7
+    with pytest.raises(FileExistsError):
+        t.publish({"x": spark.range(9)}, root, "10")
+    failing = spark.sql("select 'c' as name, false as passed")
+    with pytest.raises(ValueError, match="checks"):
+        t.publish({"x": spark.range(9)}, root, "4", lambda tables: failing)
+    assert t.current_run(spark, root) == "3"
+    t.publish({"x": spark.range(2)}, root, "5", keep_runs=1)
+    assert t.published_runs(spark, root) == ["5"] and t.read_published(spark, root, "x").count() == 2
+
+
+def test_cluster_needs_a_shared_folder(spark):
+    class Context:
+        master = "spark://host:7077"
+
+    class Session:
+        conf = {}
+        sparkContext = Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(Session())
+
+
+def test_codes_twins_and_rejects(spark, tmp_path):
+    tables = staged(spark)
+
+    def frame(rows, like):
+        return spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], tables[like].schema)
+
+    tables["insurers"] = frame([("01", "Salud A"), (None, "Sin codigo"), (" ", "Blanco")], "insurers")
+    tables["patients"] = frame([("100.0", "Ana", "Cali", "A", "01", "Z", "5/6/2024")], "patients")
+    tables["equipment"] = frame([("ab1", "Bomba", "ACTIVO"), ("AB1", "Bomba 2", "ACTIVO")], "equipment")
+    tables["report"] = frame([("ab1", "S1", "100", "01.0", "5/6/2024", "1"), ("AB1", "S2", "100.0", "01", "2024-06-15T10:00:00", "1")], "report")
+    tables["history"] = frame([("P1.0", "100", "Gasa", "01.0", "05/06/2024 10:00")], "history")
+    _, rejects = run_all(spark, str(tmp_path), tables, "1", "2024-06-15", "2024-06-15 06:00:00")
+    read = lambda name: t.read_published(spark, str(tmp_path), name)
+    assert [r.insurer_nk for r in read("dim_insurer").collect()] == ["01"]
+    assert [r.document for r in read("dim_patient").collect()] == ["100"]
+    facts = read("fact_equipment").collect()
+    assert len(facts) == 2 and len({r.equipment_id for r in facts}) == 1
+    assert rejects["fact_equipment"].count() == 0 and rejects["fact_service"].count() == 0
+    assert sorted((r.table, r.seq, r.reason) for r in rejects["dimensions"].collect()) == [
+        ("dim_insurer", 1, "no insurer_nk"), ("dim_insurer", 2, "no insurer_nk")]
+    assert [r.spellings for r in key_twins(read("dim_equipment"), "equipment_nk").collect()] == [["AB1", "ab1"]]
 
 
 def staged(spark):
