@@ -28,8 +28,11 @@ QUANTILES = (0.005, 0.995)
 FLUSH_PAIRS = 2_000_000  # (document, n-gram) pairs held by a task before they are handed on
 _MOST_ROWS = 1 << 16
 _PART_BITS = 33
-_FREQ_BITS = 15  # a pair in one int: place in the flush above, frequency below
+# A pair takes two bytes: the step from the last place above, the frequency below; codes of
+# frequency 0 take longer steps, codes of step 0 add to the frequency.
+_FREQ_BITS = 4
 _MOST_FREQ = (1 << _FREQ_BITS) - 1
+_MOST_STEP = (1 << (16 - _FREQ_BITS)) - 1
 _CHAR_BITS = 21  # holds every code point, so that an n-gram of up to 3 is one long
 _START = 2  # code point put before a text, order - 1 times
 
@@ -37,10 +40,10 @@ _HEAD = pa.list_(pa.struct([
     ("doc_id", pa.int64()), ("key", pa.int64()), ("trusted", pa.bool_()), ("n", pa.int64()), ("place", pa.int32()),
 ]))
 _SEEN = pa.schema([
-    ("lang", pa.string()), ("gram", pa.int64()), ("base", pa.int64()), ("pairs", pa.list_(pa.int32())),
+    ("lang", pa.string()), ("gram", pa.int64()), ("base", pa.int64()), ("pairs", pa.binary()),
     ("trusted", pa.int64()), ("heads", _HEAD),
 ])
-_SEEN_DDL = ("lang string, gram bigint, base bigint, pairs array<int>, trusted bigint, "
+_SEEN_DDL = ("lang string, gram bigint, base bigint, pairs binary, trusted bigint, "
              "heads array<struct<doc_id: bigint, key: bigint, trusted: boolean, n: bigint, place: int>>")
 
 
@@ -54,6 +57,28 @@ def grams(text: str, order: int) -> np.ndarray:
     return out
 
 
+def encode(place: np.ndarray, n: np.ndarray, starts: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """Two-byte codes of pairs in rows that begin at `starts` (places ascend in a row), and the byte ends of the rows and one empty row."""
+    step = np.diff(place, prepend=0)
+    step[starts] = place[starts]
+    skips, times = step // _MOST_STEP, (n + _MOST_FREQ - 1) // _MOST_FREQ
+    total = skips + times
+    upto = np.concatenate([[0], np.cumsum(total)])
+    own = np.repeat(np.arange(len(n)), total)
+    at = np.arange(upto[-1]) - upto[own] - skips[own]
+    steps = np.where(at < 0, _MOST_STEP, np.where(at == 0, step[own] % _MOST_STEP, 0))
+    freqs = np.where(at < 0, 0, np.minimum(_MOST_FREQ, n[own] - _MOST_FREQ * at))
+    ends = 2 * np.concatenate([upto[starts], [upto[-1], upto[-1]]]).astype(np.int32)
+    return ((steps << _FREQ_BITS) | freqs).astype(np.uint16).tobytes(), ends
+
+
+def decode(codes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and frequencies of rows of so many codes."""
+    upto = np.concatenate([[0], np.cumsum(codes >> _FREQ_BITS, dtype=np.int64)])
+    starts = np.cumsum(sizes) - sizes
+    return upto[1:] - np.repeat(upto[starts], sizes), codes & _MOST_FREQ
+
+
 def _frequencies(order: int) -> Callable:
     """n-gram rows of batches of documents: which documents hold it how often, and its count in trusted ones."""
 
@@ -68,22 +93,16 @@ def _frequencies(order: int) -> Callable:
                 n = np.concatenate(counts) if counts else np.empty(0, np.int64)
                 place = np.repeat(np.array(places, np.int64), [len(f) for f in found])
                 trusted = np.array([h["trusted"] for h in heads], bool)
-                # frequencies beyond the field take several pairs
-                times = (n + _MOST_FREQ - 1) // _MOST_FREQ
-                if len(n) and times.max() > 1:
-                    left = np.repeat(n, times) - _MOST_FREQ * (np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times))
-                    ids, place, n = np.repeat(ids, times), np.repeat(place, times), np.minimum(left, _MOST_FREQ)
                 order_ = np.argsort(ids, kind="stable")
                 ids, place, n = ids[order_], place[order_], n[order_]
                 starts = np.nonzero(np.diff(ids, prepend=-1))[0]
-                pairs = ((place << _FREQ_BITS) | n).astype(np.uint32).view(np.int32)
                 sums = np.add.reduceat(np.where(trusted[np.searchsorted(places, place)], n, 0), starts) if len(ids) else ids
-                ends = np.append(starts, [len(ids), len(ids)]).astype(np.int32)
-                rows = len(starts)
+                rows, (codes, ends) = len(starts), encode(place, n, starts)
+                pairs = pa.Array.from_buffers(pa.binary(), rows + 1, [None, pa.py_buffer(ends), pa.py_buffer(codes)])
                 yield pa.RecordBatch.from_arrays([
                     pa.array([lang] * (rows + 1), pa.string()), pa.array([*ids[starts].tolist(), None], pa.int64()),
-                    pa.array(np.full(rows + 1, base)), pa.ListArray.from_arrays(pa.array(ends), pa.array(pairs)),
-                    pa.array([*sums.tolist(), 0], pa.int64()), pa.array([*[None] * rows, heads], _HEAD),
+                    pa.array(np.full(rows + 1, base)), pairs, pa.array([*sums.tolist(), 0], pa.int64()),
+                    pa.array([*[None] * rows, heads], _HEAD),
                 ], schema=_SEEN)
 
         for batch in batches:
@@ -118,8 +137,10 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         bases, scores = batch.column(0).to_numpy(zero_copy_only=False), batch.column(2).to_numpy(zero_copy_only=False)
-        lists = batch.column(1)
-        ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint32)
+        packed = batch.column(1)
+        _, offsets, data = packed.buffers()
+        ends = np.frombuffer(offsets, np.int32)[packed.offset:packed.offset + len(packed) + 1] // 2
+        flat = np.frombuffer(data, np.uint16, ends[-1]) if len(packed) and ends[-1] else np.empty(0, np.uint16)
         cuts = [0, *np.nonzero(np.diff(bases))[0] + 1, len(bases)]
         for s, e in zip(cuts, cuts[1:]):
             if s == e:
@@ -128,9 +149,9 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if base is not None:
                     yield flush()
                 base, most = bases[s], 0
-            own = flat[ends[s]:ends[e]]
-            place = own >> _FREQ_BITS
-            value = (own & _MOST_FREQ) * np.repeat(scores[s:e], np.diff(ends[s:e + 1]))
+            sizes = np.diff(ends[s:e + 1])
+            place, freq = decode(flat[ends[s]:ends[e]], sizes)
+            value = freq * np.repeat(scores[s:e], sizes)
             top = int(place.max()) + 1 if len(place) else 0
             sums[:top] += np.bincount(place, value, minlength=top)
             most = max(most, top)

@@ -24,17 +24,19 @@ WHOLE_SHARE = 0.5
 VARIABLE = "<*>"
 
 
-def tokens_of(line: Column) -> Column:
-    """Tokens between white space, those with a digit masked."""
-    parts = F.split(F.btrim(F.regexp_replace(line, r"\s+", " ")), " ")
-    return F.transform(parts, lambda t: F.when(t.rlike("[0-9]"), F.lit(VARIABLE)).otherwise(t))
+def masked(line: Column) -> Column:
+    """The line's tokens with one space between them, those with a digit masked; most lines need neither step."""
+    plain = F.when(line.rlike(r"[\t\x0b\f\r]| {2}|^ | $"), F.btrim(F.regexp_replace(line, r"[ \t\x0b\f\r]+", " "))).otherwise(line)
+    return F.when(line.rlike("[0-9]"), F.regexp_replace(plain, "[^ ]*[0-9][^ ]*", VARIABLE)).otherwise(plain)
 
 
 def _lines(docs: DataFrame, key: Column, leading: int) -> DataFrame:
-    """Lines that hold anything but white space: (key, line_no, tokens, leaf)."""
-    each = docs.select(key.alias("key"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    each = each.filter(F.col("line").rlike(r"\S")).select("key", "line_no", tokens_of(F.col("line")).alias("tokens"))
-    return each.withColumn("leaf", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, leading)))
+    """Lines that hold anything but white space: (key, line_no, masked, leaf, line)."""
+    each = docs.select(key.alias("key"), F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
+    each = each.select("key", "line_no", masked(F.col("raw")).alias("masked")).filter("masked <> ''")
+    spaces = F.length("masked") - F.length(F.replace("masked", F.lit(" "), F.lit("")))
+    leaf = F.xxhash64(spaces, F.substring_index("masked", " ", leading))
+    return each.select("key", "line_no", "masked", leaf.alias("leaf"), F.xxhash64("masked").alias("line"))
 
 
 def recurring_lines(docs: DataFrame, key: Column, min_documents: int = MIN_DOCUMENTS,
@@ -46,14 +48,12 @@ def recurring_lines(docs: DataFrame, key: Column, min_documents: int = MIN_DOCUM
         .filter(F.col("n") >= min_documents).select("leaf")
     )
     leaves = broadcast_if_small(materialize(leaves, "leaves"))
-    candidates = materialize(
-        lines.join(leaves, "leaf", "left_semi").select("key", "line_no", "leaf", "tokens", F.xxhash64("tokens").alias("line")),
-        "lines",
-    )
+    candidates = materialize(lines.join(leaves, "leaf", "left_semi"), "lines")
     # distinct lines with the number of documents that hold them
     held = candidates.select("leaf", "line", "key").distinct().groupBy("leaf", "line").agg(F.count("*").alias("n"))
-    texts = candidates.select("leaf", "line", "tokens").dropDuplicates(["leaf", "line"])
-    distinct = materialize(texts.join(held, ["leaf", "line"]), "distinct_lines")
+    texts = candidates.select("leaf", "line", "masked").dropDuplicates(["leaf", "line"])
+    tokens = F.split("masked", " ")
+    distinct = materialize(texts.join(held, ["leaf", "line"]), "distinct_lines").select("leaf", "line", "n", tokens.alias("tokens"))
     placed = distinct.select("leaf", "line", "n", F.posexplode("tokens").alias("place", "token"))
     constant = placed.groupBy("leaf", "place", "token").agg(F.sum("n").alias("n")).filter(
         (F.col("n") >= min_documents) & (F.col("token") != VARIABLE)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from acequia.llm.common import content_key
 from acequia.llm.imatch import BAND, fingerprint_documents, lexicon, term_slots
-from acequia.llm.kneser_ney import classify
+from acequia.llm.kneser_ney import classify, decode, encode
 from acequia.llm.line_templates import drop_recurring_lines, without_recurring_lines
 from acequia.llm.mixing import MOST_DOMAINS, copies, mix, replay, with_rates
 from acequia.llm.url_filter import judge, patterns_of
@@ -48,6 +48,23 @@ class PlainModel:
         return math.exp(-sum(math.log(self.p(padded[i:i + 3])) for i in range(len(text))) / len(text))
 
 
+def test_pair_codes_round_trip():
+    rng = np.random.default_rng(2)
+    starts = np.array([0, 3, 4, 10])
+    place = np.concatenate([np.sort(rng.choice(60_000, k, replace=False)) for k in (3, 1, 6, 20)])
+    n = rng.choice([1, 2, 15, 16, 400, 70_000], len(place))
+    codes, ends = encode(place, n, starts)
+    assert list(ends[-2:]) == [len(codes)] * 2
+    sizes = np.diff(ends[:-1]) // 2
+    at, freq = decode(np.frombuffer(codes, np.uint16), sizes)
+    row = np.repeat(np.arange(4), sizes)
+    for r, (lo, hi) in enumerate(zip(starts, [*starts[1:], len(place)])):
+        got = np.bincount(at[row == r], freq[row == r], minlength=60_000)
+        want = np.zeros(60_000)
+        want[place[lo:hi]] = n[lo:hi]
+        assert (got == want).all()
+
+
 def test_perplexity_equals_plain_model(spark):
     good = {i: words("ab", 3 + i % 4, i) for i in range(12)} | {i: f"uno dos {i} tres" for i in range(20, 26)}
     rows = list(good.items()) + [(40, "zz!!zz"), (41, "ab1 ab2"), (42, None), (43, ""), (44, "xx"), (41, "ab1 ab2"), (None, "ab9"), (45, "q" * 40_000)]
