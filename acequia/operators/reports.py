@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acequia.operators.history import current_only
@@ -38,6 +40,19 @@ def services_by_insurer(facts: DataFrame, insurers: DataFrame) -> DataFrame:
     )
 
 
+def store_by_year(report: DataFrame, path: str, years: Sequence[int] | None = None) -> None:
+    """Store a report partitioned by its `year`; with `years`, only those are replaced."""
+    rows = report if years is None else report.filter(F.col("year").isin(*years))
+    mode = "static" if years is None else "dynamic"
+    rows.hint("rebalance", "year").write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("year").parquet(path)
+
+
+def read_stored(spark: SparkSession, path: str, years: Sequence[int] | None = None) -> DataFrame:
+    """A stored report; only the partitions of the given years are read."""
+    stored = spark.read.parquet(path)
+    return stored if years is None else stored.filter(F.col("year").isin(*years))
+
+
 def inspect(df: DataFrame, where: Column | None = None, n: int = 10) -> DataFrame:
     """Any n rows, optionally of those that meet a condition."""
     return (df if where is None else df.filter(where)).limit(n)

@@ -11,6 +11,7 @@ from acequia.operators.history import as_of, history_check, scd2, version_change
 from acequia.operators.keys import assign_ids
 from acequia.operators.members import add_missing_members
 from acequia.operators.upsert import change_counts, delta, upsert
+from acequia.plans.loading import dimension_rejects
 from acequia.registry.scenario import (
     LOAD_DATE, Tables, equipment, insurers, iso, patients, sql_rank, text, with_ctes,
 )
@@ -167,6 +168,37 @@ def incremental_delta(spark, root):
     return delta(patients(t), _patient_batch(t), "document", ["city", "state", "zone"])
 
 
+def broken_history(t: Tables):
+    """Versions of the parts: large ones overlap, those of type PROMO have two current versions."""
+    def version(since, until, current):
+        return F.struct(since.cast("date").alias("valid_from"), F.lit(until).cast("date").alias("valid_to"), F.lit(current).alias("is_current"))
+
+    start = F.when(F.col("p_size") > 25, "1996-06-01").otherwise("1997-01-01")
+    both = F.array(version(F.lit("1995-06-01"), "1997-01-01", False), version(start, "9999-12-31", True))
+    more = F.array(version(F.lit("1998-01-01"), "9999-12-31", True))
+    found = F.when(F.col("p_type") == "PROMO", F.concat(both, more)).otherwise(both)
+    return t.part.select(F.col("p_partkey").cast("string").alias("equipment_nk"), F.explode(found).alias("v")).select("equipment_nk", "v.*")
+
+
+def history_breaks(spark, root):
+    return history_check(broken_history(Tables(spark, root)), "equipment_nk")
+
+
+def dim_rejects(spark, root):
+    """Master rows without natural key, by table and reason."""
+    t = Tables(spark, root)
+    nothing = F.lit(None).cast("string")
+    staged = {
+        "insurers": t.nation.select(F.when(F.col("n_regionkey") != 4, text("n_nationkey")).alias("insurer_nk"), F.col("n_name").alias("insurer"), "n_nationkey"),
+        "patients": t.customer.select(F.when(F.col("c_acctbal") < 0, "  ").otherwise(text("c_custkey")).alias("document"), nothing.alias("admitted"), "c_custkey"),
+        "equipment": t.part.select(F.when(F.col("p_size") != 13, F.concat(text("p_partkey"), F.lit(".0"))).otherwise(".0").alias("equipment_nk"), "p_partkey"),
+        "orders": t.orders.select(F.when(F.col("o_orderpriority") != "5-LOW", text("o_orderkey")).alias("order_number"), nothing.alias("item"), nothing.alias("quantity"), "o_orderkey"),
+        "drugs": t.supplier.select(F.when(F.col("s_acctbal") >= 0, text("s_suppkey")).otherwise("").alias("code"), *[nothing.alias(c) for c in ("name", "form", "route")], "s_suppkey"),
+    }
+    staged = {name: df.select(*df.columns[:-1], F.col(df.columns[-1]).alias("seq")) for name, df in staged.items()}
+    return dimension_rejects(staged).select("table", "seq", "reason")
+
+
 QUERIES = {
     "dim_insurer_upsert": dim_insurer_upsert,
     "dim_patient_upsert": dim_patient_upsert,
@@ -181,6 +213,8 @@ QUERIES = {
     "surrogate_keys": surrogate_keys,
     "dim_inferred_members": dim_inferred_members,
     "incremental_delta": incremental_delta,
+    "history_breaks": history_breaks,
+    "dim_rejects": dim_rejects,
 }
 
 
@@ -325,4 +359,20 @@ SQL = {
                   WHERE NOT EXISTS (SELECT 1 FROM dim_patient d WHERE d.document = b.document
                         AND d.city = b.city AND d.state = b.state AND d.zone = b.zone)""",
     ),
+    "history_breaks": """
+        WITH versions AS (
+          SELECT CAST(p_partkey AS VARCHAR) AS equipment_nk, DATE '1995-06-01' AS valid_from, DATE '1997-01-01' AS valid_to, FALSE AS is_current FROM part
+          UNION ALL SELECT CAST(p_partkey AS VARCHAR), CASE WHEN p_size > 25 THEN DATE '1996-06-01' ELSE DATE '1997-01-01' END, DATE '9999-12-31', TRUE FROM part
+          UNION ALL SELECT CAST(p_partkey AS VARCHAR), DATE '1998-01-01', DATE '9999-12-31', TRUE FROM part WHERE p_type = 'PROMO'),
+        chained AS (SELECT *, lag(valid_to) OVER (PARTITION BY equipment_nk ORDER BY valid_from, valid_to) AS before FROM versions),
+        counted AS (
+          SELECT equipment_nk, count(*) AS versions, count(*) FILTER (WHERE is_current) AS current_versions,
+                 count(*) FILTER (WHERE before > valid_from) AS "overlaps" FROM chained GROUP BY equipment_nk)
+        SELECT *, current_versions = 1 AND "overlaps" = 0 AS sane FROM counted""",
+    "dim_rejects": """
+        SELECT 'dim_insurer' AS "table", CAST(n_nationkey AS BIGINT) AS seq, 'no insurer_nk' AS reason FROM nation WHERE n_regionkey = 4
+        UNION ALL SELECT 'dim_patient', c_custkey, 'no document' FROM customer WHERE c_acctbal < 0
+        UNION ALL SELECT 'dim_equipment', p_partkey, 'no equipment_nk' FROM part WHERE p_size = 13
+        UNION ALL SELECT 'dim_order', o_orderkey, 'no order_number' FROM orders WHERE o_orderpriority = '5-LOW'
+        UNION ALL SELECT 'dim_drug', s_suppkey, 'no code' FROM supplier WHERE s_acctbal < 0""",
 }

@@ -194,7 +194,7 @@ def dq_report(spark, root):
         [
             q.check_no_demo(t.customer, "c_name", "customer"),
             q.check_row_counts(staged, valid, "fact_equipment"),
-            q.check_foreign_keys(valid, list(_IDS), "fact_equipment"),
+            q.check_foreign_keys(resolve_keys(staged, _plain_references(t)), list(_IDS), "stg_report"),
             q.check_references(staged, equipment(t), "equipment_nk", "equipment_nk", "stg_report"),
             q.check_unique(valid, "request_id", "fact_equipment"),
             q.check_dates(dates, "1995-06-01", "2030-12-31", "dim_date"),
@@ -357,7 +357,8 @@ SQL = {
             SELECT 'no_demo' AS "check", 'customer' AS "table",
                    (SELECT count(*) FROM customer WHERE contains(upper(c_name), 'DEMO')) AS failures
             UNION ALL SELECT 'row_counts', 'fact_equipment', (SELECT count(*) FROM report) - (SELECT count(*) FROM valid)
-            UNION ALL SELECT 'foreign_keys', 'fact_equipment', 0
+            UNION ALL SELECT 'foreign_keys', 'stg_report', (SELECT count(*) FROM resolved WHERE equipment_id IS NULL
+                      OR patient_id IS NULL OR insurer_id IS NULL OR date_id IS NULL)
             UNION ALL SELECT 'references', 'stg_report', (SELECT count(*) FROM report
                       WHERE trim(equipment_nk) NOT IN (SELECT equipment_nk FROM dim_equipment))
             UNION ALL SELECT 'unique_key', 'fact_equipment', (SELECT count(*) FROM

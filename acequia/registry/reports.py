@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acequia.operators.members import distinct_dates, extend_dates
-from acequia.operators.reports import equipment_by_month, services_by_insurer, top_equipment
+from acequia.operators.reports import equipment_by_month, read_stored, services_by_insurer, store_by_year, top_equipment
 from acequia.registry.scenario import Tables, equipment, first_dates, insurers, sql_rank, with_ctes
+from acequia.session import shared_dir
 
 
 def all_dates(t: Tables) -> DataFrame:
@@ -53,6 +56,13 @@ def report_services_insurer(spark, root):
     return services_by_insurer(facts, insurers(t))
 
 
+def report_stored(spark, root):
+    """The monthly report, stored by year and read back."""
+    path = f"{shared_dir(spark)}/report-{uuid.uuid4().hex}"
+    store_by_year(report_equipment_month(spark, root), path)
+    return read_stored(spark, path).select("year", "month", "equipment", "total")
+
+
 def dim_date_build(spark, root):
     return all_dates(Tables(spark, root)).select("date_id", F.col("date").cast("string").alias("date"), "year", "month")
 
@@ -61,6 +71,7 @@ QUERIES = {
     "report_equipment_month": report_equipment_month,
     "report_top_equipment": report_top_equipment,
     "report_services_insurer": report_services_insurer,
+    "report_stored": report_stored,
     "dim_date_build": dim_date_build,
 }
 
@@ -72,6 +83,7 @@ _MONTHLY = """
 
 SQL = {
     "report_equipment_month": with_ctes("dim_equipment", select=_MONTHLY),
+    "report_stored": with_ctes("dim_equipment", select=_MONTHLY),
     "report_top_equipment": with_ctes(
         "dim_equipment", select=_MONTHLY + " ORDER BY year DESC, month DESC, total DESC, equipment LIMIT 20"
     ),
