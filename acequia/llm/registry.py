@@ -13,7 +13,7 @@ from acequia.llm.line_templates import drop_recurring_lines
 from acequia.llm.minhash import minhash_components
 from acequia.llm.mixing import copies, mix, with_rates
 from acequia.llm.mixing import tokens_of as words_of
-from acequia.llm.packing import pack
+from acequia.llm.packing import CAPACITY, pack
 from acequia.llm.sharding import shard_by_bytes
 from acequia.llm.token_counts import count_tokens, public_file
 from acequia.llm.url_filter import host_of, judge, path_of
@@ -125,7 +125,7 @@ def packable(docs: DataFrame) -> DataFrame:
 
 
 def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(packable(table(spark, sf_dir, "documents"))).drop("key")
+    return pack(packable(table(spark, sf_dir, "documents")), CAPACITY).drop("key")
 
 
 def op6_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
