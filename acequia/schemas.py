@@ -76,6 +76,14 @@ ALIASES = {
 
 
 def rename(df: DataFrame, source: str) -> DataFrame:
-    """Apply the aliases of one source; other columns pass through."""
-    known = ALIASES[source]
-    return df.withColumnsRenamed({c: known[c] for c in df.columns if c in known})
+    """Apply the aliases of one source; other columns pass through.
+
+    Of several columns with one alias the first is renamed, the others keep their names.
+    """
+    known, used = {}, set(df.columns)
+    for c in df.columns:
+        alias = ALIASES[source].get(c)
+        if alias is not None and alias not in used:
+            known[c] = alias
+            used.add(alias)
+    return df.withColumnsRenamed(known)

@@ -52,15 +52,15 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write a frame to the shared folder and read it back.
+def materialize(df: DataFrame, label: str, **options: str) -> DataFrame:
+    """Write a frame to the shared folder and read it back; options go to the writer.
 
     Later steps then neither repeat its work nor depend on executors that may be
     lost, and Spark knows its true size. The files go when the driver's JVM ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
     return spark.read.schema(df.schema).parquet(path)

@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from acequia.functions.values import null_literals
 from acequia.operators.cleaning import nulls_from_text
 
 # Encodings to try, under the names Spark knows them by.
 UTF8, LATIN1 = "UTF-8", "ISO-8859-1"
 SEPARATORS = ";,\t|"
 _SURPLUS = 16  # fields beyond the header that are looked at to tell a surplus row
+# Row numbers: Spark's own below (partition and row), the file's above.
+_ROW_BITS, _MOST_FILES = 50, 1 << 13
 _INVISIBLE = "\ufeff\u200b\u200c\u200d\u2060\u00a0"
 
 
@@ -95,6 +98,7 @@ def read_with_rejects(
     schema: StructType | None = None,
     columns: Sequence[str] | None = None,
     multiline: bool = False,
+    order: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(rows, rejected rows) of the delimited files under a path, all columns as text.
 
@@ -104,10 +108,15 @@ def read_with_rejects(
     `multiline`, which reads each file by one task. Short rows are filled with
     nulls; rows with more fields than the header, whose extra fields are not all
     empty, are rejected (`file`, `fields`). With a schema its columns are returned,
-    in its order; one that no file has is an error.
+    in its order; one that no file has is an error. `order` names a column to add
+    with the place of a row: files by their names, rows as they stand in them.
     """
     groups: dict[tuple, list[str]] = {}
-    for file, header, found_sep, found_encoding in file_formats(spark, path):
+    formats = file_formats(spark, path)
+    every = [f for f, *_ in formats]
+    if order and len(every) > _MOST_FILES:
+        raise ValueError(f"{len(every)} files under {path} are too many to number their rows")
+    for file, header, found_sep, found_encoding in formats:
         use = sep or found_sep
         names = tuple(_clean(c) for c in next(csv.reader([header], delimiter=use)))
         groups.setdefault((use, encoding or found_encoding, names), []).append(file)
@@ -124,11 +133,15 @@ def read_with_rejects(
         extra = F.coalesce(*[F.nullif(p, F.lit("")) for p in places[len(names):]]).isNotNull()
         raw = raw.select("*", F.col("_metadata.file_path").alias("file"))
         at = {c: i for i, c in reversed(list(enumerate(names)))}
-        good = raw.filter(~extra).select(*[(F.col(places[at[c]]) if c in at else F.lit(None).cast("string")).alias(c) for c in wanted])
+        named = [(F.col(places[at[c]]) if c in at else F.lit(None).cast("string")).alias(c) for c in wanted]
+        if order:
+            number = F.create_map(*[F.lit(x) for i, f in enumerate(every) for x in (f, i)])
+            named.append((F.shiftleft(number[F.col("file")].cast("long"), _ROW_BITS) + F.monotonically_increasing_id()).alias(order))
+        good = raw.filter(~extra).select(*named)
         bad = raw.filter(extra).select("file", F.array(*places).alias("fields"))
         rows = good if rows is None else rows.unionByName(good)
         rejects = bad if rejects is None else rejects.unionByName(bad)
-    rows = nulls_from_text(rows)
+    rows = rows.withColumns({c: null_literals(F.col(f"`{c}`")) for c in wanted}) if order else nulls_from_text(rows)
     return (rows.select(*[f"`{c}`" for c in columns]) if columns else rows), rejects
 
 
