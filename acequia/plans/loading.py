@@ -31,6 +31,8 @@ TABLES = {
     "fact_equipment": schemas.FACT_EQUIPMENT, "fact_service": schemas.FACT_SERVICE,
 }
 
+FACTS = ("fact_equipment", "fact_service")
+
 Tables = Mapping[str, DataFrame]
 
 
@@ -42,7 +44,12 @@ def current_warehouse(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The published tables, or empty ones before the first run."""
     if current_run(spark, root) is None:
         return empty_warehouse(spark)
-    return {name: read_published(spark, root, name) for name in TABLES}
+    return {name: read_published(spark, root, name).select(*schema.names) for name, schema in TABLES.items()}
+
+
+def dated(fact: DataFrame, dates: DataFrame) -> DataFrame:
+    """A fact with the year and month of its date, by which its files are partitioned."""
+    return fact.join(dates.select("date_id", "year", "month"), "date_id", "left").select(*fact.columns, "year", "month")
 
 
 def dimension_batches(staged: Tables) -> dict[str, tuple[DataFrame, str]]:
@@ -197,6 +204,7 @@ def run_all(spark: SparkSession, root: str, staged: Tables, run_id: str, load_da
     warehouse |= changed
     changed, service_rejects = load_services(warehouse, staged["history"], load_date, load_ts)
     warehouse |= changed
-    checks = publish(warehouse, root, run_id, validate)
+    tables = {**warehouse, **{f: dated(warehouse[f], warehouse["dim_date"]) for f in FACTS}}
+    checks = publish(tables, root, run_id, validate, partitions=dict.fromkeys(FACTS, ("year", "month")))
     rejects = {"dimensions": dimension_rejects(staged), "fact_equipment": equipment_rejects, "fact_service": service_rejects}
     return checks, rejects

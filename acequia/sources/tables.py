@@ -41,6 +41,7 @@ def publish(
     run_id: str,
     check: Callable[[dict[str, DataFrame]], DataFrame] | None = None,
     keep_runs: int | None = None,
+    partitions: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame | None:
     """Make a set of tables visible together.
 
@@ -49,17 +50,22 @@ def publish(
     Run ids must sort in time order as texts; one that is not above the current run
     is refused. `check` gets the written tables and returns checks with a `passed`
     column: unless all pass, nothing is published. Returns the checks. With
-    `keep_runs` the files of older runs are removed.
+    `keep_runs` the files of older runs are removed. `partitions` names the columns
+    by which a table's files are partitioned.
     """
     spark = next(iter(snapshots.values())).sparkSession
     last = current_run(spark, root)
     if last is not None and run_id <= last:
         raise FileExistsError(f"run {run_id} does not come after the published run {last}")
     for name, df in snapshots.items():
-        df.write.mode("overwrite").parquet(f"{root}/runs/{run_id}/{name}")
+        target = f"{root}/runs/{run_id}/{name}"
+        if name in (partitions or {}):
+            write_fact(df, target, partitions[name])
+        else:
+            df.write.mode("overwrite").parquet(target)
     checks = None
     if check is not None:
-        checks = check({name: spark.read.parquet(f"{root}/runs/{run_id}/{name}") for name in snapshots})
+        checks = check({name: spark.read.schema(df.schema).parquet(f"{root}/runs/{run_id}/{name}") for name, df in snapshots.items()})
         failed = [r.asDict() for r in checks.filter("not passed").limit(20).collect()]
         if failed:
             raise ValueError(f"run {run_id} failed its checks and is not published: {failed}")

@@ -160,6 +160,8 @@ def test_full_run_and_rerun(spark, tmp_path):
     assert [r.equipment_nk for r in rejects["fact_equipment"].collect()] == ["999"]
     facts = t.read_published(spark, root, "fact_equipment")
     assert sorted((r.request_id, r.quantity) for r in facts.collect()) == [("510-S1-2024-06-15", 3.0), ("510-S3-2024-06-16", 2.0)]
+    june = facts.filter("year = 2024 and month = 6")
+    assert june.count() == 2 and "PartitionFilters: [isnotnull(year" in june._jdf.queryExecution().toString()
     first = {name: t.read_published(spark, root, name).count() for name in TABLES}
     assert first["dim_patient"] == 3 and first["dim_insurer"] == 2 and first["dim_date"] == 3 and first["dim_order"] == 2
     assert t.read_published(spark, root, "dim_patient").schema.names == schemas.DIM_PATIENT.names
