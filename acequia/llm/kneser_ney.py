@@ -25,7 +25,7 @@ from acequia.session import materialize
 ORDER = 3
 # Documents between these quantiles of their language's trusted perplexities are kept.
 QUANTILES = (0.005, 0.995)
-FLUSH_PAIRS = 2_000_000  # (document, n-gram) pairs held by a task before they are handed on
+FLUSH_PAIRS = 4_000_000  # (document, n-gram) pairs held by a task before they are handed on
 _MOST_ROWS = 1 << 16
 _PART_BITS = 33
 # A pair takes two bytes: the step from the last place above, the frequency below; codes of
@@ -159,6 +159,29 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
+def _totalled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sum over the tasks for each document; the partial sums of a batch of documents come one after the other."""
+    sums, base, most = np.zeros(_MOST_ROWS), None, 0
+
+    def flush() -> pa.RecordBatch:
+        out = pa.RecordBatch.from_arrays(
+            [pa.array(np.full(most, base)), pa.array(np.arange(most, dtype=np.int32)), pa.array(sums[:most].copy())], ["base", "place", "total"])
+        sums[:most] = 0.0
+        return out
+
+    for batch in batches:
+        for own, part in zip(batch.column(0).to_pylist(), batch.column(1)):
+            if own != base:
+                if base is not None:
+                    yield flush()
+                base, most = own, 0
+            values = part.values.to_numpy()
+            sums[:len(values)] += values
+            most = max(most, len(values))
+    if base is not None:
+        yield flush()
+
+
 def _suffix(gram: str, k: int) -> Column:
     return F.col(gram).bitwiseAND((1 << (_CHAR_BITS * k)) - 1)
 
@@ -221,14 +244,13 @@ def perplexities(docs: DataFrame, trusted: DataFrame, key: Column, order: int =
     flagged = rows.join(known.withColumn("trusted", F.lit(True)), "doc_id", "left").select(
         "doc_id", "key", "lang", F.coalesce("trusted", F.lit(False)).alias("trusted"), "text"
     )
-    seen = materialize(flagged.mapInArrow(_frequencies(order), _SEEN_DDL), "grams")
+    seen = materialize(flagged.mapInArrow(_frequencies(order), _SEEN_DDL), "grams", compression="zstd")
     held = seen.filter("gram is not null")
     trained = materialize(held.filter("trusted > 0").groupBy("lang", "gram").agg(F.sum("trusted").alias("c")), "trained")
     scores = materialize(score_grams(held.select("lang", "gram").distinct(), trained, order).dropna(), "scores")
     joined = held.select("lang", "gram", "base", "pairs").join(scores, ["lang", "gram"]).select("base", "pairs", "score")
     parts = joined.sortWithinPartitions("base").mapInArrow(_summed, "base bigint, sums array<double>")
-    sums = parts.repartition("base").select("base", F.posexplode("sums").alias("place", "part"))
-    sums = sums.groupBy("base", "place").agg(F.sum("part").alias("total"))
+    sums = parts.repartition("base").sortWithinPartitions("base").mapInArrow(_totalled, "base bigint, place int, total double")
     heads = seen.filter("gram is null").select("lang", "base", F.explode("heads").alias("h")).select(
         "lang", "base", "h.place", "h.doc_id", "h.key", "h.trusted", F.col("h.n").alias("n_grams")
     )
