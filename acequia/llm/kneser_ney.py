@@ -25,7 +25,7 @@ from acequia.session import materialize
 ORDER = 3
 # Documents between these quantiles of their language's trusted perplexities are kept.
 QUANTILES = (0.005, 0.995)
-FLUSH_PAIRS = 4_000_000  # (document, n-gram) pairs held by a task before they are handed on
+FLUSH_PAIRS = 2_000_000  # (document, n-gram) pairs held by a task before they are handed on
 _MOST_ROWS = 1 << 16
 _PART_BITS = 33
 # A pair takes two bytes: the step from the last place above, the frequency below; codes of
@@ -59,17 +59,18 @@ def grams(text: str, order: int) -> np.ndarray:
 
 def encode(place: np.ndarray, n: np.ndarray, starts: np.ndarray) -> tuple[bytes, np.ndarray]:
     """Two-byte codes of pairs in rows that begin at `starts` (places ascend in a row), and the byte ends of the rows and one empty row."""
-    step = np.diff(place, prepend=0)
+    place, n = place.astype(np.int32, copy=False), n.astype(np.int32, copy=False)
+    step = np.diff(place, prepend=np.int32(0))
     step[starts] = place[starts]
-    skips, times = step // _MOST_STEP, (n + _MOST_FREQ - 1) // _MOST_FREQ
-    total = skips + times
-    upto = np.concatenate([[0], np.cumsum(total)])
-    own = np.repeat(np.arange(len(n)), total)
-    at = np.arange(upto[-1]) - upto[own] - skips[own]
-    steps = np.where(at < 0, _MOST_STEP, np.where(at == 0, step[own] % _MOST_STEP, 0))
-    freqs = np.where(at < 0, 0, np.minimum(_MOST_FREQ, n[own] - _MOST_FREQ * at))
+    skips = step // _MOST_STEP
+    total = skips + (n + _MOST_FREQ - 1) // _MOST_FREQ
+    upto = np.concatenate([[0], np.cumsum(total)]).astype(np.int32)
+    own = np.repeat(np.arange(len(n), dtype=np.int32), total)
+    at = np.arange(upto[-1], dtype=np.int32) - (upto[:-1] + skips)[own]
+    codes = np.where(at < 0, _MOST_STEP, np.where(at == 0, (step % _MOST_STEP)[own], 0)) << _FREQ_BITS
+    codes |= np.where(at < 0, 0, np.minimum(_MOST_FREQ, n[own] - _MOST_FREQ * at))
     ends = 2 * np.concatenate([upto[starts], [upto[-1], upto[-1]]]).astype(np.int32)
-    return ((steps << _FREQ_BITS) | freqs).astype(np.uint16).tobytes(), ends
+    return codes.astype(np.uint16).tobytes(), ends
 
 
 def decode(codes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -89,18 +90,28 @@ def _frequencies(order: int) -> Callable:
 
         def flush() -> Iterator[pa.RecordBatch]:
             for lang, (found, counts, places, heads) in held.items():
-                ids = np.concatenate(found) if found else np.empty(0, np.int64)
-                n = np.concatenate(counts) if counts else np.empty(0, np.int64)
-                place = np.repeat(np.array(places, np.int64), [len(f) for f in found])
-                trusted = np.array([h["trusted"] for h in heads], bool)
+                # 32-bit arrays, dropped as soon as they are used: a task shares its executor's memory
+                sizes = [len(f) for f in found]
+                ids = np.concatenate(found)
+                found.clear()
                 order_ = np.argsort(ids, kind="stable")
-                ids, place, n = ids[order_], place[order_], n[order_]
+                ids = ids[order_]
                 starts = np.nonzero(np.diff(ids, prepend=-1))[0]
-                sums = np.add.reduceat(np.where(trusted[np.searchsorted(places, place)], n, 0), starts) if len(ids) else ids
+                found_grams = ids[starts].tolist()
+                del ids
+                n = np.concatenate(counts)[order_]
+                counts.clear()
+                place = np.repeat(np.array(places, np.int32), sizes)[order_]
+                del order_
+                trusted = np.zeros(n_rows, bool)
+                trusted[places] = [h["trusted"] for h in heads]
+                held_trusted = np.where(trusted[place], n, 0)
+                sums = np.add.reduceat(held_trusted, starts, dtype=np.int64) if len(n) else n
+                del held_trusted
                 rows, (codes, ends) = len(starts), encode(place, n, starts)
                 pairs = pa.Array.from_buffers(pa.binary(), rows + 1, [None, pa.py_buffer(ends), pa.py_buffer(codes)])
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([lang] * (rows + 1), pa.string()), pa.array([*ids[starts].tolist(), None], pa.int64()),
+                    pa.array([lang] * (rows + 1), pa.string()), pa.array([*found_grams, None], pa.int64()),
                     pa.array(np.full(rows + 1, base)), pairs, pa.array([*sums.tolist(), 0], pa.int64()),
                     pa.array([*[None] * rows, heads], _HEAD),
                 ], schema=_SEEN)
@@ -112,7 +123,7 @@ def _frequencies(order: int) -> Callable:
                 found, counts, places, heads = held.setdefault(lang, ([], [], [], []))
                 ids, n = np.unique(grams(text, order), return_counts=True)
                 found.append(ids)
-                counts.append(n)
+                counts.append(n.astype(np.int32))
                 places.append(n_rows)
                 heads.append({"doc_id": doc_id, "key": key, "trusted": trusted, "n": len(text), "place": n_rows})
                 n_pairs += len(ids)
