@@ -33,7 +33,7 @@ from acequia.session import materialize
 
 WORDS = re.compile(rb"[^\x20\x09-\x0d]+")
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-_MOST_WORDS_KEPT = 500_000  # word hashes kept by a task before the table is started anew
+_MOST_WORDS_KEPT = 100_000  # word hashes kept by a task before the table is started anew
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _CELLS = 2_000_000
 # Blocks of classes that are compared all with all: shingles a block holds at most about, the
