@@ -6,7 +6,7 @@ a recurring template. Inside a leaf a token is constant at its position if enoug
 documents have it there, else it is a variable field. A line whose constants make
 up enough of it gets the template with its variable fields masked; otherwise the
 line itself (digits masked) is its template. Templates that enough documents
-share recur, and their lines are dropped.
+share recur, and their lines are dropped; a group of copies counts as one document.
 """
 
 from __future__ import annotations
@@ -20,7 +20,12 @@ from acequia.session import materialize
 LEADING = 2  # tokens below the token count that choose the leaf
 MIN_DOCUMENTS = 3
 CONSTANT_SHARE = 0.7
-WHOLE_SHARE = 0.5
+# Copies: word shingles and likeness as in near dedup, and what limits the comparisons (see copy_classes).
+SHINGLE_WORDS = 5
+COPY_SHARE = 0.8
+RISK_SHARE = 0.2
+LED_SHARE = 0.05
+MOST_JUMPS = 40
 VARIABLE = "<*>"
 
 
@@ -37,15 +42,18 @@ def masked(line: Column) -> Column:
 def _lines(docs: DataFrame, key: Column, leading: int) -> DataFrame:
     """Lines that hold anything but white space: (key, line_no, masked, leaf, line)."""
     each = docs.select(key.alias("key"), F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
-    each = each.select("key", "line_no", masked(F.col("raw")).alias("masked")).filter("masked <> ''")
+    each = each.select("key", "line_no", F.length("raw").alias("chars"), masked(F.col("raw")).alias("masked")).filter("masked <> ''")
     spaces = F.length("masked") - F.length(F.replace("masked", F.lit(" "), F.lit("")))
     leaf = F.xxhash64(spaces, F.substring_index("masked", " ", leading))
-    return each.select("key", "line_no", "masked", leaf.alias("leaf"), F.xxhash64("masked").alias("line"))
+    return each.select("key", "line_no", "masked", "chars", leaf.alias("leaf"), F.xxhash64("masked").alias("line"))
 
 
 def recurring_lines(docs: DataFrame, key: Column, min_documents: int = MIN_DOCUMENTS,
                     constant_share: float = CONSTANT_SHARE, leading: int = LEADING) -> DataFrame:
-    """Lines whose template recurs: (key, line_no). `key` tells documents apart; equal keys count once."""
+    """Lines whose template enough documents hold: (key, line_no, recurs), `recurs` if these are of enough groups of copies.
+
+    `key` tells documents apart; equal keys count once.
+    """
     lines = _lines(docs, key, leading)
     leaves = (
         lines.select("leaf", "key").distinct().groupBy("leaf").agg(F.count("*").alias("n"))
@@ -73,52 +81,102 @@ def recurring_lines(docs: DataFrame, key: Column, min_documents: int = MIN_DOCUM
         "leaf", "line", F.when(general, F.xxhash64("leaf", spelled)).otherwise(F.xxhash64("leaf", "tokens")).alias("template")
     )
     owned = materialize(
-        candidates.select("key", "line_no", "leaf", "line").join(templates, ["leaf", "line"]).select("key", "line_no", "template"), "owned"
+        candidates.select("key", "line_no", "chars", "leaf", "line").join(templates, ["leaf", "line"]).select("key", "line_no", "chars", "template"), "owned"
     )
+    held_by = owned.select("template", "key").distinct().groupBy("template").agg(F.count("*").alias("n"))
+    frequent = held_by.filter(F.col("n") >= min_documents).select("template")
+    # repeated rows give a line several times
+    shared = materialize(owned.join(materialize(frequent, "frequent"), "template").dropDuplicates(["key", "line_no"]), "shared")
+    classes = copy_classes(docs, shared, key)
+    groups = shared.select("template", "key").distinct().join(broadcast_if_small(classes), "key", "left")
     recurring = (
-        owned.select("template", "key").distinct().groupBy("template").agg(F.count("*").alias("n"))
-        .filter(F.col("n") >= min_documents).select("template")
+        groups.select("template", F.coalesce("class", "key").alias("class")).distinct().groupBy("template").agg(F.count("*").alias("n"))
+        .filter(F.col("n") >= min_documents).select("template", F.lit(True).alias("recurs"))
     )
-    return owned.join(materialize(recurring, "recurring"), "template").select("key", "line_no").distinct()
+    found = shared.select("key", "line_no", "template").join(materialize(recurring, "recurring"), "template", "left")
+    return found.select("key", "line_no", F.coalesce("recurs", F.lit(False)).alias("recurs"))
+
+
+def _shingles(text: Column) -> Column:
+    """Distinct hashes of a text's runs of SHINGLE_WORDS words; shorter texts are one run."""
+    words = F.split(F.btrim(F.regexp_replace(text, r"\s+", " ")), " ")
+    return F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(words) - SHINGLE_WORDS + 1)), lambda i: F.xxhash64(F.slice(words, i, SHINGLE_WORDS))))
+
 
+def copy_classes(docs: DataFrame, shared: DataFrame, key: Column) -> DataFrame:
+    """Groups of copies among the documents with shared lines: (key, class), only for documents that are not alone.
 
-def _marked(docs: DataFrame, found: DataFrame, key: Column, whole_share: float) -> DataFrame:
+    `shared` has key, template, chars. Only texts that shared lines make up by
+    RISK_SHARE or more can be copies of several others. Equal texts are one.
+    Every text is compared, on its word shingles, with the least holder of each
+    template that makes up LED_SHARE of it; texts alike by COPY_SHARE or more
+    share a class. All steps are aggregates and equi-joins, linear in the lines.
+    """
+    held = materialize(shared.groupBy("key", "template").agg(F.sum("chars").alias("chars")), "held")
+    lost = held.groupBy("key").agg(F.sum("chars").alias("lost"))
+    texts = docs.select(key.alias("key"), "text").join(lost, "key").filter(F.col("lost") >= RISK_SHARE * F.length("text"))
+    texts = materialize(texts.select("key", "text", F.length("text").alias("size")).dropDuplicates(["key"]), "at_risk")
+    first = materialize(
+        texts.select("key", "size", F.xxhash64("text").alias("h"), F.xxhash64("text", F.lit(1)).alias("g")).withColumn("equal", F.struct("h", "g")), "equal"
+    )
+    least = first.groupBy("equal").agg(F.min("key").alias("first"))
+    own = materialize(first.join(least, "equal").select("key", "first", "size"), "firsts")
+    mine = materialize(held.join(own.filter("key = first").select("key", "size"), "key"), "templates_at_risk")
+    leaders = mine.groupBy("template").agg(F.min("key").alias("leader"))
+    pairs = (
+        mine.join(leaders, "template").filter("leader < key").groupBy("key", "leader")
+        .agg(F.sum("chars").alias("led"), F.max("size").alias("size")).filter(F.col("led") >= LED_SHARE * F.col("size")).select("key", "leader")
+    )
+    sets = materialize(texts.join(own.filter("key = first").select("key"), "key", "left_semi").select("key", _shingles(F.col("text")).alias("s")), "shingles")
+    both = pairs.join(sets, "key").join(sets.select(F.col("key").alias("leader"), F.col("s").alias("t")), "leader")
+    common = F.size(F.array_intersect("s", "t"))
+    alike = common >= COPY_SHARE * (F.size("s") + F.size("t") - common)
+    links = materialize(both.filter(alike).groupBy("key").agg(F.min("leader").alias("up")), "links")
+    for _ in range(MOST_JUMPS):  # every link leads to a lesser key; the depth halves
+        above = links.select(F.col("key").alias("up"), F.col("up").alias("top"))
+        further = links.join(above, "up", "left")
+        if further.filter("top is not null").isEmpty():
+            break
+        links = materialize(further.select("key", F.coalesce("top", "up").alias("up")), "links")
+    roots = own.join(links.select(F.col("key").alias("first"), "up"), "first", "left").select("key", F.coalesce("up", "first").alias("class"))
+    return materialize(roots.filter("key <> class"), "classes")
+
+
+def _marked(docs: DataFrame, found: DataFrame, key: Column) -> DataFrame:
     """The documents as `doc`, the text without its recurring lines, and the counts."""
-    marks = found.groupBy("key").agg(F.collect_set("line_no").alias("drop"))  # a document's lines at most
+    marks = found.groupBy("key").agg(  # a document's lines at most
+        F.collect_set(F.when(F.col("recurs"), F.col("line_no"))).alias("drop"),
+        F.collect_set(F.when(~F.col("recurs"), F.col("line_no"))).alias("copied"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("text").alias("text"), key.alias("key"))
     lines = F.split("text", "\n")
-    joined = rows.join(marks, "key", "left").withColumn("drop", F.coalesce("drop", F.array().cast("array<int>")))
-    lost = F.aggregate(
-        F.transform("drop", lambda i: F.length(F.element_at(lines, i + 1))), F.lit(0).cast("long"), lambda a, x: a + x
-    )
-    marked = joined.withColumn("whole", F.coalesce((F.size("drop") > 0) & (lost >= whole_share * F.length("text")), F.lit(False)))
+    none = F.array().cast("array<int>")
+    joined = rows.join(marks, "key", "left").withColumns({"drop": F.coalesce("drop", none), "copied": F.coalesce("copied", none)})
     kept = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("drop", i)), "\n")
-    return marked.select(
-        "doc", F.when((F.size("drop") > 0) & ~F.col("whole"), kept).otherwise(F.col("text")).alias("text"),
-        F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).alias("n_lines"), F.size("drop").alias("n_recurring"), "whole",
+    return joined.select(
+        "doc", F.when(F.size("drop") > 0, kept).otherwise(F.col("text")).alias("text"),
+        F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).alias("n_lines"), F.size("drop").alias("n_recurring"),
+        ((F.size("copied") > 0) & (F.size("drop") == 0)).alias("whole"),
     )
 
 
-def drop_recurring_lines(docs: DataFrame, key: Column, min_documents: int = MIN_DOCUMENTS,
-                         constant_share: float = CONSTANT_SHARE, leading: int = LEADING,
-                         whole_share: float = WHOLE_SHARE) -> DataFrame:
+def drop_recurring_lines(docs: DataFrame, key: Column, **options) -> DataFrame:
     """`docs` without recurring lines, and what was found: adds n_lines, n_recurring and whole.
 
-    A line recurs when documents with at least `min_documents` different keys hold
-    its template. Where recurring lines make up at least `whole_share` of a text's
-    characters, the document is itself a copy rather than a text with boilerplate:
-    it stays as it is (`whole` true) for document dedup to judge, so that a group
-    of copies never loses all its members. Other documents lose the lines, with
-    their line breaks; what remains keeps its order. n_lines counts all lines,
-    blank ones included, n_recurring the recurring ones.
+    A line recurs when `min_documents` groups of copies hold its template. A group of
+    copies (see `copy_classes`) counts once, so that it never loses all its members;
+    a document without copies is a group of its own. Recurring lines go from every
+    text, however much of it they are, with their line breaks; what remains keeps
+    its order. `whole` tells texts that keep all lines although enough documents,
+    all of one group, hold some of them. n_lines counts all lines, blank ones
+    included, n_recurring those dropped.
 
     Blank lines are never dropped. Null and empty texts stay as they are with 0
     recurring lines (null texts: 0 lines). Repeated rows count as one document
     and get equal results. Other columns pass through, except that the added ones
     replace those of the same name. No rows give none.
     """
-    found = recurring_lines(docs, key, min_documents, constant_share, leading)
-    marked = _marked(docs, found, key, whole_share)
+    marked = _marked(docs, recurring_lines(docs, key, **options), key)
     added = ["n_lines", "n_recurring", "whole"]
     others = [F.col("text") if c == "text" else F.col("doc")[c].alias(c) for c in docs.columns if c not in added]
     return marked.select(*others, *added)
@@ -126,6 +184,5 @@ def drop_recurring_lines(docs: DataFrame, key: Column, min_documents: int = MIN_
 
 def without_recurring_lines(docs: DataFrame, key: Column, **options) -> DataFrame:
     """As `drop_recurring_lines`, with exactly the columns of `docs`, whatever their names."""
-    whole_share = options.pop("whole_share", WHOLE_SHARE)
-    marked = _marked(docs, recurring_lines(docs, key, **options), key, whole_share)
+    marked = _marked(docs, recurring_lines(docs, key, **options), key)
     return marked.select(*[F.col("text") if c == "text" else F.col("doc")[c].alias(c) for c in docs.columns])

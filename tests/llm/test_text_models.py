@@ -206,3 +206,20 @@ def test_url_filter_as_of(spark):
     assert not any(r.blocked for r in judge(captures, entries.limit(0)).collect())
     one = captures.limit(1).select(patterns_of(F.lit("http://a.b.c/d//e/?x")).alias("p")).first().p
     assert one == ["a.b.c", "b.c", "c", "a.b.c/d", "a.b.c/d/e"]
+
+
+def _own_lines(i, n):
+    """Lines that no other text has."""
+    letters = str.maketrans("0123456789", "abcdefghij")
+    return [words(f"own{i}x{j}y", 9).translate(letters) for j in range(n)]
+
+
+def test_recurring_lines_go_from_texts_they_mostly_make_up(spark):
+    passage = [" ".join(f"{w}{c}" for c in "abcdefghijkl") for w in ("vow", "sum", "rig", "tan")]
+    rows = [(i, "\n".join(passage + _own_lines(i, 2))) for i in range(4)]  # two thirds are shared
+    copied = _own_lines(90, 12)
+    rows += [(10 + i, "\n".join(copied[:-1] + [copied[-1] + f" end{'abcd'[i]}"])) for i in range(4)]
+    got = {r.doc_id: r for r in drop_recurring_lines(documents(spark, rows), content_key()).collect()}
+    for i in range(4):
+        assert got[i].text == "\n".join(_own_lines(i, 2)) and got[i].n_recurring == 4 and not got[i].whole
+        assert got[10 + i].text == dict(rows)[10 + i] and got[10 + i].whole
