@@ -3,7 +3,9 @@
 Lines go down a tree of fixed depth: token count, then the leading tokens (tokens
 with digits count as variable). Only leaves that several documents reach can hold
 a recurring template. Inside a leaf a token is constant at its position if enough
-documents have it there, else it is a variable field. A line whose constants make
+documents have it there, compared with the line's other tokens: common values of a
+field have many documents in a large leaf, but far fewer than the words around
+the field; such tokens are variable fields. A line whose constants make
 up enough of it gets the template with its variable fields masked; otherwise the
 line itself (digits masked) is its template. Templates that enough documents
 share recur, and their lines are dropped; a group of copies counts as one document.
@@ -20,6 +22,8 @@ from acequia.session import materialize
 LEADING = 2  # tokens below the token count that choose the leaf
 MIN_DOCUMENTS = 3
 CONSTANT_SHARE = 0.7
+# A token is constant if it has at least this part of the documents that the line's other constants have.
+NODE_SHARE = 0.5
 # Copies: word shingles and likeness as in near dedup, and what limits the comparisons (see copy_classes).
 SHINGLE_WORDS = 5
 COPY_SHARE = 0.8
@@ -66,14 +70,18 @@ def recurring_lines(docs: DataFrame, key: Column, min_documents: int = MIN_DOCUM
     texts = candidates.select("leaf", "line", "masked").dropDuplicates(["leaf", "line"])
     tokens = F.split("masked", " ")
     distinct = materialize(texts.join(held, ["leaf", "line"]), "distinct_lines").select("leaf", "line", "n", tokens.alias("tokens"))
-    placed = distinct.select("leaf", "line", "n", F.posexplode("tokens").alias("place", "token"))
+    placed = distinct.select("leaf", "line", "n", F.size("tokens").alias("tokens_in_line"), F.posexplode("tokens").alias("place", "token"))
     constant = placed.groupBy("leaf", "place", "token").agg(F.sum("n").alias("n")).filter(
         (F.col("n") >= min_documents) & (F.col("token") != VARIABLE)
-    ).select("leaf", "place", "token")
-    fixed = (
-        placed.drop("n").join(constant, ["leaf", "place", "token"])
-        .groupBy("leaf", "line").agg(F.sort_array(F.collect_list("place")).alias("places"))  # at most a line's tokens
+    ).select("leaf", "place", "token", "n")
+    met = (
+        placed.drop("n").join(constant, ["leaf", "place", "token"]).groupBy("leaf", "line", "tokens_in_line")
+        .agg(F.sort_array(F.collect_list(F.struct("n", "place")), asc=False).alias("met"))  # at most a line's tokens
     )
+    # documents of the last constant that the line needs to be a template: all its constants have about as many or more
+    needed = F.get("met", F.ceil(constant_share * F.col("tokens_in_line")).cast("int") - 1)["n"]
+    fixed = met.withColumn("node", F.coalesce(needed, F.lit(0))).select(
+        "leaf", "line", F.transform(F.filter("met", lambda m: m["n"] >= NODE_SHARE * F.col("node")), lambda m: m["place"]).alias("places"))
     size = F.size("tokens")
     spelled = F.transform("tokens", lambda t, i: F.when(F.array_contains("places", i), t).otherwise(F.lit(VARIABLE)))
     general = F.size("places") >= constant_share * size

@@ -223,3 +223,11 @@ def test_recurring_lines_go_from_texts_they_mostly_make_up(spark):
     for i in range(4):
         assert got[i].text == "\n".join(_own_lines(i, 2)) and got[i].n_recurring == 4 and not got[i].whole
         assert got[10 + i].text == dict(rows)[10 + i] and got[10 + i].whole
+
+
+def test_common_values_of_fields_are_not_constants(spark):
+    names, kinds = [f"name{c}" for c in "abcdefghij"], [f"kind{c}" for c in "klmnopqrst"]
+    rows = [(i, f"This notice was sent to {names[i % 10]} by the office for {kinds[i // 10]} and needs no answer\n" + "\n".join(_own_lines(i, 3)))
+            for i in range(100)]  # every value in ten documents, every pair of values in one
+    got = drop_recurring_lines(documents(spark, rows), content_key()).collect()
+    assert [r.doc_id for r in got if r.text != "\n".join(_own_lines(r.doc_id, 3))] == []
