@@ -21,6 +21,9 @@ from acequia.session import materialize
 
 LEADING = 2  # tokens below the token count that choose the leaf
 MIN_DOCUMENTS = 3
+# Lines of more than LONG_WORDS words recur from LONG_DOCUMENTS on; short ones may be alike by chance.
+LONG_WORDS = 50
+LONG_DOCUMENTS = 2
 CONSTANT_SHARE = 0.7
 # A token is constant if it has at least this part of the documents that the line's other constants have.
 NODE_SHARE = 0.5
@@ -49,7 +52,7 @@ def _lines(docs: DataFrame, key: Column, leading: int) -> DataFrame:
     each = each.select("key", "line_no", F.length("raw").alias("chars"), masked(F.col("raw")).alias("masked")).filter("masked <> ''")
     spaces = F.length("masked") - F.length(F.replace("masked", F.lit(" "), F.lit("")))
     leaf = F.xxhash64(spaces, F.substring_index("masked", " ", leading))
-    return each.select("key", "line_no", "masked", "chars", leaf.alias("leaf"), F.xxhash64("masked").alias("line"))
+    return each.select("key", "line_no", "masked", "chars", (spaces >= LONG_WORDS).alias("long"), leaf.alias("leaf"), F.xxhash64("masked").alias("line"))
 
 
 def recurring_lines(docs: DataFrame, key: Column, min_documents: int = MIN_DOCUMENTS,
@@ -59,47 +62,48 @@ def recurring_lines(docs: DataFrame, key: Column, min_documents: int = MIN_DOCUM
     `key` tells documents apart; equal keys count once.
     """
     lines = _lines(docs, key, leading)
+    enough = F.col("n") >= F.when(F.col("long"), F.least(F.lit(min_documents), F.lit(LONG_DOCUMENTS))).otherwise(F.lit(min_documents))
     leaves = (
-        lines.select("leaf", "key").distinct().groupBy("leaf").agg(F.count("*").alias("n"))
-        .filter(F.col("n") >= min_documents).select("leaf")
+        lines.select("leaf", "long", "key").distinct().groupBy("leaf", "long").agg(F.count("*").alias("n"))
+        .filter(enough).select("leaf")
     )
     leaves = broadcast_if_small(materialize(leaves, "leaves"))
     candidates = materialize(lines.join(leaves, "leaf", "left_semi"), "lines")
     # distinct lines with the number of documents that hold them
     held = candidates.select("leaf", "line", "key").distinct().groupBy("leaf", "line").agg(F.count("*").alias("n"))
-    texts = candidates.select("leaf", "line", "masked").dropDuplicates(["leaf", "line"])
+    texts = candidates.select("leaf", "line", "long", "masked").dropDuplicates(["leaf", "line"])
     tokens = F.split("masked", " ")
-    distinct = materialize(texts.join(held, ["leaf", "line"]), "distinct_lines").select("leaf", "line", "n", tokens.alias("tokens"))
-    placed = distinct.select("leaf", "line", "n", F.size("tokens").alias("tokens_in_line"), F.posexplode("tokens").alias("place", "token"))
-    constant = placed.groupBy("leaf", "place", "token").agg(F.sum("n").alias("n")).filter(
-        (F.col("n") >= min_documents) & (F.col("token") != VARIABLE)
+    distinct = materialize(texts.join(held, ["leaf", "line"]), "distinct_lines").select("leaf", "line", "long", "n", tokens.alias("tokens"))
+    placed = distinct.select("leaf", "line", "long", "n", F.size("tokens").alias("tokens_in_line"), F.posexplode("tokens").alias("place", "token"))
+    constant = placed.groupBy("leaf", "long", "place", "token").agg(F.sum("n").alias("n")).filter(
+        enough & (F.col("token") != VARIABLE)
     ).select("leaf", "place", "token", "n")
     met = (
         placed.drop("n").join(constant, ["leaf", "place", "token"]).groupBy("leaf", "line", "tokens_in_line")
-        .agg(F.sort_array(F.collect_list(F.struct("n", "place")), asc=False).alias("met"))  # at most a line's tokens
+        .agg(F.sort_array(F.collect_list(F.struct("n", "place", F.xxhash64("token").alias("t"))), asc=False).alias("met"))  # at most a line's tokens
     )
     # documents of the last constant that the line needs to be a template: all its constants have about as many or more
     needed = F.get("met", F.ceil(constant_share * F.col("tokens_in_line")).cast("int") - 1)["n"]
     fixed = met.withColumn("node", F.coalesce(needed, F.lit(0))).select(
-        "leaf", "line", F.transform(F.filter("met", lambda m: m["n"] >= NODE_SHARE * F.col("node")), lambda m: m["place"]).alias("places"))
+        "leaf", "line", F.transform(F.filter("met", lambda m: m["n"] >= NODE_SHARE * F.col("node")), lambda m: F.struct(m["place"], m["t"])).alias("places"))
     size = F.size("tokens")
-    spelled = F.transform("tokens", lambda t, i: F.when(F.array_contains("places", i), t).otherwise(F.lit(VARIABLE)))
+    spelled = F.sort_array("places")  # the constants with their places; the leaf stands for the number of tokens
     general = F.size("places") >= constant_share * size
     templates = distinct.join(fixed, ["leaf", "line"], "left").select(
         "leaf", "line", F.when(general, F.xxhash64("leaf", spelled)).otherwise(F.xxhash64("leaf", "tokens")).alias("template")
     )
     owned = materialize(
-        candidates.select("key", "line_no", "chars", "leaf", "line").join(templates, ["leaf", "line"]).select("key", "line_no", "chars", "template"), "owned"
+        candidates.select("key", "line_no", "chars", "long", "leaf", "line").join(templates, ["leaf", "line"]).select("key", "line_no", "chars", "long", "template"), "owned"
     )
-    held_by = owned.select("template", "key").distinct().groupBy("template").agg(F.count("*").alias("n"))
-    frequent = held_by.filter(F.col("n") >= min_documents).select("template")
+    held_by = owned.select("template", "long", "key").distinct().groupBy("template", "long").agg(F.count("*").alias("n"))
+    frequent = held_by.filter(enough).select("template")
     # repeated rows give a line several times
     shared = materialize(owned.join(materialize(frequent, "frequent"), "template").dropDuplicates(["key", "line_no"]), "shared")
     classes = copy_classes(docs, shared, key)
-    groups = shared.select("template", "key").distinct().join(broadcast_if_small(classes), "key", "left")
+    groups = shared.select("template", "long", "key").distinct().join(broadcast_if_small(classes), "key", "left")
     recurring = (
-        groups.select("template", F.coalesce("class", "key").alias("class")).distinct().groupBy("template").agg(F.count("*").alias("n"))
-        .filter(F.col("n") >= min_documents).select("template", F.lit(True).alias("recurs"))
+        groups.select("template", "long", F.coalesce("class", "key").alias("class")).distinct().groupBy("template", "long").agg(F.count("*").alias("n"))
+        .filter(enough).select("template", F.lit(True).alias("recurs"))
     )
     found = shared.select("key", "line_no", "template").join(materialize(recurring, "recurring"), "template", "left")
     return found.select("key", "line_no", F.coalesce("recurs", F.lit(False)).alias("recurs"))
@@ -108,8 +112,9 @@ def recurring_lines(docs: DataFrame, key: Column, min_documents: int = MIN_DOCUM
 def _shingles(text: Column) -> Column:
     """Distinct hashes of a text's runs of SHINGLE_WORDS words; shorter texts are one run."""
     words = F.split(F.btrim(F.regexp_replace(text, r"\s+", " ")), " ")
-    return F.array_distinct(F.transform(
-        F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(words) - SHINGLE_WORDS + 1)), lambda i: F.xxhash64(F.slice(words, i, SHINGLE_WORDS))))
+    # the one-element array binds the words once, or they would be split again for every run
+    return F.element_at(F.transform(F.array(words), lambda w: F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(w) - SHINGLE_WORDS + 1)), lambda i: F.xxhash64(F.slice(w, i, SHINGLE_WORDS))))), 1)
 
 
 def copy_classes(docs: DataFrame, shared: DataFrame, key: Column) -> DataFrame:
@@ -171,7 +176,8 @@ def _marked(docs: DataFrame, found: DataFrame, key: Column) -> DataFrame:
 def drop_recurring_lines(docs: DataFrame, key: Column, **options) -> DataFrame:
     """`docs` without recurring lines, and what was found: adds n_lines, n_recurring and whole.
 
-    A line recurs when `min_documents` groups of copies hold its template. A group of
+    A line recurs when enough groups of copies hold its template: `min_documents`
+    of them, or LONG_DOCUMENTS for lines of more than LONG_WORDS words. A group of
     copies (see `copy_classes`) counts once, so that it never loses all its members;
     a document without copies is a group of its own. Recurring lines go from every
     text, however much of it they are, with their line breaks; what remains keeps

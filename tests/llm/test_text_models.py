@@ -231,3 +231,13 @@ def test_common_values_of_fields_are_not_constants(spark):
             for i in range(100)]  # every value in ten documents, every pair of values in one
     got = drop_recurring_lines(documents(spark, rows), content_key()).collect()
     assert [r.doc_id for r in got if r.text != "\n".join(_own_lines(r.doc_id, 3))] == []
+
+
+def test_long_lines_recur_in_two_documents(spark):
+    passage, short = " ".join(f"w{c}{d}" for c in "abcdef" for d in "klmnopqrst"), "seen in two texts only"
+    rows = [(i, "\n".join([*_own_lines(i, 12), passage, short])) for i in range(2)]
+    copied = " ".join(f"z{c}{d}" for c in "abcdef" for d in "klmnopqrst")
+    rows += [(10 + i, copied + f"\nend{'ab'[i]}") for i in range(2)]  # two near copies
+    got = {r.doc_id: r.text for r in drop_recurring_lines(documents(spark, rows), content_key()).collect()}
+    for i in range(2):
+        assert got[i] == "\n".join([*_own_lines(i, 12), short]) and got[10 + i] == dict(rows)[10 + i]
