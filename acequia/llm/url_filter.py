@@ -47,10 +47,13 @@ def intervals(entries: DataFrame) -> DataFrame:
     `entries` has pattern, allow (boolean), action (`add` or `remove`) and at
     (seconds). A pattern is valid from an add to the next remove; repeated adds
     change nothing, of several actions at one moment a removal wins. Entries with
-    a null, an empty pattern or another action are ignored.
+    a null, an empty pattern or another action are ignored. Of a pattern the host
+    is taken without regard to case, the path (from the first slash) as it stands.
     """
+    host = F.substring_index("pattern", "/", 1)
+    pattern = F.concat(F.lower(host), F.substring(F.col("pattern"), F.length(host) + 1, F.length("pattern")))
     clean = entries.filter("pattern <> '' and allow is not null and at is not null and action in ('add', 'remove')")
-    moments = clean.groupBy(F.lower("pattern").alias("pattern"), "allow", "at").agg(F.min(F.col("action") == "add").alias("on"))
+    moments = clean.groupBy(pattern.alias("pattern"), "allow", "at").agg(F.min(F.col("action") == "add").alias("on"))
     history = Window.partitionBy("pattern", "allow").orderBy("at")
     changes = moments.withColumn("was", F.coalesce(F.lag("on").over(history), F.lit(False))).filter("on <> was")
     ends = changes.withColumn("until", F.coalesce(F.lead("at").over(history), F.lit(FOREVER)))

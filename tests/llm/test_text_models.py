@@ -241,3 +241,12 @@ def test_long_lines_recur_in_two_documents(spark):
     got = {r.doc_id: r.text for r in drop_recurring_lines(documents(spark, rows), content_key()).collect()}
     for i in range(2):
         assert got[i] == "\n".join([*_own_lines(i, 12), short]) and got[10 + i] == dict(rows)[10 + i]
+
+
+def test_url_filter_keeps_the_case_of_paths(spark):
+    entries = spark.createDataFrame(
+        [("bad.com", False, "add", 1), ("Bad.com/Blog", True, "add", 1)], "pattern string, allow boolean, action string, at bigint")
+    captures = spark.createDataFrame(
+        [(1, "http://BAD.com/Blog/x", 5), (2, "http://bad.com/blog/x", 5)], "capture_id bigint, url string, fetched_at bigint")
+    got = {r.capture_id: (r.pattern, r.n_active, r.blocked) for r in judge(captures, entries).collect()}
+    assert got == {1: ("bad.com/Blog", 2, False), 2: ("bad.com", 1, True)}
