@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from acequia.llm.common import broadcast_if_small, content_key, table
 from acequia.llm.cover_tree import vector_components
+from acequia.llm.filter_audit import audit_filters
 from acequia.llm.imatch import fingerprint_documents
 from acequia.llm.kneser_ney import classify
 from acequia.llm.line_templates import drop_recurring_lines
@@ -163,9 +164,53 @@ def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP13_SQL = """
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS ws, min(doc_id) OVER (PARTITION BY t) AS least FROM d),
+f AS (
+  SELECT doc_id, part,
+         CASE WHEN len(ws) < 200 THEN 'A' ELSE '' END
+         || CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 2 * length(t) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+         || CASE WHEN doc_id > least THEN 'E' ELSE '' END AS failed
+  FROM w),
+known AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+counts AS (
+  SELECT part, failed, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+  FROM f LEFT JOIN known USING (doc_id) GROUP BY part, failed),
+l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM l a, l b, l c, l d, l e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+cells AS (SELECT filter_order, s.step, filter_order[s.step] AS letter, filter_order[1:s.step - 1] AS earlier
+          FROM orders, (SELECT unnest(range(1, 6)) AS step) s),
+raw AS (
+  SELECT part, filter_order, step, letter, contains(failed, letter) AS fails, failed = letter AS alone,
+         length(translate(failed, earlier, '')) < length(failed) AS before, n, good, toxic
+  FROM cells, counts),
+summed AS (
+  SELECT part, filter_order, step, letter,
+         sum(CASE WHEN NOT before AND NOT fails THEN n ELSE 0 END)::BIGINT AS kept,
+         sum(CASE WHEN NOT before AND fails THEN n ELSE 0 END)::BIGINT AS removed,
+         sum(CASE WHEN before AND fails THEN n ELSE 0 END)::BIGINT AS redundant,
+         sum(CASE WHEN alone THEN n ELSE 0 END)::BIGINT AS unique_fails,
+         sum(CASE WHEN NOT before AND fails THEN good ELSE 0 END)::BIGINT AS good_lost,
+         sum(CASE WHEN NOT before AND fails THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+  FROM raw GROUP BY ALL)
+SELECT part, filter_order, step::INT AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+FROM summed
+"""
+
+
 QUERIES = {
     f.__name__: f
     for f in (op1_quality, op2_url_filter, op3_shard, op4_token_counts, op5_pack, op6_vectors, op7_minhash, op8_mixing,
-              op9_line_templates, op10_imatch)
+              op9_line_templates, op10_imatch, op13_filter_audit)
 }
-SQL = {"op2_url_filter": OP2_SQL}
+SQL = {"op2_url_filter": OP2_SQL, "op13_filter_audit": OP13_SQL}
