@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acequia.llm.common import broadcast_if_small, content_key, table
 from acequia.llm.cover_tree import vector_components
+from acequia.llm.curve_packing import pack_along_curve
 from acequia.llm.filter_audit import audit_filters
 from acequia.llm.imatch import fingerprint_documents
 from acequia.llm.kneser_ney import classify
 from acequia.llm.line_templates import drop_recurring_lines
+from acequia.llm.merkle import document_leaves, manifest
 from acequia.llm.minhash import minhash_components
 from acequia.llm.mixing import copies, mix, with_rates
 from acequia.llm.mixing import tokens_of as words_of
@@ -20,6 +24,7 @@ from acequia.llm.token_counts import count_tokens, public_file
 from acequia.llm.url_filter import host_of, judge, path_of
 
 TOKENIZER = "byte_bpe_50k.json"
+PACKING_TOKENIZER = "word_bpe_49k.json"
 TOKEN_LIMIT = 512
 SHARDS = 24
 
@@ -113,7 +118,7 @@ def op3_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return count_tokens(table(spark, sf_dir, "documents"), lambda: public_file(TOKENIZER), TOKEN_LIMIT)
+    return count_tokens(table(spark, sf_dir, "documents"), partial(public_file, TOKENIZER), TOKEN_LIMIT)
 
 
 def packable(docs: DataFrame) -> DataFrame:
@@ -164,6 +169,64 @@ def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folded = manifest(document_leaves(table(spark, sf_dir, "documents"))).fold()
+    return folded.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+OP11_SQL = """
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, lang, text,
+         coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+         || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+         list_reduce(
+           list_prepend(4294967295, flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+           lambda s, e: xor(xor(s, e) >> 1, CASE WHEN xor(s, e) & 1 = 1 THEN 3988292384 ELSE 0 END)) AS state
+  FROM documents),
+leaves AS (
+  SELECT rid, doc_id, lang, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         CASE WHEN xor(state, 4294967295) % 3 = 0
+              THEN sha256(head || coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) END AS other
+  FROM d),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank, count(*) OVER (PARTITION BY lang) AS n
+  FROM leaves),
+tree(lang, lvl, idx, n, h) AS (
+  SELECT lang, 0, rank, n, leaf FROM ranked
+  UNION ALL
+  SELECT lang, lvl + 1, idx // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY idx)) FROM tree WHERE n > 1 GROUP BY lang, lvl, idx // 8, n),
+subroots AS (
+  SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS rank, count(*) OVER () AS n FROM tree WHERE n = 1),
+top(lvl, idx, n, h) AS (
+  SELECT 0, rank, n, subroot FROM subroots
+  UNION ALL
+  SELECT lvl + 1, idx // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY idx)) FROM top WHERE n > 1 GROUP BY lvl, idx // 8, n),
+walk(rid, lang, lvl, idx, n, h, proof) AS (
+  SELECT rid, lang, 0, rank, n, coalesce(other, leaf), '' FROM ranked
+  UNION ALL
+  SELECT w.rid, w.lang, w.lvl + 1, w.idx // 8, (w.n + 7) // 8,
+         sha256(string_agg(CASE WHEN t.idx = w.idx THEN w.h ELSE t.h END, '' ORDER BY t.idx)),
+         w.proof || coalesce(string_agg(t.h, '' ORDER BY t.idx) FILTER (t.idx <> w.idx), '')
+  FROM walk w JOIN tree t ON t.lang IS NOT DISTINCT FROM w.lang AND t.lvl = w.lvl AND t.idx // 8 = w.idx // 8
+  WHERE w.n > 1 GROUP BY w.rid, w.lang, w.lvl, w.idx, w.n, w.proof),
+upper(rid, subroot, lvl, idx, n, h, proof) AS (
+  SELECT w.rid, s.subroot, 0, s.rank, s.n, w.h, w.proof FROM walk w JOIN subroots s ON s.lang IS NOT DISTINCT FROM w.lang WHERE w.n = 1
+  UNION ALL
+  SELECT w.rid, w.subroot, w.lvl + 1, w.idx // 8, (w.n + 7) // 8,
+         sha256(string_agg(CASE WHEN t.idx = w.idx THEN w.h ELSE t.h END, '' ORDER BY t.idx)),
+         w.proof || coalesce(string_agg(t.h, '' ORDER BY t.idx) FILTER (t.idx <> w.idx), '')
+  FROM upper w JOIN top t ON t.lvl = w.lvl AND t.idx // 8 = w.idx // 8
+  WHERE w.n > 1 GROUP BY w.rid, w.subroot, w.lvl, w.idx, w.n, w.proof)
+SELECT l.doc_id, l.leaf, u.subroot, r.h AS root, sha256(u.proof) AS proof_sha256, u.h AS folded_root, u.h = r.h AS verified
+FROM leaves l JOIN upper u ON u.rid = l.rid AND u.n = 1 JOIN top r ON r.n = 1
+"""
+
+
+def op12_curve_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack_along_curve(table(spark, sf_dir, "documents"), partial(public_file, PACKING_TOKENIZER))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -211,6 +274,6 @@ FROM summed
 QUERIES = {
     f.__name__: f
     for f in (op1_quality, op2_url_filter, op3_shard, op4_token_counts, op5_pack, op6_vectors, op7_minhash, op8_mixing,
-              op9_line_templates, op10_imatch, op13_filter_audit)
+              op9_line_templates, op10_imatch, op11_merkle, op12_curve_pack, op13_filter_audit)
 }
-SQL = {"op2_url_filter": OP2_SQL, "op13_filter_audit": OP13_SQL}
+SQL = {"op2_url_filter": OP2_SQL, "op11_merkle": OP11_SQL, "op13_filter_audit": OP13_SQL}
