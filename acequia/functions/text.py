@@ -186,9 +186,15 @@ def join_key(c: Column) -> Column:
 def composite_key(*parts: Column) -> Column:
     """Parts joined by `-`; a missing part is kept as an empty one.
 
-    Parts that hold `-` themselves can give one key for different rows.
+    Parts that hold `-` themselves can give one text for different keys, so rows are
+    told apart by the parts (`key_part`), never by this text.
     """
-    return F.concat_ws("-", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts])
+    return F.concat_ws("-", *[key_part(p) for p in parts])
+
+
+def key_part(c: Column) -> Column:
+    """A part of a composite key as a non-null text; a missing part is an empty one."""
+    return F.coalesce(c.cast("string"), F.lit(""))
 
 
 def is_demo(c: Column, token: str = DEMO_TOKEN) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acequia.functions.text import is_demo, join_key
@@ -141,5 +141,22 @@ def check_measure(staged: DataFrame, facts: DataFrame, measure: Column, fact_mea
     return check("measure", table, staged.agg(off.cast("long")))
 
 
+def check_ids(facts: DataFrame, dim: DataFrame, id_col: str, table: str) -> DataFrame:
+    """Facts whose id the dimension lacks; null ids are `check_foreign_keys`'s."""
+    held = facts.filter(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count(F.lit(1)).alias("n"))
+    return check(f"ids_{id_col}", table, held.join(dim.select(id_col), id_col, "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0))))
+
+
+def checksum(*cols: str | Column) -> Column:
+    """Aggregate: order-free checksum of a multiset of rows, the exact sum of their hashes."""
+    return F.sum(F.xxhash64(*cols).cast("decimal(38,0)"))
+
+
+def stated(spark: SparkSession, checks: Sequence[tuple[str, str, int]]) -> DataFrame:
+    """Checks whose failures are known already: (check, table, failures)."""
+    rows = [(name, table, int(n), n == 0) for name, table, n in checks]
+    return spark.createDataFrame(rows, "`check` string, `table` string, failures long, passed boolean")
+
+
 def dq_report(checks: Sequence[DataFrame]) -> DataFrame:
     return _stack(list(checks))

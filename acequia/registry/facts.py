@@ -67,7 +67,7 @@ def _first_facts(t: Tables) -> DataFrame:
     """Facts of an earlier load: finished orders, resolved by the plain dimensions."""
     staged = _trimmed(_report(t)).filter("o_orderstatus = 'F'")
     rows, _ = fact_rows(staged, _plain_references(t), _PK, F.lit(0))
-    return stamp(latest_facts(rows, _ORDER).select(*_FACT_COLUMNS), "loaded_at", OLD_STAMP)
+    return stamp(latest_facts(rows, _PK, _ORDER).select(*_PK, *_FACT_COLUMNS), "loaded_at", OLD_STAMP)
 
 
 def _load_equipment(t: Tables) -> tuple[DataFrame, DataFrame]:
@@ -79,7 +79,7 @@ def _load_equipment(t: Tables) -> tuple[DataFrame, DataFrame]:
 
 def fact_equipment_load(spark, root):
     snapshot, _ = _load_equipment(Tables(spark, root))
-    return snapshot.withColumn("loaded_at", F.date_format("loaded_at", "yyyy-MM-dd HH:mm:ss"))
+    return snapshot.drop(*_PK).withColumn("loaded_at", F.date_format("loaded_at", "yyyy-MM-dd HH:mm:ss"))
 
 
 def fact_equipment_valid(spark, root):
@@ -115,9 +115,7 @@ def orphans_staging(spark, root):
 def fact_services_upsert(spark, root):
     """Counts one per request; orders, dates and unknown insurers are created on the way."""
     t = Tables(spark, root)
-    staged = staged_services(t).withColumn(
-        "request_id", composite_key(F.col("order_number"), F.col("sent"))
-    )
+    staged = staged_services(t)
     known = staged.filter("event_type <> 'error'").groupBy("order_number").agg(F.min("event_id").alias("order_id"))
     orders = add_missing_members(known, staged, "order_number", "order_number", {}, "order_id")
     payers = add_missing_members(
@@ -130,16 +128,17 @@ def fact_services_upsert(spark, root):
         Reference("insurer_nk", payers, "insurer_nk", "insurer_id"),
         Reference("sent", dates, "date", "date_id", is_date=True),
     ]
-    before = staged.filter("event_type = 'click'").groupBy("request_id").agg(F.max("event_id").alias("seen"))
+    key = ["order_number", "sent"]
+    before = staged.filter("event_type = 'click'").select("order_number", F.col("sent").cast("string").alias("sent")).distinct()
     current = stamp(
         before.select(
-            "request_id", *[F.lit(0).cast("long").alias(c) for c in ("order_id", "patient_id", "insurer_id", "date_id")],
+            *key, composite_key(*[F.col(c) for c in key]).alias("request_id"), *[F.lit(0).cast("long").alias(c) for c in ("order_id", "patient_id", "insurer_id", "date_id")],
             F.lit(1.0).alias("quantity"),
         ),
         "loaded_at", OLD_STAMP,
     )
-    snapshot, _ = load_facts(current, staged, references, ["order_number", "sent"], "event_id", NEW_STAMP)
-    return snapshot.withColumn("loaded_at", F.date_format("loaded_at", "yyyy-MM-dd HH:mm:ss"))
+    snapshot, _ = load_facts(current, staged, references, key, "event_id", NEW_STAMP)
+    return snapshot.drop(*key).withColumn("loaded_at", F.date_format("loaded_at", "yyyy-MM-dd HH:mm:ss"))
 
 
 # -- duplicates and monitoring -----------------------------------------------------

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql.types import (
-    BooleanType, DateType, DoubleType, IntegerType, LongType, StringType,
+    BooleanType, DateType, DecimalType, DoubleType, IntegerType, LongType, StringType,
     StructField, StructType, TimestampType,
 )
 
@@ -33,12 +33,15 @@ DIM_EQUIPMENT = _schema(
 DIM_ORDER = _schema(order_id=_L, order_number=_S, item=_S, quantity=_F)
 DIM_DRUG = _schema(code=_S, name=_S, form=_S, route=_S)
 DIM_DATE = _schema(date_id=_L, date=_D, year=_I, month=_I)
+# The key of a fact are its key texts; `request_id` joins them for reading alone.
 FACT_EQUIPMENT = _schema(
-    request_id=_S, equipment_id=_L, patient_id=_L, insurer_id=_L, date_id=_L, quantity=_F, loaded_at=_T,
+    equipment_nk=_S, serial=_S, delivered=_S, request_id=_S, equipment_id=_L, patient_id=_L, insurer_id=_L, date_id=_L, quantity=_F, loaded_at=_T,
 )
 FACT_SERVICE = _schema(
-    request_id=_S, order_id=_L, patient_id=_L, insurer_id=_L, date_id=_L, quantity=_F, loaded_at=_T,
+    order_number=_S, document=_S, item=_S, sent=_S, request_id=_S, order_id=_L, patient_id=_L, insurer_id=_L, date_id=_L, quantity=_F, loaded_at=_T,
 )
+# Stored sums of a fact, beside their keys.
+SUMS = _schema(n=_L, total=DecimalType(38, 6))
 
 # Header texts of the source files -> names used here. Where files
 # are known under several headers, each of them is listed.
