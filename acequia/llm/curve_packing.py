@@ -37,16 +37,17 @@ LEAST_RANGES = 64
 RANGE_TOKENS = 1 << 26
 SAMPLES_PER_RANGE = 16
 _SLICE = 1 << 20  # characters that are cut into words at once
-_MOST_WORDS = 400_000  # words kept with their ids, each of _MOST_LETTERS at most
+_MOST_WORDS = 300_000  # words, and runs between white space, kept with their ids; each of _MOST_LETTERS at most
 _MOST_LETTERS = 40
+_ENDS = "abcdefghijklmnopqrstuvwxyz.,;:!?"
 
 
 class WordTokens:
     """Ids of texts as a tokenizer file's library gives them, without added tokens around them.
 
     Files whose normalizer composes, folds white space and lower-cases, and whose
-    pre-tokenizer keeps the matches of one pattern, are cut by that pattern here and
-    encoded word by word, each distinct word once. Characters are tried against the
+    pre-tokenizer keeps the matches of one pattern, are cut at white space and by that
+    pattern here and encoded word by word, a distinct one once as a rule. Characters are tried against the
     library when first met; texts with one on which the two differ, texts that are
     not composed, and other kinds of files are encoded by the library.
     """
@@ -79,31 +80,44 @@ class WordTokens:
         self.agreed: set[str] = set()
         self.refused: set[str] = {"Σ"}  # lower-cased by its place in the word
         self.words: dict[str, bytes] = {}
+        self.runs: dict[str, bytes] = {}
+        self.tokenize = self.tok.model.tokenize
 
     def _packed(self, ids: list[int]) -> bytes:
         return np.array(ids, self.kind).tobytes()
 
+    def _keep(self, held: dict[str, bytes], text: str, packed: bytes) -> bytes:
+        if len(text) <= _MOST_LETTERS:
+            if len(held) >= _MOST_WORDS:
+                held.clear()
+            held[text] = packed
+        return packed
+
     def _by_library(self, text: str) -> bytes:
         return self._packed(self.tok.encode(text, add_special_tokens=False).ids)
 
     def _word(self, word: str) -> bytes:
-        ids = [t.id for mapped, _ in self.byte_level.pre_tokenize_str(word) for t in self.tok.model.tokenize(mapped)]
-        packed = self._packed(ids)
-        if len(word) <= _MOST_LETTERS:
-            if len(self.words) >= _MOST_WORDS:
-                self.words.clear()
-            self.words[word] = packed
-        return packed
+        # printable ASCII stands for itself in the byte-level alphabet
+        mapped = [word] if word.isascii() and word.isprintable() else [m for m, _ in self.byte_level.pre_tokenize_str(word)]
+        width, order = self.kind.itemsize, "little"
+        return self._keep(self.words, word, b"".join([t.id.to_bytes(width, order) for m in mapped for t in self.tokenize(m)]))
+
+    def _run(self, run: str) -> bytes:
+        """Ids of what stands between white space; plain words, with a mark behind them or not, need no pattern."""
+        low, known = run.lower(), self.words.get
+        if low.isascii() and low[:-1].isalpha() and low[-1] in _ENDS:
+            words = [low] if low[-1].isalpha() else [low[:-1], low[-1]]
+        else:
+            words = self.cut(low)
+        return self._keep(self.runs, run, b"".join([known(w) or self._word(w) for w in words]))
 
     def _by_words(self, text: str) -> bytes:
-        out, known = [], self.words
-        at = 0
+        out, known, at = [], self.runs.get, 0
         while at < len(text):
             end = at + _SLICE
             while end < len(text) and text[end] not in " \n\t":
                 end += 1
-            for word in self.cut(text[at:end].lower()):
-                out.append(known.get(word) or self._word(word))
+            out += [known(run) or self._run(run) for run in text[at:end].split()]
             at = end
         return b"".join(out)
 
