@@ -15,6 +15,8 @@ from acequia.functions.text import sorted_words
 
 _ONE = np.uint64(1)
 _MASK_CELLS = 4_000_000
+# Names are far shorter; single long texts are quicker as one integer than as many words.
+_MOST_LENGTH = 1024
 
 
 def _code_matrix(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -26,11 +28,12 @@ def _code_matrix(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return out, lengths
 
 
-def _lcs_word(left: list[str], right: list[str]) -> np.ndarray:
-    """LCS lengths for left texts of at most 64 characters, all pairs at once.
+def _lcs_words(left: list[str], right: list[str]) -> np.ndarray:
+    """LCS lengths of all pairs at once; the left texts fill as many 64-bit words as the longest needs.
 
-    Bit-parallel: bit i of a row's word is cleared once left[i] ends a longer
-    common subsequence; one pass over the right text updates all rows together.
+    Bit-parallel: bit i of a row is cleared once left[i] ends a longer common
+    subsequence; one pass over the right texts updates all rows together, the carry
+    of each addition going on into the next word.
     """
     a, a_len = _code_matrix(left)
     b, b_len = _code_matrix(right)
@@ -38,26 +41,31 @@ def _lcs_word(left: list[str], right: list[str]) -> np.ndarray:
     dense = dense.ravel()
     a_sym = dense[: a.size].reshape(a.shape)
     b_sym = dense[a.size:].reshape(b.shape)
-    rows = np.arange(len(left))
-    masks = np.zeros((len(left), len(symbols)), dtype=np.uint64)
+    rows, words = np.arange(len(left)), -(-a.shape[1] // 64)
+    masks = np.zeros((words, len(left), len(symbols)), dtype=np.uint64)
     for i in range(a.shape[1]):
         live = i < a_len
-        masks[rows[live], a_sym[live, i]] |= _ONE << np.uint64(i)
-    state = np.full(len(left), np.iinfo(np.uint64).max, dtype=np.uint64)
+        masks[i // 64, rows[live], a_sym[live, i]] |= _ONE << np.uint64(i % 64)
+    state = np.full((words, len(left)), np.iinfo(np.uint64).max, dtype=np.uint64)
     for j in range(b.shape[1]):
-        hit = np.where(j < b_len, masks[rows, b_sym[:, j]], np.uint64(0))
-        common = state & hit
-        state = (state + common) | (state & ~hit)
-    used = np.where(
-        a_len >= 64,
-        np.iinfo(np.uint64).max,
-        (_ONE << np.minimum(a_len, 63).astype(np.uint64)) - _ONE,
-    )
-    return np.bitwise_count(~state & used).astype(np.int32)
+        live, carry = j < b_len, np.zeros(len(left), np.uint64)
+        for w in range(words):
+            hit = np.where(live, masks[w, rows, b_sym[:, j]], np.uint64(0))
+            common = state[w] & hit
+            added = state[w] + common
+            total = added + carry
+            carry = ((added < common) | (total < carry)).astype(np.uint64)
+            state[w] = total | (state[w] & ~hit)
+    out = np.zeros(len(left), np.int32)
+    for w in range(words):
+        bits = np.clip(a_len - 64 * w, 0, 64).astype(np.uint64)
+        used = np.where(bits >= 64, np.iinfo(np.uint64).max, (_ONE << np.minimum(bits, np.uint64(63))) - _ONE)
+        out += np.bitwise_count(~state[w] & used).astype(np.int32)
+    return out
 
 
 def _lcs_long(left: str, right: str) -> int:
-    """The same recurrence on one arbitrary-width integer, for texts above 64 characters."""
+    """The same recurrence on one arbitrary-width integer, for the few texts beyond _MOST_LENGTH characters."""
     masks: dict[str, int] = {}
     for i, ch in enumerate(left):
         masks[ch] = masks.get(ch, 0) | (1 << i)
@@ -71,15 +79,19 @@ def _lcs_long(left: str, right: str) -> int:
 
 def lcs_lengths(left: pd.Series, right: pd.Series) -> pd.Series:
     out = np.zeros(len(left), dtype=np.int32)
-    # the bit vector runs over the shorter text
+    # the bit vector runs over the shorter text; pairs of like lengths go together
     pairs = [(x, y) if len(x) <= len(y) else (y, x) for x, y in zip(left, right)]
-    short = [i for i, (x, _) in enumerate(pairs) if len(x) <= 64]
-    step = max(256, _MASK_CELLS // 128)
-    for at in range(0, len(short), step):
-        idx = short[at: at + step]
-        out[idx] = _lcs_word([pairs[i][0] for i in idx], [pairs[i][1] for i in idx])
+    most = [i for i, (_, y) in enumerate(pairs) if len(y) <= _MOST_LENGTH]
+    most.sort(key=lambda i: (-(-len(pairs[i][0]) // 64), len(pairs[i][1])))
+    at = 0
+    while at < len(most):
+        words = max(1, -(-len(pairs[most[at]][0]) // 64))
+        step = max(64, _MASK_CELLS // (128 * words))
+        idx = [i for i in most[at: at + step] if max(1, -(-len(pairs[i][0]) // 64)) == words]
+        out[idx] = _lcs_words([pairs[i][0] for i in idx], [pairs[i][1] for i in idx])
+        at += len(idx)
     for i, (x, y) in enumerate(pairs):
-        if len(x) > 64:
+        if len(y) > _MOST_LENGTH:
             out[i] = _lcs_long(x, y)
     return pd.Series(out)
 

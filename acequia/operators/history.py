@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from acequia.functions.text import same_text, to_text
 from acequia.functions.values import OPEN_END, as_date
 from acequia.operators.keys import assign_ids, max_id
-from acequia.operators.skew import HOT_ROWS, lookup, measure_hot, split_hot, with_previous, with_successor
+from acequia.operators.skew import HOT_ROWS, lookup, measure_hot, split_hot, with_last, with_previous, with_successor
 
 
 def scd2(
@@ -74,21 +74,31 @@ def current_only(dim: DataFrame) -> DataFrame:
     return dim.filter("is_current")
 
 
-def as_of(fact: DataFrame, dim: DataFrame, key: str, date_col: str, id_col: str) -> DataFrame:
+def as_of(fact: DataFrame, dim: DataFrame, key: str, date_col: str, id_col: str, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Add the id of the version valid on the fact's date, null when there is none.
 
-    Versions opened and closed on one day are empty intervals and are left out, so
-    a key has at most one version per load date to compare with.
+    Versions and facts of a key go by once, in the order of their dates: a fact takes
+    the version that began last, if that has not ended. So a fact never becomes two
+    rows, also where a broken history overlaps (of versions that begin together the
+    one that ends last counts), and work is linear in facts and versions. Versions
+    opened and closed on one day are empty intervals and are left out. Keys with
+    more than `hot_rows` facts and versions go by in slices of their dates; every
+    slice begins with the last version of those before it. Facts without key or
+    date have no version.
     """
+    kind = "date" if dim.schema["valid_from"].dataType == fact.schema[date_col].dataType else "timestamp"
+    version = F.struct(F.col("valid_to").cast(kind).alias("to"), F.col(id_col).alias("id"))
     versions = dim.filter("valid_from < valid_to").select(
-        key, F.col(id_col).alias("_id"), F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to")
-    )
-    inside = (F.col(date_col) >= F.col("_from")) & (F.col(date_col) < F.col("_to"))
-    return (
-        fact.alias("f")
-        .join(versions.alias("v"), (F.col(f"f.{key}") == F.col(f"v.{key}")) & inside, "left")
-        .select("f.*", F.col("_id").alias(id_col))
-    )
+        F.col(key).alias("_key"), F.col("valid_from").cast(kind).alias("_at"), version.alias("_version"), F.lit(False).alias("_later"))
+    rows = fact.select(F.col(key).alias("_key"), F.col(date_col).cast(kind).alias("_at"), F.struct("*").alias("_fact"))
+    placed = F.col("_key").isNotNull() & F.col("_at").isNotNull()
+    both = versions.withColumn("_fact", F.lit(None).cast(rows.schema["_fact"].dataType)).unionByName(
+        rows.filter(placed).withColumns({"_version": F.lit(None).cast(versions.schema["_version"].dataType), "_later": F.lit(True)}))
+    hot = measure_hot(both, "_key", "_at", hot_rows)
+    passed = with_last(split_hot(both, "_key", "_at", hot), "_key", ["_at", "_later", "_version"], "_version", hot)
+    found = F.when(F.col("_at") < F.col("_last.to"), F.col("_last.id"))
+    held = passed.filter("_fact is not null").select("_fact.*", found.alias(id_col))
+    return held.unionByName(rows.filter(~placed).select("_fact.*", F.lit(None).cast(dim.schema[id_col].dataType).alias(id_col)))
 
 
 def history_check(dim: DataFrame, key: str, hot_rows: int | None = HOT_ROWS) -> DataFrame:

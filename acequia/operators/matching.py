@@ -2,13 +2,18 @@
 
 Names are normalised (`normalize_text`) and distinct before any of the searches,
 so copies of a request cost nothing. Partial and fuzzy matching never compare all
-pairs: both reduce to equi joins on substrings that any match must share.
+pairs: both reduce to equi joins on pieces that any match must share.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Sequence
+from itertools import combinations
 
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,8 +24,9 @@ from acequia.operators.skew import lookup, widen
 from acequia.session import materialize
 
 THRESHOLD = 85
-# Below this the segments of the fuzzy search would become empty.
-LOWEST_THRESHOLD = 67
+# Letters in a key of the fuzzy search; below the deep threshold sets of several would be too many.
+DEPTH = 3
+DEEP_THRESHOLD = 80
 FIRST_WORDS = 4
 
 # Piece lengths of the partial search; the short ones serve entries without longer words.
@@ -62,16 +68,24 @@ def build_catalogue(sources: Sequence[tuple[DataFrame, str, str, str]]) -> DataF
     )
 
 
-def distinct_names(
+def spellings(
     orders: DataFrame, name_col: str, keep: Callable[[DataFrame, str], DataFrame] = materialize
 ) -> DataFrame:
-    """(name): the distinct normalised names of the order lines, stored by `keep`.
+    """(raw, name): the distinct texts of the order lines, each normalised once, stored by `keep`.
 
     Not a lazy frame: Spark would move conditions on pieces of a name below the
     distinct and normalise every line once per condition. The empty name may be
     among the names; no step matches it.
     """
-    return keep(orders.select(normalize_text(F.col(name_col)).alias("name")).distinct(), "names")
+    raw = orders.select(F.col(name_col).alias("raw")).distinct()
+    return keep(widen(raw, "raw").select("raw", normalize_text(F.col("raw")).alias("name")), "spellings")
+
+
+def distinct_names(
+    orders: DataFrame, name_col: str, keep: Callable[[DataFrame, str], DataFrame] = materialize
+) -> DataFrame:
+    """(name): the distinct normalised names of the order lines."""
+    return spellings(orders, name_col, keep).select("name").distinct()
 
 
 def match_exact(names: DataFrame, catalogue: DataFrame) -> DataFrame:
@@ -171,19 +185,6 @@ def match_partial(names: DataFrame, catalogue: DataFrame, n_words: int = FIRST_W
     )
 
 
-def _segments(length: str, t: int) -> Column:
-    """How many segments a text of this length is cut into: most edits allowed, plus one.
-
-    The partner of a text of length n has at most (200 - t) * n / t characters.
-    """
-    return F.expr(f"((100 - {t}) * ({length} + (200 - {t}) * {length} div {t})) div 100 + 1")
-
-
-def _edits(t: int) -> Column:
-    """Insertions and deletions allowed between texts of lengths `la` and `lb`."""
-    return F.expr(f"((100 - {t}) * (la + lb)) div 100")
-
-
 def _letters(text: str) -> list[Column]:
     """Two 64-bit words (`_lo`, `_hi`) with a bit for each of the first occurrences of a letter.
 
@@ -200,85 +201,135 @@ def _letters(text: str) -> list[Column]:
     return out
 
 
-def request_segments(names: DataFrame, t: int) -> DataFrame:
-    """(name, text, lb, i, seg) and letter bits: the word-sorted name cut into even segments."""
-    sorted_names = names.select("name", sorted_words(F.col("name")).alias("text"))
-    cut = sorted_names.select("name", "text", F.length("text").alias("lb"), *_letters("text"))
-    numbered = cut.withColumn("_k", _segments("lb", t)).withColumn(
-        "i", F.explode(F.expr("sequence(0, _k - 1)"))
-    )
-    seg = F.expr("substring(text, i * lb div _k + 1, (i + 1) * lb div _k - i * lb div _k)")
-    return numbered.withColumn("seg", seg).select("name", "text", "lb", "i", "seg", "_lo", "_hi")
+def _pieces_of(text: str) -> list[str]:
+    """The letters of a text, each with its number among the equal ones: `A1`, `B1`, `A2` ..."""
+    seen: dict[str, int] = {}
+    out = []
+    for ch in text:
+        seen[ch] = seen.get(ch, 0) + 1
+        out.append(f"{ch}{seen[ch]}")
+    return out
 
 
-def entry_segments(catalogue: DataFrame, t: int) -> DataFrame:
-    """(entry, code, pos, la, lb, i, seg) and letter bits: where a similar request's segments may lie.
+def piece_order(texts: DataFrame, col: str) -> dict[str, int]:
+    """Rank of every letter piece among the texts, rare ones first.
 
-    If a request of length lb becomes the entry by d <= tau insertions and
-    deletions, take the first segment i with at most i edits up to and including
-    itself. That segment is untouched, exactly i edits precede it and at most
-    tau - i follow. So it stands in the entry shifted by s, with |s| <= i, s - i even and
-    |la - lb - s| <= tau - i. One of the first tau + 1 segments qualifies, hence no match is lost.
+    There are no more pieces than letters times the length of the longest text,
+    whatever the number of texts; they are counted in Spark.
     """
-    distinct = (
-        catalogue.withColumn("entry", sorted_words(F.col("name")))
-        .groupBy("entry")
-        .agg(F.min_by("code", "pos").alias("code"), F.min("pos").alias("pos"))
-    )
-    entries = (
-        widen(distinct, "entry")
-        .select("entry", "code", "pos", F.length("entry").alias("la"), *_letters("entry"))
-    )
-    lengths = F.expr(f"sequence(({t} * la + 199 - {t}) div (200 - {t}), ((200 - {t}) * la) div {t})")
-    placed = (
-        entries.withColumn("lb", F.explode(lengths))
-        .withColumn("_k", _segments("lb", t))
-        .withColumn("_tau", _edits(t))
-        .withColumn("i", F.explode(F.expr("sequence(0, _tau)")))
-        .withColumn("_at", F.expr("i * lb div _k"))
-        .withColumn("_len", F.expr("(i + 1) * lb div _k - i * lb div _k"))
-    )
-    shifts = F.filter(
-        F.expr("sequence(-i, i, 2)"),
-        lambda s: (F.abs(F.col("la") - F.col("lb") - s) <= F.col("_tau") - F.col("i"))
-        & (F.col("_at") + s >= 0)
-        & (F.col("_at") + s + F.col("_len") <= F.col("la")),
-    )
-    pieces = F.array_distinct(
-        F.transform(shifts, lambda s: F.substr(F.col("entry"), (F.col("_at") + s + 1).cast("int"), F.col("_len").cast("int")))
-    )
-    return placed.withColumn("seg", F.explode(pieces)).select(
-        "entry", "code", "pos", "la", "lb", "i", "seg", "_lo", "_hi"
-    )
+    letters = texts.select(F.array_sort(F.split(col, "")).alias("s"))
+    numbered = F.transform("s", lambda c, i: F.concat(c, (i - F.array_position("s", c) + 2).cast("string")))
+    counts = letters.select(F.explode(numbered).alias("piece")).groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
+    return {r.piece: i for i, r in enumerate(counts.orderBy("n", "piece").collect())}
 
 
-def fuzzy_candidates(names: DataFrame, catalogue: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+def partner_lengths(length: int, t: int) -> range:
+    """Lengths of the texts that can be similar to one of this length."""
+    return range((t * length + 199 - t) // (200 - t), ((200 - t) * length) // t + 1)
+
+
+def prefix_keys(texts: pd.Series, order: dict[str, int], t: int, depth: int, left: bool) -> list[np.ndarray]:
+    """Join keys of each text: for every length of a partner, hashes of sets of its rarest letter pieces.
+
+    Texts of lengths a and b that reach the threshold share at least n =
+    ceil(t * (a + b) / 200) letters, hence as many pieces. Of the pieces in their
+    common order the first a - n + k of one text and b - n + k of the other have k in common
+    (k <= n), as all pieces behind those are fewer than n - k + 1. So one set of k
+    pieces out of these beginnings is a key of both. Lengths belong to the key;
+    `left` tells which side comes first in it.
+    """
+    unknown = len(order)
+    made: dict[str, np.ndarray] = {}
+    groups: dict[int, list[tuple[str, np.ndarray]]] = {}
+    for text in texts:
+        if text not in made:
+            made[text] = np.empty(0, np.int64)
+            # pieces that no entry has come first: they match nothing, and their ranks tell them apart
+            ranks = sorted(order.get(p, -1 - int.from_bytes(p.encode(), "little") % (1 << 40)) for p in _pieces_of(text))
+            groups.setdefault(len(text), []).append((text, np.array(ranks, np.int64)))
+    for length, held in groups.items():
+        ranks = _mix(np.stack([r for _, r in held]).astype(np.uint64)) if length else np.empty((len(held), 0), np.uint64)
+        parts = []
+        for other in partner_lengths(length, t):
+            need = -(-t * (length + other) // 200)
+            k = min(depth, need)
+            if need > min(length, other) or not k:
+                continue
+            sets = np.array(list(combinations(range(length - need + k), k)))
+            a, b = (length, other) if left else (other, length)
+            key = np.full((len(held), len(sets)), a * (unknown + 1_000_003) + b, np.uint64)
+            for i in range(k):
+                key = _mix(key ^ ranks[:, sets[:, i]])
+            parts.append(key)
+        joined = np.concatenate(parts, axis=1).view(np.int64) if parts else np.empty((len(held), 0), np.int64)
+        for (text, _), row in zip(held, joined):
+            made[text] = row
+    return [made[text] for text in texts]
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+        x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return x ^ (x >> np.uint64(33))
+
+
+def _keyed(texts: DataFrame, order: dict[str, int], t: int, left: bool) -> DataFrame:
+    """(key, id, n, bits) of distinct texts in column `text`."""
+    depth = DEPTH if t >= DEEP_THRESHOLD else 1
+
+    @F.pandas_udf("array<bigint>")
+    def keys(series: pd.Series) -> pd.Series:
+        return pd.Series(prefix_keys(series, order, t, depth, left))
+
+    signed = widen(texts, "text").select(F.xxhash64("text").alias("id"), F.length("text").alias("n"), *_letters("text"), keys("text").alias("keys"))
+    return signed.select(F.explode("keys").alias("key"), "id", "n", "_lo", "_hi")
+
+
+def fuzzy_candidates(
+    names: DataFrame, catalogue: DataFrame, threshold: int = THRESHOLD,
+    keep: Callable[[DataFrame, str], DataFrame] = materialize,
+) -> DataFrame:
     """Distinct (name, text, entry, code, pos) that may reach the threshold; loses no match.
 
-    Letter counts discard most pairs inside the join, before anything is shuffled:
-    letters that the request has in excess must be deleted, those it lacks inserted,
-    and deletions and insertions are bounded by the lengths and the threshold.
+    Word-sorted texts are joined on sets of their rarest letters (`prefix_keys`), by
+    numbers alone. Letter counts discard most pairs inside the join, before anything
+    is shuffled: letters that the request has in excess must be deleted, those it
+    lacks inserted, and deletions and insertions are bounded by the lengths and the
+    threshold. What is left gets its texts back. Ids are hashes of the texts: two
+    texts that share one only make each other's candidates.
     """
-    if not LOWEST_THRESHOLD <= threshold <= 100:
-        raise ValueError(f"threshold must lie in {LOWEST_THRESHOLD}..100, not {threshold}")
-    left = request_segments(names, threshold).alias("r")
-    # merge join: Spark would broadcast the entries by their size before they are cut up
-    right = entry_segments(catalogue, threshold).hint("merge").alias("e")
-    same = (F.col("r.lb") == F.col("e.lb")) & (F.col("r.i") == F.col("e.i")) & (F.col("r.seg") == F.col("e.seg"))
-    edits = f"((100 - {threshold}) * (e.la + r.lb)) div 100"
+    if not 1 <= threshold <= 100:
+        raise ValueError(f"threshold must lie in 1..100, not {threshold}")
+    requests = keep(names.select("name", sorted_words(F.col("name")).alias("text")), "requests")
+    entries = keep(
+        catalogue.withColumn("entry", sorted_words(F.col("name"))).groupBy("entry")
+        .agg(F.min_by("code", "pos").alias("code"), F.min("pos").alias("pos")), "entries")
+    order = piece_order(entries, "entry")
+    left = _keyed(requests.select("text").distinct(), order, threshold, True).alias("r")
+    # merge join: Spark would broadcast the entries by their size before their keys are made
+    right = _keyed(entries.select(F.col("entry").alias("text")), order, threshold, False).hint("merge").alias("e")
+    edits = f"((100 - {threshold}) * (e.n + r.n)) div 100"
     surplus, lacking = (
         f"bit_count({x}._lo & ~{y}._lo) + bit_count({x}._hi & ~{y}._hi)" for x, y in (("r", "e"), ("e", "r"))
     )
-    near = F.expr(f"2 * ({surplus}) <= {edits} - e.la + r.lb and 2 * ({lacking}) <= {edits} + e.la - r.lb")
-    return left.join(right, same & near).select("name", "text", "entry", "code", "pos").distinct()
+    near = F.expr(f"2 * ({surplus}) <= {edits} - e.n + r.n and 2 * ({lacking}) <= {edits} + e.n - r.n")
+    pairs = left.join(right, (F.col("r.key") == F.col("e.key")) & near).select(F.col("r.id").alias("r"), F.col("e.id").alias("e")).distinct()
+    return (
+        pairs.join(requests.withColumn("r", F.xxhash64("text")), "r").join(entries.withColumn("e", F.xxhash64("entry")), "e")
+        .select("name", "text", "entry", "code", "pos")
+    )
 
 
-def match_fuzzy(names: DataFrame, catalogue: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+def match_fuzzy(
+    names: DataFrame, catalogue: DataFrame, threshold: int = THRESHOLD,
+    keep: Callable[[DataFrame, str], DataFrame] = materialize,
+) -> DataFrame:
     """(name, code, score) of the most similar entry with a score of at least the threshold.
 
     The score is token-sort similarity; among equal scores the first entry wins.
     """
-    pairs = fuzzy_candidates(names, catalogue, threshold).withColumn(
+    pairs = fuzzy_candidates(names, catalogue, threshold, keep).withColumn(
         "_lcs", lcs_length(F.col("text"), F.col("entry"))
     )
     total = F.length("text") + F.length("entry")
@@ -310,7 +361,7 @@ def match_names(
     out = coded.unionByName(partial)
     if use_fuzzy:
         rest = rest.join(partial.select("name"), "name", "left_anti")
-        fuzzy = match_fuzzy(rest, catalogue, threshold).select("name", "code", F.lit("fuzzy").alias("step"))
+        fuzzy = match_fuzzy(rest, catalogue, threshold, keep).select("name", "code", F.lit("fuzzy").alias("step"))
         out = out.unionByName(keep(fuzzy, "fuzzy"))
     return out
 
@@ -324,12 +375,13 @@ def code_orders(
     keep: Callable[[DataFrame, str], DataFrame] = materialize,
 ) -> DataFrame:
     """Order lines with `code` and `step`; lines that no step can code have null and `none`."""
-    named = orders.withColumn("_name", normalize_text(F.col(name_col)))
-    codes = match_names(distinct_names(orders, name_col, keep), keep(catalogue, "catalogue"), threshold, use_fuzzy, keep)
+    spelled = spellings(orders, name_col, keep)
+    codes = match_names(spelled.select("name").distinct(), keep(catalogue, "catalogue"), threshold, use_fuzzy, keep)
+    coded = spelled.join(codes, "name").select(F.col("raw").alias("_raw"), "code", "step")
     return (
-        lookup(named, codes.withColumnRenamed("name", "_name"), "_name")
+        lookup(orders.withColumn("_raw", F.col(name_col)), coded, "_raw")
         .withColumn("step", F.coalesce("step", F.lit("none")))
-        .drop("_name")
+        .drop("_raw")
     )
 
 
@@ -337,3 +389,7 @@ def match_rates(coded: DataFrame) -> DataFrame:
     """Lines and their share per step."""
     counts = coded.groupBy("step").agg(F.count(F.lit(1)).alias("n"))
     return counts.withColumn("share", F.col("n") / coded.agg(F.count(F.lit(1)).alias("n")).scalar())
+
+
+# Executors get the functions themselves and need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
 from acequia.operators.dedupe import names
+from acequia.session import materialize
 
 HOT_ROWS = 1_000_000
-HOT_KEYS = 1_024
 CHUNKS = 64
 
 
@@ -49,16 +49,15 @@ def measure_hot(
     keys: str | Sequence[str],
     order: str | Sequence[str],
     min_rows: int | None = HOT_ROWS,
-    top: int = HOT_KEYS,
     chunks: int = CHUNKS,
 ) -> DataFrame | None:
     """Keys with more than `min_rows` rows and cut points of their order, or None.
 
     Runs one count per key (combined map-side), so that the usual input without hot
-    keys gets the plain plan. The result has at most `top` rows of `chunks` values
-    and only steers the balance of later work: a key missing from it is still
-    processed, in one group of at most 1/top of all rows. `min_rows=None` skips
-    the count. The first order column must be a number, date or timestamp.
+    keys gets the plain plan. All hot keys are found, in a stored table of `chunks`
+    values for each, of which nothing reaches the driver; the table has at most
+    1/min_rows of the rows. `min_rows=None` skips the count. The first order column
+    must be a number, date or timestamp.
     """
     keys, first = names(keys), names(order)[0]
     kind = df.schema[first].dataType
@@ -66,25 +65,17 @@ def measure_hot(
         raise TypeError(f"order column {first!r} must be a number, date or timestamp, not {kind.simpleString()}")
     if min_rows is None:
         return None
-    largest = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > min_rows)
-        .orderBy(F.desc("_rows"), *keys)
-        .select(*keys)
-    )
-    rows = largest.limit(top).collect()
-    if not rows:
+    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > min_rows).select(*keys)
+    if hot.isEmpty():
         return None
-    session = df.sparkSession
-    hot = session.createDataFrame(rows, df.select(*keys).schema)
     cuts = [i / chunks for i in range(1, chunks)]
+    hot = materialize(hot, "hot_keys").withColumn("_hot", F.lit(True))
     bounds = (
-        df.select(*keys, first).join(F.broadcast(hot), keys, "left_semi")
+        lookup(df.select(*keys, first), hot, keys, "inner")
         .groupBy(*keys)
         .agg(F.percentile_approx(first, cuts).alias("_bounds"))
     )
-    return session.createDataFrame(bounds.collect(), bounds.schema)
+    return materialize(bounds, "hot_bounds")
 
 
 def split_hot(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str], hot: DataFrame | None) -> DataFrame:
@@ -98,7 +89,7 @@ def split_hot(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[st
     first = F.col(names(order)[0])
     within = F.size(F.filter("_bounds", lambda b: b <= first))
     return (
-        df.join(F.broadcast(hot), names(keys), "left")
+        lookup(df, hot, keys)
         .withColumn("_chunk", F.when(F.col("_bounds").isNotNull(), within))
         .drop("_bounds")
     )
@@ -132,12 +123,36 @@ def with_previous(
         .filter(F.col("_before").isNotNull())
     )
     return (
-        out.join(F.broadcast(ends), [*keys, "_chunk"], "left")
+        out.join(ends, [*keys, "_chunk"], "left")
         .withColumn("_prev", F.coalesce("_prev", "_before"))
         .drop("_before")
     )
 
 
+def with_last(
+    df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str], col: str, hot: DataFrame | None
+) -> DataFrame:
+    """Add `_last`: the last non-null value of a column up to each row of the key. Expects the `_chunk` of `split_hot`.
+
+    Later slices of a hot key take over the last value of the slices before them,
+    from a table of one row per hot key and slice.
+    """
+    keys, order = names(keys), names(order)
+    upto = _in_order(keys, order, hot).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = df.withColumn("_last", F.last(col, ignorenulls=True).over(upto))
+    if hot is None:
+        return out
+    earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    ends = (
+        df.filter(F.col("_chunk").isNotNull())
+        .groupBy(*keys, "_chunk")
+        .agg(F.max_by(col, F.when(F.col(col).isNotNull(), F.struct(*order))).alias("_end"))
+        .select(*keys, "_chunk", F.last("_end", ignorenulls=True).over(earlier).alias("_before"))
+        .filter(F.col("_before").isNotNull())
+    )
+    return out.join(ends, [*keys, "_chunk"], "left").withColumn("_last", F.coalesce("_last", "_before")).drop("_before")
+
+
 def with_successor(
     df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str], hot: DataFrame | None
 ) -> DataFrame:
@@ -153,7 +168,7 @@ def with_successor(
     )
     later = F.coalesce(F.col("_chunk") < F.col("_last"), F.lit(False))
     return (
-        out.join(F.broadcast(last), keys, "left")
+        lookup(out, last, keys)
         .withColumn("_followed", F.col("_followed") | later)
         .drop("_last")
     )

@@ -134,3 +134,46 @@ def test_lookup_against_an_aggregate_is_split_on_skew(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def versioned(spark, rows):
+    return spark.createDataFrame(rows, "k string, k_id long, a int, b int").select(
+        "k", "k_id", F.date_add(F.lit("2000-01-01"), "a").alias("valid_from"), F.date_add(F.lit("2000-01-01"), "b").alias("valid_to"))
+
+
+@pytest.mark.parametrize("hot_rows", [None, 50])
+def test_as_of_passes_versions_and_facts_once(spark, hot_rows):
+    rng = random.Random(9)
+    rows = [("hot", i, i, i + 1) for i in range(0, 10_000) if i % 7]  # gaps, and one version a day
+    rows += [(f"k{i % 40}", 20_000 + i, i, i + rng.choice([0, 1, 3])) for i in range(0, 400, 4)]
+    facts = [("hot", rng.randrange(-5, 10_010)) for _ in range(3_000)]
+    facts += [(rng.choice([f"k{i}" for i in range(50)] + [None]), rng.choice([None, *range(0, 420)])) for _ in range(500)]
+    given = spark.createDataFrame([(*f, i) for i, f in enumerate(facts)], "k string, at int, n int").withColumn("d", F.date_add(F.lit("2000-01-01"), "at"))
+    found = as_of(given, versioned(spark, rows), "k", "d", "k_id", hot_rows=hot_rows)
+    want = {}
+    for n, (k, at) in enumerate(facts):
+        inside = [] if at is None or k is None else [i for v, i, a, b in rows if v == k and a <= at < b]
+        want[n] = inside[0] if inside else None
+    assert found.columns == [*given.columns, "k_id"]
+    assert {r.n: r.k_id for r in found.collect()} == want
+    text = plan(found.drop("n"))
+    assert "valid_from <=" not in text and "NestedLoop" not in text and "Cartesian" not in text
+    if hot_rows is None:
+        assert "Join" not in text
+
+
+def test_as_of_keeps_one_row_in_broken_histories(spark):
+    dim = versioned(spark, [("a", 1, 0, 100), ("a", 2, 10, 20), ("a", 3, 10, 30), ("b", 4, 5, 5)])
+    facts = spark.createDataFrame([("a", 5), ("a", 15), ("a", 40), ("b", 5)], "k string, at int")
+    stamped = facts.withColumn("d", F.date_add(F.lit("2000-01-01"), "at").cast("timestamp"))
+    assert sorted((r.k, r["at"], r.k_id) for r in as_of(stamped, dim, "k", "d", "k_id").collect()) == [
+        ("a", 5, 1), ("a", 15, 3), ("a", 40, None), ("b", 5, None)]
+
+
+def test_any_number_of_hot_keys(spark):
+    rows = [(f"k{i % 2_000}", f"v{(i // 2_000) % 3}", "A", i) for i in range(12_000)]
+    given = spark.createDataFrame(rows, "equipment_nk string, equipment string, state string, seq int")
+    args = (equipment(spark), given, "equipment_nk", ["equipment", "state"], "seq", DAY, "equipment_id")
+    plain, sliced = scd2(*args, hot_rows=None), scd2(*args, hot_rows=2)
+    columns = ["equipment_nk", "equipment", "valid_from", "valid_to", "is_current"]
+    assert sorted(map(tuple, sliced.select(*columns).collect())) == sorted(map(tuple, plain.select(*columns).collect()))

@@ -1,5 +1,7 @@
 import random
+from collections import Counter
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -25,7 +27,7 @@ def lcs(x, y):
 
 def random_names(rng, n):
     words = ["".join(rng.choice("ABCDE1") for _ in range(rng.randint(1, 7))) for _ in range(25)]
-    return list({" ".join(rng.choice(words) for _ in range(rng.randint(1, 5))) for _ in range(n)})
+    return sorted({" ".join(rng.choice(words) for _ in range(rng.randint(1, 5))) for _ in range(n)})
 
 
 def mutated(rng, names):
@@ -33,7 +35,7 @@ def mutated(rng, names):
     for name in names:
         chars = list(name)
         for _ in range(rng.randint(0, 3)):
-            at = rng.randrange(len(chars))
+            at = rng.randrange(len(chars) or 1)  # a short name may have lost all its letters
             chars[at: at + rng.randint(0, 1)] = rng.choice(["", "A", "Z9"])
         words = " ".join("".join(chars).split()).split()
         rng.shuffle(words)
@@ -42,7 +44,7 @@ def mutated(rng, names):
     return sorted(out)
 
 
-@pytest.mark.parametrize("threshold", [70, 85, 95])
+@pytest.mark.parametrize("threshold", [50, 70, 85, 95])
 def test_fuzzy_equals_brute_force(spark, threshold):
     rng = random.Random(threshold)
     entries = random_names(rng, 60)
@@ -80,10 +82,26 @@ def test_partial_equals_brute_force(spark, monkeypatch, limit):
     assert got == want
 
 
-def test_low_threshold_is_refused(spark):
+def test_impossible_thresholds_are_refused(spark):
     frame = spark.createDataFrame([("A",)], "name string")
-    with pytest.raises(ValueError):
-        m.match_fuzzy(frame, catalogue_of(spark, ["A"]), 50)
+    for threshold in (0, 101):
+        with pytest.raises(ValueError):
+            m.match_fuzzy(frame, catalogue_of(spark, ["A"]), threshold)
+
+
+def test_few_pairs_are_tested():
+    rng = random.Random(5)
+    vocabulary = ["".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ", k=rng.randint(3, 8))) for _ in range(60)]
+    shares = []
+    for n in (300, 3_000):
+        entries = sorted({" ".join(sorted(rng.choices(vocabulary, k=3))) for _ in range(n)})
+        names = sorted({" ".join(sorted(rng.choices(vocabulary, k=3))) for _ in range(200)})
+        counts = Counter(p for e in entries for p in m._pieces_of(e))
+        order = {p: i for i, (p, _) in enumerate(sorted(counts.items(), key=lambda x: (x[1], x[0])))}
+        held = Counter(k for keys in m.prefix_keys(pd.Series(entries), order, 85, m.DEPTH, False) for k in keys.tolist())
+        tested = sum(held[k] for keys in m.prefix_keys(pd.Series(names), order, 85, m.DEPTH, True) for k in keys.tolist())
+        shares.append(tested / len(entries) / len(names))
+    assert shares[0] < 0.1 and shares[1] < 0.1
 
 
 def masters(spark):
