@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -18,6 +20,34 @@ BROADCAST_KEYS = 2_000_000
 MAX_ROUNDS = 60
 
 
+# Blocks from this size on go back to the system as soon as they are free (glibc otherwise raises its bound).
+_MAPPED_BYTES = 1 << 20
+
+
+def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A task function whose worker keeps no memory for later tasks: workers are used again, their free memory is not.
+
+    An executor's JVM and its Python workers share one memory limit, so what a worker
+    holds back without need is missing elsewhere.
+    """
+
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            libc = ctypes.CDLL("libc.so.6")
+            libc.mallopt(-3, _MAPPED_BYTES)  # M_MMAP_THRESHOLD
+        except (OSError, AttributeError):  # another C library
+            libc = None
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            if libc is not None:
+                libc.malloc_trim(0)
+
+    return wrapped
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -20,7 +20,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from acequia.llm.common import broadcast_if_small
+from acequia.llm.common import lean
 from acequia.session import materialize
 
 BUCKETS = 4096
@@ -33,15 +33,23 @@ TOLERANCE = 1e-6
 MOST_DOMAINS = 256
 
 
-def buckets(text: str | None) -> np.ndarray:
+def buckets(text: str | bytes | None) -> np.ndarray:
     """Counts of hashed byte trigrams of the whole text."""
-    b = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8).astype(np.uint32)
+    raw = text if isinstance(text, bytes) else (text or "").encode("utf-8", "surrogatepass")
+    b = np.frombuffer(raw, np.uint8).astype(np.uint32)
     if len(b) < 3:
         return np.zeros(BUCKETS)
     h = (b[:-2] * 0x9E3779B1 ^ b[1:-1] * 0x85EBCA6B ^ b[2:] * 0xC2B2AE35) >> 20
     return np.bincount(h, minlength=BUCKETS).astype(np.float64)
 
 
+def words(raw: bytes) -> int:
+    """Words between ASCII white space; the number that `tokens_of` gives."""
+    b = np.frombuffer(raw, np.uint8)
+    inside = (b != 32) & ((b < 9) | (b > 13))
+    return int(inside[:1].sum() + (inside[1:] & ~inside[:-1]).sum())
+
+
 def _counts(domains: list[str]) -> Callable:
     place = {d: i for i, d in enumerate(domains)}
 
@@ -61,7 +69,7 @@ def _counts(domains: list[str]) -> Callable:
 def train(labelled: DataFrame, domains: list[str]) -> np.ndarray:
     """Log-likelihood of every bucket by domain, with the log prior in a last column; from all labelled rows."""
     sums = (
-        labelled.select("domain", "text").mapInArrow(_counts(domains), "domain bigint, counts array<double>, docs double")
+        labelled.select("domain", "text").mapInArrow(lean(_counts(domains)), "domain bigint, counts array<double>, docs double")
         .select("domain", "docs", F.posexplode("counts").alias("bucket", "n"))
         .groupBy("domain", "bucket").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
         .collect()  # domains * BUCKETS numbers
@@ -74,24 +82,45 @@ def train(labelled: DataFrame, domains: list[str]) -> np.ndarray:
     return np.hstack([like, np.log(docs / docs.sum())[:, None]])
 
 
+def membership(model: np.ndarray, text: str | bytes | None) -> np.ndarray:
+    """Posterior over the domains; the prior for texts under 3 bytes."""
+    n = buckets(text)
+    size = n.sum()
+    score = model[:, -1] + (model[:, :-1] @ n) * (min(1.0, EVIDENCE / size) if size else 0.0)
+    p = np.exp(score - score.max())
+    return p / p.sum()
+
+
 def posterior(model: np.ndarray) -> Callable:
-    """Arrow UDF: posterior over the domains of each text; the prior for texts under 3 bytes."""
+    """Arrow UDF: `membership` of each text."""
 
     @F.pandas_udf("array<double>")
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for series in texts:
-            out = []
-            for text in series:
-                n = buckets(text)
-                size = n.sum()
-                score = model[:, -1] + (model[:, :-1] @ n) * (min(1.0, EVIDENCE / size) if size else 0.0)
-                p = np.exp(score - score.max())
-                out.append(p / p.sum())
-            yield pd.Series(out)
+            yield pd.Series([membership(model, text) for text in series])
 
     return run
 
 
+def _classified(model: np.ndarray) -> Callable:
+    """Rows (doc_id, key, n_tokens, p) of rows (doc_id, key, text); every text is read once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t.as_py() or b"" for t in batch.column(2).cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array([words(t) for t in texts], pa.int64()),
+                 pa.array([membership(model, t) for t in texts], pa.list_(pa.float64()))],
+                ["doc_id", "key", "n_tokens", "p"])
+
+    return run
+
+
+def _state(docs: DataFrame, key: Column | None, model: np.ndarray) -> DataFrame:
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.lit(None).cast("long") if key is None else key).alias("key"), "text")
+    return materialize(rows.mapInArrow(lean(_classified(model)), "doc_id bigint, key bigint, n_tokens bigint, p array<double>"), "mixture")
+
+
 def replay(p: np.ndarray, steps: list[np.ndarray]) -> np.ndarray:
     """Rates after the steps: projected gradient from 1, in the metric of the documents' tokens."""
     r = np.ones(len(p))
@@ -133,10 +162,17 @@ def fit(state: DataFrame, targets: np.ndarray) -> list[np.ndarray]:
 
 
 class Mixture:
-    """Classifier, targets and fitted steps; gives rates and posteriors as columns of any table with a text."""
+    """Classifier, targets and fitted steps; gives rates and posteriors as columns of any table with a text.
 
-    def __init__(self, domains: list[str], model: np.ndarray, targets: np.ndarray, steps: list[np.ndarray]):
-        self.domains, self.model, self.targets, self.steps = domains, model, targets, steps
+    `state` has what the classifier found in the documents mixed: (doc_id, key, n_tokens, p).
+    """
+
+    def __init__(self, domains: list[str], model: np.ndarray, targets: np.ndarray, steps: list[np.ndarray], state: DataFrame):
+        self.domains, self.model, self.targets, self.steps, self.state = domains, model, targets, steps, state
+
+    def rated(self) -> DataFrame:
+        """(doc_id, key, n_tokens, posterior, rate) of the documents mixed, without reading them again."""
+        return self.state.select("doc_id", "key", "n_tokens", F.col("p").alias("posterior"), self.rate(F.col("p")).alias("rate"))
 
     def rate(self, p: Column) -> Column:
         steps = self.steps
@@ -159,10 +195,11 @@ def tokens_of(text: Column) -> Column:
     return F.when(trimmed == "", 0).otherwise(F.size(F.split(trimmed, " "))).cast("long")
 
 
-def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | float) -> Mixture:
+def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | float, key: Column | None = None) -> Mixture:
     """Fit rates so that the domains' expected token totals meet the target weights.
 
-    `docs` has text; `labelled` has text and domain. `weights` gives each domain's
+    `docs` has doc_id and text, `key` tells its rows apart where that matters to the
+    caller; `labelled` has text and domain. `weights` gives each domain's
     share of the tokens, or an exponent: shares are then those of the labelled
     rows' domains among the documents, raised to it (below 1: small domains gain).
     The total of the targets is the total of the tokens. Domains that cannot reach
@@ -180,22 +217,22 @@ def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | float)
     if len(domains) > MOST_DOMAINS:
         raise ValueError("too many domains")
     if not domains:
-        return Mixture([], np.zeros((1, BUCKETS + 1)), np.zeros(1), [])
+        model = np.zeros((1, BUCKETS + 1))
+        return Mixture([], model, np.zeros(1), [], _state(docs, key, model))
     model = train(labelled, domains)
-    state = materialize(
-        docs.select(tokens_of(F.col("text")).alias("n_tokens"), posterior(model)(F.col("text")).alias("p")).filter("n_tokens > 0"), "mixture"
-    )
+    every = _state(docs, key, model)
+    state = every.filter("n_tokens > 0")
     sums = state.select("n_tokens", F.posexplode("p").alias("i", "x")).groupBy("i").agg(F.sum(F.col("x") * F.col("n_tokens")).alias("t")).collect()
     total = np.zeros(len(domains))
     for r in sums:
         total[r.i] = r.t
     share = np.array([weights[d] for d in domains], float) if isinstance(weights, dict) else np.power(total, weights)
     targets = share / max(share.sum(), 1e-300) * total.sum()
-    return Mixture(domains, model, targets, fit(state, targets))
+    return Mixture(domains, model, targets, fit(state, targets), every)
 
 
 def with_rates(docs: DataFrame, mixture: Mixture) -> DataFrame:
-    """Adds n_tokens, posterior and rate."""
+    """Adds n_tokens, posterior and rate to any rows with a text; columns of these names are replaced."""
     held = docs.withColumns({"n_tokens": tokens_of(F.col("text")), "posterior": mixture.posterior(F.col("text"))})
     return held.withColumn("rate", mixture.rate(F.col("posterior")))
 

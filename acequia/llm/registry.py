@@ -16,7 +16,7 @@ from acequia.llm.kneser_ney import classify
 from acequia.llm.line_templates import drop_recurring_lines
 from acequia.llm.merkle import document_leaves, manifest
 from acequia.llm.minhash import minhash_components
-from acequia.llm.mixing import copies, mix, with_rates
+from acequia.llm.mixing import copies, mix
 from acequia.llm.mixing import tokens_of as words_of
 from acequia.llm.packing import CAPACITY, pack
 from acequia.llm.sharding import shard_by_bytes
@@ -154,10 +154,8 @@ MIX_EXPONENT = 0.7
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    mixture = mix(docs, labelled_domains(spark, sf_dir, docs), MIX_EXPONENT)
-    return with_rates(docs, mixture).select(
-        "doc_id", "n_tokens", "posterior", "rate", copies(F.col("rate"), content_key()).alias("copies")
-    )
+    mixture = mix(docs, labelled_domains(spark, sf_dir, docs), MIX_EXPONENT, content_key())
+    return mixture.rated().select("doc_id", "n_tokens", "posterior", "rate", copies(F.col("rate"), F.col("key")).alias("copies"))
 
 
 def op9_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 import hashlib
 import math
+import random
 from collections import Counter
 
 import numpy as np
@@ -250,3 +251,48 @@ def test_url_filter_keeps_the_case_of_paths(spark):
         [(1, "http://BAD.com/Blog/x", 5), (2, "http://bad.com/blog/x", 5)], "capture_id bigint, url string, fetched_at bigint")
     got = {r.capture_id: (r.pattern, r.n_active, r.blocked) for r in judge(captures, entries).collect()}
     assert got == {1: ("bad.com/Blog", 2, False), 2: ("bad.com", 1, True)}
+
+
+def test_mixture_equals_plain_classifier_and_solver(spark):
+    """Posteriors of a plain naive Bayes over byte trigrams, rates of a plain projected gradient on all rows at once."""
+    from acequia.llm import mixing as x
+
+    rng = random.Random(12)
+    kinds = {"d": "der die das und", "q": "que los las por", "t": "the and that with"}
+    rows = [(i, " ".join(rng.choice(kinds["dqt"[i % 3]].split()) for _ in range(rng.choice([1, 5, 40])))) for i in range(90)]
+    docs = documents(spark, [*rows, (400, None), (401, ""), (402, "é"), (403, words("der", 5_000)), (5, rows[5][1])])
+    labelled = docs.filter("doc_id < 60").select("text", F.element_at(F.array(*map(F.lit, "dqt")), F.col("doc_id").cast("int") % 3 + 1).alias("domain"))
+    weights = {"d": 3.0, "q": 1.0, "t": 1.0}
+    got = {(r.doc_id, r.n_tokens): r for r in mix(docs, labelled, weights, F.xxhash64("doc_id")).rated().collect()}
+
+    def trigrams(text):
+        b = (text or "").encode()
+        return Counter(((b[i] * 0x9E3779B1 ^ b[i + 1] * 0x85EBCA6B ^ b[i + 2] * 0xC2B2AE35) & 0xFFFFFFFF) >> 20 for i in range(len(b) - 2))
+
+    counts, held = {k: Counter() for k in "dqt"}, Counter()
+    for i, text in [*rows[:60], rows[5]]:  # the repeated row counts twice
+        counts["dqt"[i % 3]].update(trigrams(text))
+        held["dqt"[i % 3]] += 1
+    plain = []
+    for r in docs.collect():
+        found = trigrams(r.text)
+        size, score = sum(found.values()), []
+        for k in "dqt":
+            every = sum(counts[k].values()) + x.SMOOTHING * x.BUCKETS
+            like = sum(n * np.log((counts[k][h] + x.SMOOTHING) / every) for h, n in found.items())
+            score.append(np.log((held[k] + 1) / (sum(held.values()) + 3)) + (like * min(1.0, x.EVIDENCE / size) if size else 0.0))
+        p = np.exp(np.array(score) - max(score))
+        plain.append((r.doc_id, len((r.text or "").split()), p / p.sum()))
+    t, p = np.array([n for _, n, _ in plain], float), np.array([q for *_, q in plain])
+    targets = np.array([3.0, 1.0, 1.0]) / 5 * t.sum()
+    rate, scale = np.ones(len(t)), None
+    for _ in range(x.STEPS):
+        sums = (rate * t) @ p
+        scale = np.maximum(sums, 1e-12) if scale is None else scale
+        if np.abs(sums - targets).max() <= x.TOLERANCE * targets.sum():
+            break
+        rate = np.maximum(rate - p @ (x.STEP * (sums - targets) / scale), 0.0)
+    assert len(got) == len({(d, n) for d, n, _ in plain})
+    for (doc_id, n, q), want in zip(plain, rate):
+        r = got[doc_id, n]
+        assert r.posterior == pytest.approx(q.tolist(), rel=1e-9) and r.rate == pytest.approx(want, rel=1e-6, abs=1e-9)
