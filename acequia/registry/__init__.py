@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from acequia.registry import cleaning, dimensions, facts, matching, reports
+from acequia.registry import cleaning, dimensions, facts, matching, months, reports
 
-_MODULES = (reports, cleaning, matching, dimensions, facts)
+_MODULES = (reports, cleaning, matching, dimensions, facts, months)
 
 
 def queries() -> dict:

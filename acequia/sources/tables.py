@@ -245,6 +245,12 @@ def forget_runs(spark: SparkSession, root: str, keep_runs: int) -> None:
             fs.delete(path, True)
 
 
+def remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Delete a folder when the driver's JVM ends."""
+    fs, folder = _hadoop(spark, path)
+    fs.deleteOnExit(folder)
+
+
 def publish(
     snapshots: Mapping[str, DataFrame],
     root: str,
