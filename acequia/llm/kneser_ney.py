@@ -19,7 +19,7 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from acequia.llm.common import broadcast_if_small
+from acequia.llm.common import broadcast_if_small, lean
 from acequia.session import materialize
 
 ORDER = 3
@@ -255,13 +255,13 @@ def perplexities(docs: DataFrame, trusted: DataFrame, key: Column, order: int =
     flagged = rows.join(known.withColumn("trusted", F.lit(True)), "doc_id", "left").select(
         "doc_id", "key", "lang", F.coalesce("trusted", F.lit(False)).alias("trusted"), "text"
     )
-    seen = materialize(flagged.mapInArrow(_frequencies(order), _SEEN_DDL), "grams", compression="zstd")
+    seen = materialize(flagged.mapInArrow(lean(_frequencies(order)), _SEEN_DDL), "grams", compression="zstd")
     held = seen.filter("gram is not null")
     trained = materialize(held.filter("trusted > 0").groupBy("lang", "gram").agg(F.sum("trusted").alias("c")), "trained")
     scores = materialize(score_grams(held.select("lang", "gram").distinct(), trained, order).dropna(), "scores")
     joined = held.select("lang", "gram", "base", "pairs").join(scores, ["lang", "gram"]).select("base", "pairs", "score")
-    parts = joined.sortWithinPartitions("base").mapInArrow(_summed, "base bigint, sums array<double>")
-    sums = parts.repartition("base").sortWithinPartitions("base").mapInArrow(_totalled, "base bigint, place int, total double")
+    parts = joined.sortWithinPartitions("base").mapInArrow(lean(_summed), "base bigint, sums array<double>")
+    sums = parts.repartition("base").sortWithinPartitions("base").mapInArrow(lean(_totalled), "base bigint, place int, total double")
     heads = seen.filter("gram is null").select("lang", "base", F.explode("heads").alias("h")).select(
         "lang", "base", "h.place", "h.doc_id", "h.key", "h.trusted", F.col("h.n").alias("n_grams")
     )

@@ -28,7 +28,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from acequia.llm.common import broadcast_if_small, components
+from acequia.llm.common import broadcast_if_small, components, lean
 from acequia.session import materialize
 
 WORDS = re.compile(rb"[^\x20\x09-\x0d]+")
@@ -189,7 +189,7 @@ def minhash_components(docs: DataFrame, shingle_words: int = 5, percent: int = 8
     key = F.lit(None).cast("long") if key is None else key
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("key"), "text")
     signed = materialize(
-        rows.mapInArrow(_signatures(shingle_words, m, per_key), "doc_id bigint, key bigint, n_shingles bigint, class bigint, keys array<bigint>"), "signed"
+        rows.mapInArrow(lean(_signatures(shingle_words, m, per_key)), "doc_id bigint, key bigint, n_shingles bigint, class bigint, keys array<bigint>"), "signed"
     )
     classes = signed.filter("class is not null").groupBy("class").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys")
@@ -251,7 +251,7 @@ def _links_in_blocks(placed: DataFrame, sets: DataFrame, percent: int) -> DataFr
     met = materialize(ids.join(other, "pool").filter((F.col("block") <= F.col("other")) & near).select("block", "other"), "block_pairs")
     bodies = blocks.select(F.col("block").alias("other"), F.col("body").alias("other_body"))
     both = met.join(blocks, "block").join(bodies, "other").select("body", "other_body", (F.col("block") == F.col("other")).alias("same"))
-    return materialize(both.mapInPandas(_linked_blocks(percent), "a bigint, b bigint"), "late_links")
+    return materialize(both.mapInPandas(lean(_linked_blocks(percent)), "a bigint, b bigint"), "late_links")
 
 
 def _blocked(frame: pd.DataFrame) -> pd.DataFrame:
@@ -329,13 +329,13 @@ def _class_sets(rows: DataFrame, signed: DataFrame, wanted: DataFrame, shingle_w
     holders = signed.join(broadcast_if_small(wanted), "class").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
     ids = broadcast_if_small(materialize(holders.select("doc_id").distinct(), "holders"))
     texts = rows.join(ids, rows.doc_id.eqNullSafe(ids.doc_id), "left_semi").select("text")
-    return texts.mapInArrow(_sets(shingle_words), "class bigint, shingles binary").dropDuplicates(["class"])
+    return texts.mapInArrow(lean(_sets(shingle_words)), "class bigint, shingles binary").dropDuplicates(["class"])
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     left, right = (sets.select(F.col("class").alias(c), F.col("shingles").alias(f"set_{c}")) for c in "ab")
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b")
-    return both.mapInArrow(_confirmed(percent), "a bigint, b bigint")
+    return both.mapInArrow(lean(_confirmed(percent)), "a bigint, b bigint")
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
