@@ -58,6 +58,74 @@ def test_delimited_quotes_short_and_surplus_rows(spark, tmp_path):
     assert tuple(d.read_delimited(spark, str(path), schema=schema).first()) == ("2", "1")
 
 
+def test_quoted_line_breaks_are_found(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('A;B;C\n1;"two\nlines; and ""quotes""";3\nTubo 5" x;y;z\n', encoding="utf-8")
+    (tmp_path / "b.csv").write_text('A;B;C\n7;say "hi;8\n9;5" x;"a"" b"\n', encoding="utf-8")
+    (tmp_path / "c.csv").write_text('A;B;C\n4;"open;5\n6;x;y\n', encoding="utf-8")
+    formats = {f.file.rsplit("/", 1)[1]: (f.multiline, f.open) for f in d.file_formats(spark, str(tmp_path))}
+    assert formats == {"a.csv": (True, False), "b.csv": (False, False), "c.csv": (True, True)}
+    rows, rejects = d.read_with_rejects(spark, str(tmp_path), order="seq")
+    assert [tuple(r) for r in rows.orderBy("seq").collect()] == [
+        ("1", 'two\nlines; and "quotes"', "3", 0), ('Tubo 5" x', "y", "z", 1), ("7", 'say "hi', "8", 2), ("9", '5" x', 'a" b', 3)]
+    assert [(r.file.rsplit("/", 1)[1], r.fields, r.reason) for r in rejects.collect()] == [("c.csv", None, d.OPEN_QUOTE)]
+    with pytest.raises(ValueError, match="quote left open"):
+        d.read_delimited(spark, str(tmp_path / "c.csv"))
+
+
+def test_quote_states_follow_the_lines(spark, tmp_path):
+    import random
+
+    def plain(lines):
+        state, crossed = False, False
+        for line in lines:
+            text, i, start = line, 0, True
+            while i < len(text):
+                c = text[i]
+                if state:
+                    if c == '"' and text[i + 1:i + 2] == '"':
+                        i += 1
+                    elif c == '"':
+                        state = start = False
+                elif start and c == '"':
+                    state = True
+                else:
+                    start = c == ";"
+                i += 1
+            crossed |= state
+        return crossed, state
+
+    rng, want = random.Random(3), {}
+    for n in range(30):
+        lines = ["".join(rng.choice(['"', ";", "a", '""', ';"', '";']) for _ in range(rng.randint(0, 5))) for _ in range(rng.randint(1, 6))]
+        path = tmp_path / f"{n:02}.csv"
+        path.write_text("\n".join(["x", *lines]) + "\n", encoding="utf-8")
+        if any('"' in line for line in lines):
+            want[path.name] = plain(lines)
+    found = d.quote_states(spark, [str(tmp_path / n) for n in want], ";")
+    assert {f.rsplit("/", 1)[1]: s for f, s in found.items() if want[f.rsplit("/", 1)[1]][0]} == {n: s for n, s in want.items() if s[0]}
+    assert not any(s[1] for f, s in found.items() if not want[f.rsplit("/", 1)[1]][0] and not s[0])
+
+
+def test_any_number_of_surplus_fields(spark, tmp_path):
+    path = tmp_path / "w.csv"
+    path.write_text("A;B\n1;2" + ";" * 16 + "lost\n3;4" + ";" * 40 + "\n5;6\n", encoding="utf-8")
+    rows, rejects = d.read_with_rejects(spark, str(path), order="seq")
+    assert sorted(map(tuple, rows.collect())) == [("3", "4", 1), ("5", "6", 2)]
+    assert [(r.fields[0], r.fields[-1], len(r.fields), r.reason) for r in rejects.collect()] == [("1", "lost", 18, d.SURPLUS)]
+
+
+def test_row_numbers_over_many_blocks(spark, tmp_path):
+    for name in "ab":
+        (tmp_path / f"{name}.csv").write_text("A;B\n" + "".join(f"{name}{i};{'x' * 40}\n" for i in range(3_000)), encoding="utf-8")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        rows, _ = d.read_with_rejects(spark, str(tmp_path), order="seq")
+        assert [r.A for r in rows.orderBy("seq").collect()] == [f"{n}{i}" for n in "ab" for i in range(3_000)]
+        assert rows.agg(F.min("seq"), F.max("seq")).first()[:] == (0, 5_999)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_export_reads_back(spark, tmp_path):
     rows = [('say "hi"; ok', "a,b"), ("\\", "ñ")]
     out = t.export_csv(spark.createDataFrame(rows, "x string, y string"), str(tmp_path / "e"), ";")
