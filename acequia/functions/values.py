@@ -19,6 +19,8 @@ DATE_FORMATS = (
     "yyyy-MM-dd", "d/M/yyyy", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "d/M/yyyy H:mm", "d/M/yyyy H:mm:ss",
 )
 
+NOT_A_NUMBER, NOT_FINITE, NOT_A_DATE = "not a number", "not finite", "not a date"
+
 OPEN_END = dt.date(9999, 12, 31)
 
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
@@ -41,6 +43,25 @@ def parse_date(c: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
     return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)).cast("date") for f in formats])
 
 
+def checked_number(c: Column) -> Column:
+    """Struct of `value` (double or null) and `reason`, why a text that is not blank gives none."""
+    text = F.trim(c.cast("string"))
+    number = F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    finite = F.abs(number) < F.lit(float("inf"))
+    reason = F.when(_blank(text), None).when(number.isNull(), NOT_A_NUMBER).when(~finite, NOT_FINITE)
+    return F.struct(F.when(finite, number).alias("value"), reason.alias("reason"))
+
+
+def checked_date(c: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
+    """Struct of `value` (date or null) and `reason`, as `checked_number`."""
+    value = parse_date(c, formats)
+    return F.struct(value.alias("value"), F.when(value.isNull() & ~_blank(F.trim(c.cast("string"))), NOT_A_DATE).alias("reason"))
+
+
+def _blank(text: Column) -> Column:
+    return text.isNull() | (null_literals(text).isNull())
+
+
 def date_parts(c: Column) -> tuple[Column, Column]:
     return F.year(c), F.month(c)
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,6 +84,24 @@ def null_profile(df: DataFrame, table: str) -> DataFrame:
     )
 
 
+def cast_rejects(df: DataFrame, casts: Mapping[str, Callable[[Column], Column]], keys: Sequence[str]) -> DataFrame:
+    """Texts that a cast cannot read: (keys, column, text, reason), from one pass without a shuffle.
+
+    `casts` gives for a column the function that makes its struct of value and
+    reason (`checked_number`, `checked_date`). The rows themselves go on with a
+    null or default; this is the list of what that hides.
+    """
+    tried = [
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("text"), cast(F.col(c))["reason"].alias("reason")) for c, cast in casts.items()]
+    failed = F.filter(F.array(*tried), lambda x: x["reason"].isNotNull())
+    return df.select(*keys, F.explode(failed).alias("_r")).select(*keys, "_r.column", "_r.text", "_r.reason")
+
+
+def reject_counts(rejects: DataFrame) -> DataFrame:
+    """Rejected texts per column and reason."""
+    return rejects.groupBy("column", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 def check(name: str, table: str, failures: DataFrame) -> DataFrame:
     """(check, table, failures, passed) from a one-row frame whose only column is the failure count."""
     count = F.col("failures").cast("long")

@@ -17,7 +17,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from acequia import schemas
 from acequia.functions.text import key_text, to_text, truncate
-from acequia.functions.values import parse_date, stamp, to_number
+from acequia.functions.values import checked_date, checked_number, parse_date, stamp, to_number
 from acequia.operators import quality as q
 from acequia.operators.dedupe import dedupe_keep_last
 from acequia.operators.facts import (
@@ -113,6 +113,26 @@ def dimension_rejects(staged: Tables) -> DataFrame:
     return out
 
 
+# Staged texts that the loads read as numbers and dates.
+CASTS = {
+    "patients": {"admitted": checked_date}, "orders": {"quantity": checked_number},
+    "report": {"delivered": checked_date, "quantity": checked_number}, "history": {"sent": checked_date},
+}
+
+
+def value_rejects(staged: Tables) -> DataFrame:
+    """Texts in staged number and date columns that cannot be read: (source, seq, column, text, reason).
+
+    Such an attribute is loaded as null, such a quantity as 0, and a fact without
+    date is rejected; here they are listed one by one.
+    """
+    out = None
+    for source, casts in CASTS.items():
+        found = q.cast_rejects(staged[source].withColumn(SEQ, F.col(SEQ).cast("long")), casts, [SEQ]).select(F.lit(source).alias("source"), SEQ, "column", "text", "reason")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 def load_dimensions(
     current: Tables, staged: Tables, load_date: dt.date | str, versioned: tuple[str, ...] = ("dim_equipment",), changes: bool = False
 ) -> dict[str, DataFrame]:
@@ -353,7 +373,8 @@ def load_run(spark: SparkSession, root: str, staged: Tables, run_id: str, load_d
 
     All tables of the run become visible together or not at all; a run whose checks
     fail is not published. Tables and months of facts that the run does not change
-    stay where they are. Rejects of the dimensions are under `dimensions`. Counts:
+    stay where they are. Rejects of the dimensions are under `dimensions`, unreadable
+    numbers and dates under `values`. Counts:
     `inserted`, `updated`, `matched`, `kept` members of dimensions overwritten in
     place, `inserted` versions or members of the others, and for facts what became
     of the staged rows.
@@ -383,7 +404,7 @@ def load_run(spark: SparkSession, root: str, staged: Tables, run_id: str, load_d
         return validate({name: table(name) for name in dims} | facts, loads, staged)
 
     checks = run.publish(check, keep_runs)
-    return Loaded(checks, {"dimensions": dimension_rejects(staged), **{load.table: load.rejects for load in loads}}, counts)
+    return Loaded(checks, {"dimensions": dimension_rejects(staged), "values": value_rejects(staged), **{load.table: load.rejects for load in loads}}, counts)
 
 
 def run_all(spark: SparkSession, root: str, staged: Tables, run_id: str, load_date, load_ts) -> tuple[DataFrame, dict[str, DataFrame]]:

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acequia.functions.text import DROPPED_UNITS, GLUED_UNITS, PLURAL_UNITS, STOP_WORDS, normalize_text
-from acequia.functions.values import NULL_LITERALS, to_number
+from acequia.functions.values import NULL_LITERALS, checked_date, checked_number, to_number
 from acequia.operators.cleaning import NOT_APPLICABLE, clean_whitespace, drop_demo, nulls_from_text, recode
-from acequia.operators.quality import cleaning_summary as summarise
+from acequia.operators.quality import cast_rejects, cleaning_summary as summarise, reject_counts
 from acequia.registry.scenario import Tables, text, with_ctes
 
 
@@ -129,7 +129,43 @@ def cleaning_summary(spark, root):
     return summarise(_report(t), _recoded(t), "document", "insurer", NOT_APPLICABLE)
 
 
+def _typed(t: Tables) -> DataFrame:
+    """Order lines with quantities and dates as people type them, some unreadable."""
+    number, day, line = F.col("l_quantity").cast("string"), F.col("l_shipdate").cast("date"), F.col("l_linenumber")
+    quantity = (
+        F.when(line == 1, number).when(line == 2, F.concat(F.lit(" "), number, F.lit(" "))).when(line == 3, F.concat(number, F.lit(" kg")))
+        .when(line == 4, F.lit("1e400")).when(line == 5, F.lit("n/a"))
+    )
+    shipped = (
+        F.when(line == 1, F.date_format(day, "yyyy-MM-dd")).when(line == 2, F.date_format(day, "dd/MM/yyyy")).when(line == 3, F.date_format(day, "yyyyMMdd"))
+        .when(line == 4, F.concat(F.lit("31/02/"), F.year(day))).when(line == 5, F.lit(" "))
+    )
+    return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", quantity.alias("quantity"), shipped.alias("shipped"))
+
+
+def value_rejects(spark, root):
+    casts = {"quantity": checked_number, "shipped": checked_date}
+    return cast_rejects(_typed(Tables(spark, root)), casts, ["l_orderkey", "l_linenumber", "l_partkey"])
+
+
+def value_reject_counts(spark, root):
+    return reject_counts(value_rejects(spark, root))
+
+
+_REJECTED = """
+    SELECT l_orderkey, l_linenumber, l_partkey, 'quantity' AS "column",
+           CASE WHEN l_linenumber = 3 THEN l_quantity || ' kg' ELSE '1e400' END AS text,
+           CASE WHEN l_linenumber = 3 THEN 'not a number' ELSE 'not finite' END AS reason
+    FROM lineitem WHERE l_linenumber IN (3, 4)
+    UNION ALL
+    SELECT l_orderkey, l_linenumber, l_partkey, 'shipped',
+           CASE WHEN l_linenumber = 3 THEN strftime(l_shipdate, '%Y%m%d') ELSE '31/02/' || year(l_shipdate) END, 'not a date'
+    FROM lineitem WHERE l_linenumber IN (3, 4)"""
+
+
 QUERIES = {
+    "value_rejects": value_rejects,
+    "value_reject_counts": value_reject_counts,
     "demo_filter": demo_filter,
     "null_literals": null_literals,
     "numeric_coerce": numeric_coerce,
@@ -146,6 +182,8 @@ _RECODE_CTES = (
 )
 
 SQL = {
+    "value_rejects": _REJECTED,
+    "value_reject_counts": f"SELECT \"column\", reason, count(*) AS n FROM ({_REJECTED}) GROUP BY ALL",
     "demo_filter": with_ctes(
         ("d", _DOCUMENTS_SQL),
         select="""SELECT c_custkey, coalesce(document, '(null)') AS document FROM d

@@ -170,3 +170,12 @@ def test_old_runs_keep_what_later_ones_refer_to(spark, tmp_path):
         t.Run(spark, root, "4").replace("y", spark.sql("select 1 as v, 9 as month"), ["month"], [(1,)])
     shutil.rmtree(f"{root}/tables/x")
     assert t.read_published(spark, root, "y").count() == 3
+
+
+def test_unreadable_numbers_and_dates_are_listed(spark, tmp_path):
+    tables = reports(spark, [("510", "S1", "2024-06-03", "3 kg"), ("510", "S2", "03.06.2024", "2"), ("510", "S3", "2024-06-04", None)])
+    patients = tables["patients"].withColumn("admitted", F.lit("soon"))
+    found = loading.value_rejects({**tables, "patients": patients})
+    assert sorted((r.source, r.seq, r.column, r.text, r.reason) for r in found.collect()) == [
+        ("patients", 0, "admitted", "soon", "not a date"), ("report", 0, "quantity", "3 kg", "not a number"),
+        ("report", 1, "delivered", "03.06.2024", "not a date")]
