@@ -68,32 +68,29 @@ def recurring_lines(docs: DataFrame, key: Column, min_documents: int = MIN_DOCUM
         .filter(enough).select("leaf")
     )
     leaves = broadcast_if_small(materialize(leaves, "leaves"))
-    candidates = materialize(lines.join(leaves, "leaf", "left_semi"), "lines")
+    candidates = materialize(lines.join(leaves, "leaf", "left_semi"), "lines", compression="zstd")
     # distinct lines with the number of documents that hold them
     held = candidates.select("leaf", "line", "key").distinct().groupBy("leaf", "line").agg(F.count("*").alias("n"))
     texts = candidates.select("leaf", "line", "long", "masked").dropDuplicates(["leaf", "line"])
-    tokens = F.split("masked", " ")
-    distinct = materialize(texts.join(held, ["leaf", "line"]), "distinct_lines").select("leaf", "line", "long", "n", tokens.alias("tokens"))
-    placed = distinct.select("leaf", "line", "long", "n", F.size("tokens").alias("tokens_in_line"), F.posexplode("tokens").alias("place", "token"))
-    constant = placed.groupBy("leaf", "long", "place", "token").agg(F.sum("n").alias("n")).filter(
-        enough & (F.col("token") != VARIABLE)
-    ).select("leaf", "place", "token", "n")
-    met = (
-        placed.drop("n").join(constant, ["leaf", "place", "token"]).groupBy("leaf", "line", "tokens_in_line")
-        .agg(F.sort_array(F.collect_list(F.struct("n", "place", F.xxhash64("token").alias("t"))), asc=False).alias("met"))  # at most a line's tokens
-    )
+    distinct = materialize(texts.join(held, ["leaf", "line"]), "distinct_lines", compression="zstd")
+    # a node is a token at its place in a leaf, as one number; variable tokens are none
+    nodes = F.transform(F.split("masked", " "), lambda t, i: F.when(t != VARIABLE, F.xxhash64("leaf", i, t)))
+    constant = materialize(
+        distinct.select("long", "n", F.explode(nodes).alias("node")).filter("node is not null").groupBy("long", "node").agg(F.sum("n").alias("n"))
+        .filter(enough).select("node", "n"), "constants")
+    spaces = F.length("masked") - F.length(F.replace("masked", F.lit(" "), F.lit("")))
+    placed = distinct.select("leaf", "line", (spaces + 1).alias("tokens"), F.explode(nodes).alias("node")).filter("node is not null")
+    met = placed.join(broadcast_if_small(constant), "node").groupBy("leaf", "line", "tokens").agg(  # at most a line's tokens
+        F.collect_list("n").alias("counts"), F.collect_list("node").alias("nodes"))
     # documents of the last constant that the line needs to be a template: all its constants have about as many or more
-    needed = F.get("met", F.ceil(constant_share * F.col("tokens_in_line")).cast("int") - 1)["n"]
-    fixed = met.withColumn("node", F.coalesce(needed, F.lit(0))).select(
-        "leaf", "line", F.transform(F.filter("met", lambda m: m["n"] >= NODE_SHARE * F.col("node")), lambda m: F.struct(m["place"], m["t"])).alias("places"))
-    size = F.size("tokens")
-    spelled = F.sort_array("places")  # the constants with their places; the leaf stands for the number of tokens
-    general = F.size("places") >= constant_share * size
-    templates = distinct.join(fixed, ["leaf", "line"], "left").select(
-        "leaf", "line", F.when(general, F.xxhash64("leaf", spelled)).otherwise(F.xxhash64("leaf", "tokens")).alias("template")
-    )
+    needed = F.coalesce(F.get(F.sort_array("counts", asc=False), F.ceil(constant_share * F.col("tokens")).cast("int") - 1), F.lit(0))
+    fixed = F.filter(F.arrays_zip("counts", "nodes"), lambda x: x["counts"] >= NODE_SHARE * F.col("needed"))
+    general = met.withColumn("needed", needed).select("leaf", "line", "tokens", F.sort_array(F.transform(fixed, lambda x: x["nodes"])).alias("fixed"))
+    general = general.filter(F.size("fixed") >= constant_share * F.col("tokens")).select("leaf", "line", F.xxhash64("leaf", "fixed").alias("template"))
+    # a line with too few constants is its own template
     owned = materialize(
-        candidates.select("key", "line_no", "chars", "long", "leaf", "line").join(templates, ["leaf", "line"]).select("key", "line_no", "chars", "long", "template"), "owned"
+        candidates.select("key", "line_no", "chars", "long", "leaf", "line").join(general, ["leaf", "line"], "left")
+        .select("key", "line_no", "chars", "long", F.coalesce("template", F.xxhash64("leaf", "line")).alias("template")), "owned"
     )
     held_by = owned.select("template", "long", "key").distinct().groupBy("template", "long").agg(F.count("*").alias("n"))
     frequent = held_by.filter(enough).select("template")
@@ -129,7 +126,7 @@ def copy_classes(docs: DataFrame, shared: DataFrame, key: Column) -> DataFrame:
     held = materialize(shared.groupBy("key", "template").agg(F.sum("chars").alias("chars")), "held")
     lost = held.groupBy("key").agg(F.sum("chars").alias("lost"))
     texts = docs.select(key.alias("key"), "text").join(lost, "key").filter(F.col("lost") >= RISK_SHARE * F.length("text"))
-    texts = materialize(texts.select("key", "text", F.length("text").alias("size")).dropDuplicates(["key"]), "at_risk")
+    texts = materialize(texts.select("key", "text", F.length("text").alias("size")).dropDuplicates(["key"]), "at_risk", compression="zstd")
     first = materialize(
         texts.select("key", "size", F.xxhash64("text").alias("h"), F.xxhash64("text", F.lit(1)).alias("g")).withColumn("equal", F.struct("h", "g")), "equal"
     )
@@ -141,8 +138,12 @@ def copy_classes(docs: DataFrame, shared: DataFrame, key: Column) -> DataFrame:
         mine.join(leaders, "template").filter("leader < key").groupBy("key", "leader")
         .agg(F.sum("chars").alias("led"), F.max("size").alias("size")).filter(F.col("led") >= LED_SHARE * F.col("size")).select("key", "leader")
     )
-    sets = materialize(texts.join(own.filter("key = first").select("key"), "key", "left_semi").select("key", _shingles(F.col("text")).alias("s")), "shingles")
-    both = pairs.join(sets, "key").join(sets.select(F.col("key").alias("leader"), F.col("s").alias("t")), "leader")
+    sets = materialize(texts.join(own.filter("key = first").select("key"), "key", "left_semi").select("key", _shingles(F.col("text")).alias("s")).withColumn("n", F.size("s")), "shingles")
+    # numbers alone first: sets whose sizes differ too much cannot be alike, and need not be sent
+    sizes = sets.select("key", "n")
+    pairs = pairs.join(sizes, "key").join(sizes.select(F.col("key").alias("leader"), F.col("n").alias("m")), "leader")
+    pairs = materialize(pairs.filter(F.least("n", "m") >= COPY_SHARE * F.greatest("n", "m")).select("key", "leader"), "pairs")
+    both = pairs.join(sets.select("key", "s"), "key").join(sets.select(F.col("key").alias("leader"), F.col("s").alias("t")), "leader")
     common = F.size(F.array_intersect("s", "t"))
     alike = common >= COPY_SHARE * (F.size("s") + F.size("t") - common)
     links = materialize(both.filter(alike).groupBy("key").agg(F.min("leader").alias("up")), "links")
@@ -152,6 +153,8 @@ def copy_classes(docs: DataFrame, shared: DataFrame, key: Column) -> DataFrame:
         if further.filter("top is not null").isEmpty():
             break
         links = materialize(further.select("key", F.coalesce("top", "up").alias("up")), "links")
+    else:
+        raise RuntimeError("copies did not settle")
     roots = own.join(links.select(F.col("key").alias("first"), "up"), "first", "left").select("key", F.coalesce("up", "first").alias("class"))
     return materialize(roots.filter("key <> class"), "classes")
 
