@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import gc
 import sys
+import types
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -48,6 +49,16 @@ def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     return wrapped
 
 
+def worker_cache() -> dict:
+    """Objects that the tasks of one Python worker share.
+
+    Functions travel to the workers by value, each with globals of its own, so a
+    cache among these would last for one task; a module of the worker holds it.
+    """
+    holder = sys.modules.setdefault("acequia_worker_cache", types.ModuleType("acequia_worker_cache"))
+    return holder.__dict__.setdefault("held", {})
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

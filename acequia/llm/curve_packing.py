@@ -15,7 +15,6 @@ import sys
 import unicodedata
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +23,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from acequia.llm.common import worker_cache
 from acequia.llm.ranges import before, sampled, splitters, with_range
 from acequia.session import materialize
 
@@ -140,9 +140,12 @@ class WordTokens:
         return b"".join(out)
 
 
-@lru_cache(maxsize=4)
 def _loaded(path: str, id_bytes: int) -> WordTokens:
-    return WordTokens(path, id_bytes)
+    held = worker_cache()
+    key = ("words", path, id_bytes)
+    if key not in held:
+        held[key] = WordTokens(path, id_bytes)
+    return held[key]
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:

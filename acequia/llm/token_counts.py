@@ -14,7 +14,6 @@ import sys
 from array import array
 from collections import Counter
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +22,7 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from acequia.llm.common import worker_cache
 from acequia.session import materialize
 
 # (document, pre-token) pairs held by a task before they are handed on.
@@ -103,9 +103,12 @@ class PreTokenizer:
         return sum(len(tokenize(w)) for w, _ in self.tok.pre_tokenizer.pre_tokenize_str(pre))
 
 
-@lru_cache(maxsize=4)
 def _loaded(path: str) -> PreTokenizer:
-    return PreTokenizer(path)
+    held = worker_cache()
+    key = ("pre-tokens", path)
+    if key not in held:
+        held[key] = PreTokenizer(path)
+    return held[key]
 
 
 def _frequencies(locate: Callable[[], str]) -> Callable:
