@@ -14,6 +14,10 @@ from acequia.operators.keys import assign_ids, max_id
 from acequia.operators.skew import HOT_ROWS, lookup, measure_hot, split_hot, with_last, with_previous, with_successor
 
 
+# Versions of a key that are searched one by one.
+FEW_VERSIONS = 64
+
+
 def scd2(
     current: DataFrame,
     batch: DataFrame,
@@ -77,14 +81,17 @@ def current_only(dim: DataFrame) -> DataFrame:
 def as_of(fact: DataFrame, dim: DataFrame, key: str, date_col: str, id_col: str, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Add the id of the version valid on the fact's date, null when there is none.
 
-    Versions and facts of a key go by once, in the order of their dates: a fact takes
-    the version that began last, if that has not ended. So a fact never becomes two
-    rows, also where a broken history overlaps (of versions that begin together the
-    one that ends last counts), and work is linear in facts and versions. Versions
-    opened and closed on one day are empty intervals and are left out. Keys with
-    more than `hot_rows` facts and versions go by in slices of their dates; every
-    slice begins with the last version of those before it. Facts without key or
-    date have no version.
+    A fact takes the version that began last, if that has not ended. So a fact never
+    becomes two rows, also where a broken history overlaps (of versions that begin
+    together the one that ends last counts). Versions opened and closed on one day
+    are empty intervals and are left out. Facts without key or date have no version.
+
+    Where no key has more than FEW_VERSIONS, each key's versions are one row and the
+    facts look theirs up, which needs no shuffle of the facts if Spark sees that the
+    versions are small. Otherwise versions and facts of a key go by once, in the
+    order of their dates: work is linear in facts and versions, and keys with more
+    than `hot_rows` of them go by in slices, each beginning with the last version
+    of those before it.
     """
     kind = "date" if dim.schema["valid_from"].dataType == fact.schema[date_col].dataType else "timestamp"
     version = F.struct(F.col("valid_to").cast(kind).alias("to"), F.col(id_col).alias("id"))
@@ -94,6 +101,11 @@ def as_of(fact: DataFrame, dim: DataFrame, key: str, date_col: str, id_col: str,
     placed = F.col("_key").isNotNull() & F.col("_at").isNotNull()
     both = versions.withColumn("_fact", F.lit(None).cast(rows.schema["_fact"].dataType)).unionByName(
         rows.filter(placed).withColumns({"_version": F.lit(None).cast(versions.schema["_version"].dataType), "_later": F.lit(True)}))
+    most = versions.groupBy("_key").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if most <= FEW_VERSIONS:
+        listed = versions.groupBy("_key").agg(F.sort_array(F.collect_list(F.struct("_at", "_version"))).alias("_versions"))
+        held = lookup(rows, listed, "_key").withColumn("_last", F.get(F.reverse(F.filter("_versions", lambda v: v["_at"] <= F.col("_at"))), F.lit(0))["_version"])
+        return held.select("_fact.*", F.when(F.col("_at") < F.col("_last.to"), F.col("_last.id")).alias(id_col))
     hot = measure_hot(both, "_key", "_at", hot_rows)
     passed = with_last(split_hot(both, "_key", "_at", hot), "_key", ["_at", "_later", "_version"], "_version", hot)
     found = F.when(F.col("_at") < F.col("_last.to"), F.col("_last.id"))
