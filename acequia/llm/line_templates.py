@@ -74,19 +74,25 @@ def recurring_lines(docs: DataFrame, key: Column, min_documents: int = MIN_DOCUM
     texts = candidates.select("leaf", "line", "long", "masked").dropDuplicates(["leaf", "line"])
     distinct = materialize(texts.join(held, ["leaf", "line"]), "distinct_lines", compression="zstd")
     # a node is a token at its place in a leaf, as one number; variable tokens are none
-    nodes = F.transform(F.split("masked", " "), lambda t, i: F.when(t != VARIABLE, F.xxhash64("leaf", i, t)))
-    constant = materialize(
-        distinct.select("long", "n", F.explode(nodes).alias("node")).filter("node is not null").groupBy("long", "node").agg(F.sum("n").alias("n"))
-        .filter(enough).select("node", "n"), "constants")
     spaces = F.length("masked") - F.length(F.replace("masked", F.lit(" "), F.lit("")))
-    placed = distinct.select("leaf", "line", (spaces + 1).alias("tokens"), F.explode(nodes).alias("node")).filter("node is not null")
-    met = placed.join(broadcast_if_small(constant), "node").groupBy("leaf", "line", "tokens").agg(  # at most a line's tokens
-        F.collect_list("n").alias("counts"), F.collect_list("node").alias("nodes"))
+    spread = distinct.select("leaf", "line", "long", "n", (spaces + 1).alias("tokens"), F.posexplode(F.split("masked", " ")).alias("place", "token"))
+    placed = spread.filter(F.col("token") != VARIABLE).select("leaf", "line", "long", "n", "tokens", F.xxhash64("leaf", "place", "token").alias("node"))
+    constant = materialize(placed.groupBy("long", "node").agg(F.sum("n").alias("n")).filter(enough).select("node", "n"), "constants")
+    met = placed.select("leaf", "line", "tokens", "node").join(broadcast_if_small(constant), "node").groupBy("leaf", "line", "tokens").agg(
+        F.collect_list("n").alias("counts"), F.collect_list("node").alias("nodes"))  # at most a line's tokens
     # documents of the last constant that the line needs to be a template: all its constants have about as many or more
     needed = F.coalesce(F.get(F.sort_array("counts", asc=False), F.ceil(constant_share * F.col("tokens")).cast("int") - 1), F.lit(0))
-    fixed = F.filter(F.arrays_zip("counts", "nodes"), lambda x: x["counts"] >= NODE_SHARE * F.col("needed"))
-    general = met.withColumn("needed", needed).select("leaf", "line", "tokens", F.sort_array(F.transform(fixed, lambda x: x["nodes"])).alias("fixed"))
-    general = general.filter(F.size("fixed") >= constant_share * F.col("tokens")).select("leaf", "line", F.xxhash64("leaf", "fixed").alias("template"))
+
+    def spelled(least: Column) -> Column:
+        constants = F.filter(F.arrays_zip("counts", "nodes"), lambda x: x["counts"] >= least)
+        return F.sort_array(F.transform(constants, lambda x: x["nodes"]))
+
+    def named(fixed: Column) -> Column:
+        return F.when(F.size(fixed) >= constant_share * F.col("tokens"), F.xxhash64("leaf", fixed))
+
+    # the one-element arrays bind a value once, or it would be worked out again for every constant
+    fixed = F.transform(F.array(NODE_SHARE * needed), spelled)
+    general = met.select("leaf", "line", F.element_at(F.transform(fixed, named), 1).alias("template"))
     # a line with too few constants is its own template
     owned = materialize(
         candidates.select("key", "line_no", "chars", "long", "leaf", "line").join(general, ["leaf", "line"], "left")
