@@ -32,6 +32,7 @@ SHINGLE_WORDS = 5
 COPY_SHARE = 0.8
 RISK_SHARE = 0.2
 LED_SHARE = 0.05
+PART = 4  # one of so many shingles is compared first; a power of two
 MOST_JUMPS = 40
 VARIABLE = "<*>"
 
@@ -144,12 +145,21 @@ def copy_classes(docs: DataFrame, shared: DataFrame, key: Column) -> DataFrame:
         mine.join(leaders, "template").filter("leader < key").groupBy("key", "leader")
         .agg(F.sum("chars").alias("led"), F.max("size").alias("size")).filter(F.col("led") >= LED_SHARE * F.col("size")).select("key", "leader")
     )
-    sets = materialize(texts.join(own.filter("key = first").select("key"), "key", "left_semi").select("key", _shingles(F.col("text")).alias("s")).withColumn("n", F.size("s")), "shingles")
-    # numbers alone first: sets whose sizes differ too much cannot be alike, and need not be sent
-    sizes = sets.select("key", "n")
-    pairs = pairs.join(sizes, "key").join(sizes.select(F.col("key").alias("leader"), F.col("n").alias("m")), "leader")
-    pairs = materialize(pairs.filter(F.least("n", "m") >= COPY_SHARE * F.greatest("n", "m")).select("key", "leader"), "pairs")
-    both = pairs.join(sets.select("key", "s"), "key").join(sets.select(F.col("key").alias("leader"), F.col("s").alias("t")), "leader")
+    sets = materialize(texts.join(own.filter("key = first").select("key"), "key", "left_semi").select("key", _shingles(F.col("text")).alias("s")).withColumns(
+        {"n": F.size("s"), "part": F.filter("s", lambda x: x.bitwiseAND(PART - 1) == 0)}), "shingles")
+    # alike sets differ in at most this share of both sizes, and so do any parts of them: sizes and a part of
+    # the hashes, the same for all, leave few pairs to which whole sets are sent, and lose none
+    most = (1 - COPY_SHARE) / (1 + COPY_SHARE) + 1e-9
+
+    def with_columns(*columns: str) -> DataFrame:
+        """The pairs with columns of both sides; those of the leader end in 2."""
+        other = sets.select(F.col("key").alias("leader"), *[F.col(c).alias(f"{c}2") for c in columns])
+        return pairs.join(sets.select("key", *columns), "key").join(other, "leader")
+
+    pairs = materialize(with_columns("n").filter(F.abs(F.col("n") - F.col("n2")) <= most * (F.col("n") + F.col("n2"))).select("key", "leader"), "pairs")
+    differ = F.size("part") + F.size("part2") - 2 * F.size(F.array_intersect("part", "part2"))
+    pairs = materialize(with_columns("n", "part").filter(differ <= most * (F.col("n") + F.col("n2"))).select("key", "leader"), "pairs")
+    both = with_columns("s").withColumnRenamed("s2", "t")
     common = F.size(F.array_intersect("s", "t"))
     alike = common >= COPY_SHARE * (F.size("s") + F.size("t") - common)
     links = materialize(both.filter(alike).groupBy("key").agg(F.min("leader").alias("up")), "links")
