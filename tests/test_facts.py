@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from acequia.operators.facts import Reference, id_twins, latest_facts, load_facts
-from acequia.operators.reports import equipment_by_month, services_by_insurer, stored_equipment_by_month, stored_services_by_insurer
+from acequia.operators.reports import equipment_by_month, inspect, services_by_insurer, stored_equipment_by_month, stored_services_by_insurer
 from acequia.plans import loading
 from acequia.plans.loading import SPECS, FactSpec, load_run, merge_fact
 from acequia.sources import tables as t
@@ -179,3 +179,8 @@ def test_unreadable_numbers_and_dates_are_listed(spark, tmp_path):
     assert sorted((r.source, r.seq, r.column, r.text, r.reason) for r in found.collect()) == [
         ("patients", 0, "admitted", "soon", "not a date"), ("report", 0, "quantity", "3 kg", "not a number"),
         ("report", 1, "delivered", "03.06.2024", "not a date")]
+
+
+def test_inspect_shows_some_rows_that_meet_a_condition(spark):
+    rows = inspect(spark.range(100), F.col("id") > 20, 5).collect()
+    assert len(rows) == 5 and all(r.id > 20 for r in rows) and inspect(spark.range(3)).count() == 3
