@@ -9,7 +9,9 @@ from acequia.functions.text import composite_key
 from acequia.functions.values import parse_date, stamp, to_number
 from acequia.operators import quality as q
 from acequia.operators.dedupe import dedupe_keep_last, duplicate_keys as repeated
-from acequia.operators.facts import Reference, fact_rows, fk_counts, latest_facts, load_facts, resolve_keys
+from acequia.operators.facts import (
+    Reference, fact_rows, fk_counts, latest_facts, load_facts, resolve_keys, split_facts,
+)
 from acequia.operators.history import current_only, history_check
 from acequia.operators.members import add_missing_members, distinct_dates, extend_dates
 from acequia.registry.reports import _ALL_DATES, all_dates
@@ -17,6 +19,7 @@ from acequia.registry.scenario import (
     LOAD_DATE, NEW_STAMP, OLD_STAMP, Tables, equipment, first_dates, insurers, iso, patients,
     sql_rank, staged_report, staged_services, with_ctes,
 )
+from acequia.session import materialize
 
 # -- equipment facts ---------------------------------------------------------------
 
@@ -28,12 +31,16 @@ def _report(t: Tables) -> DataFrame:
 
 
 def _plain_references(t: Tables) -> list[Reference]:
-    """Dimensions as they are: some staged keys stay unresolved."""
+    """Dimensions as they are: some staged keys stay unresolved.
+
+    The few dates are stored, so that Spark knows their size and broadcasts them.
+    """
+    dates = materialize(first_dates(t), "first_dates")
     return [
         Reference("equipment_nk", current_only(equipment(t)), "equipment_nk", "equipment_id"),
         Reference("document", patients(t), "document", "patient_id"),
         Reference("insurer_nk", insurers(t), "insurer_nk", "insurer_id"),
-        Reference("delivered", first_dates(t), "date", "date_id", is_date=True),
+        Reference("delivered", dates, "date", "date_id", is_date=True),
     ]
 
 
@@ -185,15 +192,18 @@ def null_profile(spark, root):
 
 
 def dq_report(spark, root):
+    """All checks read the staged and the resolved rows, both stored once, with the columns that the checks need."""
     t = Tables(spark, root)
-    staged = _trimmed(_report(t))
-    valid, _ = fact_rows(staged, _plain_references(t), _PK, F.col("quantity"))
+    staged = materialize(_trimmed(_report(t)).select(*_PK, "document", "insurer_nk", "quantity"), "report")
+    references = _plain_references(t)
+    resolved = materialize(resolve_keys(staged, references).select(*_PK, "quantity", *_IDS), "resolved")
+    valid, _ = split_facts(resolved, references, _PK, F.col("quantity"))
     dates = all_dates(t)
     return q.dq_report(
         [
             q.check_no_demo(t.customer, "c_name", "customer"),
             q.check_row_counts(staged, valid, "fact_equipment"),
-            q.check_foreign_keys(resolve_keys(staged, _plain_references(t)), list(_IDS), "stg_report"),
+            q.check_foreign_keys(resolved, list(_IDS), "stg_report"),
             q.check_references(staged, equipment(t), "equipment_nk", "equipment_nk", "stg_report"),
             q.check_unique(valid, "request_id", "fact_equipment"),
             q.check_dates(dates, "1995-06-01", "2030-12-31", "dim_date"),
