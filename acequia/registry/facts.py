@@ -45,7 +45,7 @@ def _plain_references(t: Tables) -> list[Reference]:
 
 
 def _completed_references(t: Tables, staged: DataFrame) -> list[Reference]:
-    """Dimensions after adding the dates, patients and insurers that the report mentions."""
+    """Dimensions after adding the dates, patients and insurers that the report mentions, each stored once."""
     people = add_missing_members(
         patients(t), staged, "document", "document", {"name": F.min("patient")}, "patient_id", LOAD_DATE
     )
@@ -55,9 +55,9 @@ def _completed_references(t: Tables, staged: DataFrame) -> list[Reference]:
     dates = extend_dates(first_dates(t), distinct_dates(staged, "delivered"))
     return [
         Reference("equipment_nk", current_only(equipment(t)), "equipment_nk", "equipment_id"),
-        Reference("document", people, "document", "patient_id"),
-        Reference("insurer_nk", payers, "insurer_nk", "insurer_id"),
-        Reference("delivered", dates, "date", "date_id", is_date=True),
+        Reference("document", materialize(people, "patients"), "document", "patient_id"),
+        Reference("insurer_nk", materialize(payers, "insurers"), "insurer_nk", "insurer_id"),
+        Reference("delivered", materialize(dates, "dates"), "date", "date_id", is_date=True),
     ]
 
 
@@ -70,17 +70,16 @@ def _trimmed(df: DataFrame) -> DataFrame:
     return df.withColumn("equipment_nk", F.trim("equipment_nk"))
 
 
-def _first_facts(t: Tables) -> DataFrame:
+def _first_facts(t: Tables, staged: DataFrame) -> DataFrame:
     """Facts of an earlier load: finished orders, resolved by the plain dimensions."""
-    staged = _trimmed(_report(t)).filter("o_orderstatus = 'F'")
-    rows, _ = fact_rows(staged, _plain_references(t), _PK, F.lit(0))
+    rows, _ = fact_rows(staged.filter("o_orderstatus = 'F'"), _plain_references(t), _PK, F.lit(0))
     return stamp(latest_facts(rows, _PK, _ORDER).select(*_PK, *_FACT_COLUMNS), "loaded_at", OLD_STAMP)
 
 
 def _load_equipment(t: Tables) -> tuple[DataFrame, DataFrame]:
-    staged = _trimmed(_report(t))
+    staged = materialize(_trimmed(_report(t)), "report")
     return load_facts(
-        _first_facts(t), staged, _completed_references(t, staged), _PK, _ORDER, NEW_STAMP, F.col("quantity")
+        _first_facts(t, staged), staged, _completed_references(t, staged), _PK, _ORDER, NEW_STAMP, F.col("quantity")
     )
 
 
@@ -132,8 +131,8 @@ def fact_services_upsert(spark, root):
     references = [
         Reference("order_number", orders, "order_number", "order_id"),
         Reference("document", patients(t), "document", "patient_id"),
-        Reference("insurer_nk", payers, "insurer_nk", "insurer_id"),
-        Reference("sent", dates, "date", "date_id", is_date=True),
+        Reference("insurer_nk", materialize(payers, "insurers"), "insurer_nk", "insurer_id"),
+        Reference("sent", materialize(dates, "dates"), "date", "date_id", is_date=True),
     ]
     key = ["order_number", "sent"]
     before = staged.filter("event_type = 'click'").select("order_number", F.col("sent").cast("string").alias("sent")).distinct()

@@ -51,3 +51,10 @@ def test_dq_report_joins_and_resolves_once(spark, root):
     assert "Join Inner, (l_orderkey" not in plan(out)  # the checks read stored rows
     assert {r.check: r.failures for r in out.collect()} == {
         "no_demo": 1, "row_counts": 4, "foreign_keys": 4, "references": 1, "unique_key": 1, "valid_dates": 0, "history": 1, "measure": 1}
+
+
+def test_equipment_load_reads_the_report_once(spark, root):
+    out = registry.queries()["fact_equipment_load"](spark, root)
+    assert "Join Inner, (l_orderkey" not in plan(out)  # the report is stored
+    rows = {r.request_id: (r.quantity, r.change_type) for r in out.collect()}
+    assert rows == {"1-1-1996-01-02": (5.0, "updated"), "1-1-1996-02-03": (1.0, "inserted")}
