@@ -255,9 +255,10 @@ class FactLoad:
             (kind, self.table, int(self.expected.get(kind, Decimal()) != self.found.get(kind, Decimal()))) for kind in ("stored_rows", "checksum", "measure")]
 
 
-def _counted(df: DataFrame, label: str, **metrics: Column) -> tuple[DataFrame, dict]:
+def _counted(df: DataFrame, label: str, where: Column | None = None, **metrics: Column) -> tuple[DataFrame, dict]:
+    """The frame, stored, and metrics of all its rows; with `where`, these rows alone are stored."""
     frame, seen = observed(df, **metrics)
-    return materialize(frame, label), seen.get
+    return materialize(frame if where is None else frame.filter(where), label), seen.get
 
 
 def _sums(pk: Sequence[str], values: Sequence[str], at=F.col) -> dict[str, Column]:
@@ -276,8 +277,8 @@ def merge_fact(run: Run, spec: FactSpec, staged: DataFrame, references: Sequence
     change are written, with a stamp for the inserted and updated facts; a fact
     that the batch repeats unchanged keeps its stamp, so a repeated batch writes
     nothing. The last staged row of a key wins. Where a key fixes its date, as for
-    both facts here, the batch's own months are enough; with `moving`, the months
-    where its keys are stored are looked up first (keys alone are read), and a fact
+    both facts here, the batch's own months are enough; with `moving`, its keys are
+    looked up in all other stored months first (keys alone are read), and a fact
     whose date changed moves. The sums of the fact follow by the signed changes.
     """
     name, pk, attrs = spec.table, list(spec.keys), measures(references)
@@ -289,16 +290,17 @@ def merge_fact(run: Run, spec: FactSpec, staged: DataFrame, references: Sequence
     resolved, n = _counted(resolve_keys(staged, references).withColumns(parts), f"{name}_resolved", valid=F.count_if(~missing), rejected=F.count_if(missing))
     valid, rejects = split_facts(resolved, references, pk, quantity)
     latest = stamp(dedupe_keep_last(valid, pk, order), LOADED_AT, load_ts).select(*pk, *attrs, LOADED_AT, *BY_MONTH)
-    batch, unique = _counted(latest, f"{name}_batch", rows=F.count(F.lit(1)))
+    # not stored: a key's last row meets its stored fact in the task that picked it
+    batch, unique = observed(latest, rows=F.count(F.lit(1)))
     declare_fact(run, spec)
-    near = {tuple(r) for r in batch.select(*BY_MONTH).distinct().collect()}
+    near = {tuple(r) for r in valid.select(*BY_MONTH).distinct().collect()}
     if moving:
-        near |= set(places_of(run.read(name), batch, pk, BY_MONTH))
+        near |= set(places_of(run.read(name, without=near), valid, pk, BY_MONTH))
     kinds = {k: F.count_if(F.col(CHANGE) == k) for k in ("inserted", "updated", "matched")}
-    changed, kind = _counted(fact_changes(run.read(name, near), batch, pk, attrs, BY_MONTH), f"{name}_changes", **kinds)
-    changes = changed.filter(F.col(CHANGE) != "matched")
+    changes, kind = _counted(
+        fact_changes(run.read(name, near), batch, pk, attrs, BY_MONTH), f"{name}_changes", F.col(CHANGE) != "matched", **kinds)
     touched = partitions_touched(changes, BY_MONTH)
-    counts = {"staged": staged.count(), **kind, "superseded": n["valid"] - unique["rows"], "rejected": n["rejected"]}
+    counts = {"staged": staged.count(), **kind, "superseded": n["valid"] - unique.get["rows"], "rejected": n["rejected"]}
     values = [*attrs, *BY_MONTH]
     expected, found = run.sums_of(name, touched), {}
     if touched:

@@ -147,11 +147,11 @@ class Run:
                 out[n] += Decimal(v)
         return out
 
-    def read(self, name: str, touched: Iterable[Sequence] | None = None) -> DataFrame:
-        """A table as this run has it so far; with `touched`, only the files of these partitions."""
+    def read(self, name: str, touched: Iterable[Sequence] | None = None, without: Iterable[Sequence] = ()) -> DataFrame:
+        """A table as this run has it so far; with `touched`, only the files of these partitions, never those of `without`."""
         entry = self.tables[name]
-        only = None if touched is None else {partition_name(entry["by"], values) for values in touched}
-        return _read(self.spark, self.root, name, entry, only)
+        only = set(entry["parts"]) if touched is None else {partition_name(entry["by"], values) for values in touched}
+        return _read(self.spark, self.root, name, entry, only - {partition_name(entry["by"], values) for values in without})
 
     def declare(self, name: str, schema: StructType, partition_cols: Sequence[str] = ()) -> None:
         """Add a table without rows, unless the run has it."""
@@ -208,7 +208,7 @@ def _read(spark: SparkSession, root: str, name: str, entry: dict, only: set[str]
     schema, base = StructType.fromJson(entry["schema"]), f"{root}/tables/{name}"
     paths = [f"{base}/run={run}/{part}".rstrip("/") for part, run in sorted(entry["parts"].items()) if only is None or part in only]
     if not paths:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], schema).limit(0)  # known to be empty when a join with it is planned
     reader = spark.read.schema(schema)
     if entry["by"]:
         return reader.option("basePath", base).parquet(*paths).select(*schema.names)

@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 
 from acequia import registry
 from acequia.functions.values import parse_date
+from acequia.operators.facts import Reference
+from acequia.operators.quality import checksum
+from acequia.plans import loading
 from acequia.registry.scenario import Tables, staged_report
+from acequia.sources import tables as t
 
 
 def plan(df, stage="optimizedPlan"):
@@ -58,3 +62,41 @@ def test_equipment_load_reads_the_report_once(spark, root):
     assert "Join Inner, (l_orderkey" not in plan(out)  # the report is stored
     rows = {r.request_id: (r.quantity, r.change_type) for r in out.collect()}
     assert rows == {"1-1-1996-01-02": (5.0, "updated"), "1-1-1996-02-03": (1.0, "inserted")}
+
+
+def test_a_month_merge_stores_no_batch_and_looks_keys_up_in_other_months_only(spark, tmp_path, monkeypatch):
+    schema = spark.createDataFrame([], "trip string, request_id string, car_id long, quantity double, loaded_at timestamp").schema
+    spec = loading.FactSpec("fact_trip", ("trip",), "day", schema, "sum_trip", ("car_id",))
+    cars = [Reference("car", spark.createDataFrame([("c", 1)], "car string, car_id long"), "car", "car_id")]
+    searched, labels, find, store = [], [], loading.places_of, loading.materialize
+
+    def places(stored, *args):
+        searched.append({(r.year, r.month) for r in stored.select("year", "month").distinct().collect()})
+        return find(stored, *args)
+
+    monkeypatch.setattr(loading, "places_of", places)
+    monkeypatch.setattr(loading, "materialize", lambda df, label: labels.append((label, out := store(df, label))) or out)
+
+    def load(run_id, rows):
+        run = t.Run(spark, str(tmp_path), run_id)
+        data = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "trip string, car string, day string, quantity double, seq int")
+        done = loading.merge_fact(run, spec, data.withColumn("day", F.col("day").cast("date")), cars, f"2024-01-0{run_id}", F.col("quantity"), moving=True)
+        assert not any(n for _, _, n in done.checks())
+        run.publish()
+        return done.counts
+
+    load("1", [("t1", "c", "2023-11-30", 1.0), ("t2", "c", "2023-12-31", 2.0), ("t3", "c", "2024-01-05", 4.0)])
+    # t1 moves, t2 comes twice, t3 brings nothing new, t5 has no car
+    counts = load("2", [("t1", "c", "2024-01-01", 1.0), ("t2", "c", "2023-12-30", 3.0), ("t2", "c", "2023-12-31", 5.0), ("t3", "c", "2024-01-05", 4.0), ("t5", "x", "2024-01-05", 4.0)])
+    assert counts == {"staged": 5, "inserted": 0, "updated": 2, "matched": 1, "superseded": 1, "rejected": 1}
+    assert searched == [set(), {(2023, 11)}]  # the batch's own months are read anyway
+    assert [name for name, _ in labels] == ["fact_trip_resolved", "fact_trip_changes"] * 2
+    assert labels[-1][1].filter("change_type = 'matched'").isEmpty()
+    rows = t.read_published(spark, str(tmp_path), "fact_trip").collect()
+    assert sorted((r.trip, r.year, r.month, r.quantity) for r in rows) == [("t1", 2024, 1, 1.0), ("t2", 2023, 12, 5.0), ("t3", 2024, 1, 4.0)]
+
+
+def test_checksum_is_the_sum_of_the_hashes(spark):
+    rows = spark.range(1000)
+    got = rows.agg(checksum("id").alias("c"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("d")).first()
+    assert got.c == got.d and rows.limit(0).agg(checksum("id")).first()[0] is None
