@@ -45,26 +45,71 @@ def lexicon(texts: DataFrame, band: tuple[float, float] = BAND, slots: int = SLO
     return every.agg(F.transform(rows, lambda x: x["bits"]).alias("lexicon"))
 
 
-def fingerprint(text: Column, bits: Column, slots: int = SLOTS) -> Column:
+def with_memberships(lexicon: DataFrame, slots: int = SLOTS) -> DataFrame:
+    """The lexicon's row with `before`, the number of its slots before each word of the bitmap, and `members`.
+
+    `members` holds for each slot of the lexicon, in order, the subsets that hold
+    it, as bits in the order of `SUBSETS`. So no text hashes its slots for every
+    subset. The work depends on the number of slots alone.
+    """
+    places = [(100 * d + i, (1 << d) - 1) for d, n in SUBSETS.items() for i in range(n)]
+
+    def held(slot: Column) -> Column:
+        out = F.lit(0).cast("long")
+        for k, (seed, mask) in enumerate(places):
+            hit = F.hash(slot, F.lit(seed)).bitwiseAND(F.lit(mask)) == 0
+            out = out.bitwiseOR(F.when(hit, F.lit(1 << k).cast("long")).otherwise(F.lit(0).cast("long")))
+        return out
+
+    word = F.col("word")
+    words = lexicon.select(F.posexplode("lexicon").alias("word", "bits"))
+    known = F.filter(F.sequence(F.lit(0), F.lit(63)), lambda b: F.getbit("bits", b) == 1)
+    words = words.select("word", "bits", F.transform(known, lambda b: held((word * 64 + b).cast("int"))).alias("held"))
+    upto = Window.orderBy("word").rowsBetween(Window.unboundedPreceding, -1)
+    words = words.withColumn("before", F.coalesce(F.sum(F.size("held")).over(upto), F.lit(0)).cast("int"))
+    rows = words.agg(F.sort_array(F.collect_list(F.struct("word", "bits", "before", "held"))).alias("rows"))
+    return rows.select(
+        F.transform("rows", lambda x: x["bits"]).alias("lexicon"), F.transform("rows", lambda x: x["before"]).alias("before"),
+        F.flatten(F.transform("rows", lambda x: x["held"])).alias("members"))
+
+
+def fingerprint(text: Column, bits: Column, before: Column, members: Column, slots: int = SLOTS) -> Column:
     """One hash per random lexicon subset, null where the text has no term of it.
 
-    A last place holds a hash of the whole text if it has no lexicon term at all,
-    so that such texts are alike only when equal.
+    Takes the columns of `with_memberships`. A text's slots are first narrowed to
+    those that any subset of a density holds, which are few for the many sparse
+    subsets. A last place holds a hash of the whole text if it has no lexicon term
+    at all, so that such texts are alike only when equal.
     """
-    subsets = F.array(*[F.struct(F.lit(100 * d + i).alias("seed"), F.lit((1 << d) - 1).alias("mask"))
-                        for d, n in SUBSETS.items() for i in range(n)])
+    def word(slot: Column) -> Column:
+        return F.element_at(bits, F.shiftright(slot, 6) + 1)
 
     def within(slot: Column) -> Column:
-        return F.getbit(F.element_at(bits, F.shiftright(slot, 6) + 1), slot.bitwiseAND(63)) == 1
-
-    def hashed(band: Column) -> Column:
-        each = F.transform(subsets, lambda s: F.nullif(
-            F.xxhash64(F.filter(band, lambda x: F.hash(x, s["seed"]).bitwiseAND(s["mask"]) == 0)), F.lit(_EMPTY)))
-        return F.concat(each, F.array(F.when(F.size(band) == 0, F.xxhash64(text))))
+        return F.getbit(word(slot), slot.bitwiseAND(63)) == 1
+
+    def held(slot: Column) -> Column:
+        lower = F.bitwise_not(F.call_function("shiftleft", F.lit(-1).cast("long"), slot.bitwiseAND(63)))
+        rank = F.element_at(before, F.shiftright(slot, 6) + 1) + F.bit_count(word(slot).bitwiseAND(lower))
+        return F.element_at(members, rank + 1)
+
+    def one_of(first: int, n: int, pairs: Column) -> Column:
+        subsets, any_of = F.array(*[F.lit(k) for k in range(first, first + n)]), F.lit(((1 << n) - 1) << first).cast("long")
+        some = F.filter(pairs, lambda p: p["held"].bitwiseAND(any_of) != 0)
+        found = F.transform(F.array(some), lambda few: F.transform(subsets, lambda k: F.xxhash64(
+            F.transform(F.filter(few, lambda p: F.getbit(p["held"], k) == 1), lambda p: p["slot"]))))
+        return F.transform(F.element_at(found, 1), lambda h: F.when(h != _EMPTY, h))
+
+    def hashed(pairs: Column) -> Column:
+        each, first = [], 0
+        for n in SUBSETS.values():
+            each.append(one_of(first, n, pairs))
+            first += n
+        return F.concat(*each, F.array(F.when(F.size(pairs) == 0, F.xxhash64(text))))
 
     # the one-element arrays bind a value once, or it would be worked out again for every use
-    bands = F.transform(F.array(F.sort_array(F.filter(term_slots(text, slots), within))), hashed)
-    return F.element_at(bands, 1)
+    band = F.sort_array(F.filter(term_slots(text, slots), within))
+    pairs = F.transform(band, lambda x: F.struct(x.alias("slot"), held(x).alias("held")))
+    return F.element_at(F.transform(F.array(pairs), hashed), 1)
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -121,7 +166,7 @@ def fingerprint_documents(docs: DataFrame, band: tuple[float, float] = BAND, slo
     document's fingerprint, 0 to 1).
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    bits = F.broadcast(lexicon(rows, band, slots))
+    bits = F.broadcast(with_memberships(lexicon(rows, band, slots), slots))
     rows = rows.select(
         "*", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), F.xxhash64("text").alias("h"),
         (F.octet_length("text") + 8).cast("long").alias("size"),
@@ -135,7 +180,7 @@ def fingerprint_documents(docs: DataFrame, band: tuple[float, float] = BAND, slo
     texts = paired.select("doc_id", *keys, "place", "ghost", n.cast("long").alias("n_chars"), "text", edited.alias("edited"))
     printed = texts.crossJoin(bits).select(
         "doc_id", *keys, "place", "ghost", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
-        F.transform(F.array("text", "edited"), lambda t: fingerprint(t, F.col("lexicon"), slots)).alias("prints"),
+        F.transform(F.array("text", "edited"), lambda t: fingerprint(t, F.col("lexicon"), F.col("before"), F.col("members"), slots)).alias("prints"),
     )
     own, changed = F.col("prints")[0], F.col("prints")[1]
     known = printed.select("*", F.lag(own).over(in_range(keys)).alias("next"))
