@@ -13,11 +13,13 @@ share recur, and their lines are dropped; a group of copies counts as one docume
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acequia.llm.common import broadcast_if_small
-from acequia.session import materialize
+from acequia.session import discard, materialize
 
 LEADING = 2  # tokens below the token count that choose the leaf
 MIN_DOCUMENTS = 3
@@ -34,26 +36,76 @@ RISK_SHARE = 0.2
 LED_SHARE = 0.05
 PART = 4  # one of so many shingles is compared first; a power of two
 MOST_JUMPS = 40
+# Leaves of at most so many distinct lines and characters are compared line by line in one row, others by joins on nodes.
+LEAF_LINES = 16
+LEAF_CHARS = 1 << 20
 VARIABLE = "<*>"
 
 
-def masked(line: Column) -> Column:
-    """The line's tokens with one space between them, those with a digit masked; most lines need neither step.
+def _even(line: Column) -> Column:
+    """The line's tokens with one space between them; most lines are so.
 
-    The tests before each step are plain searches, which cost far less than the replacements.
+    The tests before the step are plain searches, which cost far less than the replacement.
     """
-    uneven = (F.instr(line, "  ") > 0) | F.startswith(line, F.lit(" ")) | F.endswith(line, F.lit(" ")) | line.rlike(r"[\t\x0b\f\r]")
-    plain = F.when(uneven, F.btrim(F.regexp_replace(line, r"[ \t\x0b\f\r]+", " "))).otherwise(line)
-    return F.when(line.rlike("[0-9]"), F.regexp_replace(plain, "(?<![^ ])[^ 0-9]*+[0-9][^ ]*", VARIABLE)).otherwise(plain)
+    uneven = F.startswith(line, F.lit(" ")) | F.endswith(line, F.lit(" "))
+    for white in ("  ", "\t", "\x0b", "\f", "\r"):
+        uneven |= F.contains(line, F.lit(white))
+    return F.when(uneven, F.btrim(F.regexp_replace(line, r"[ \t\x0b\f\r]+", " "))).otherwise(line)
+
+
+def _spaces(line: Column) -> Column:
+    return F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit("")))
+
+
+def masked(even: Column) -> Column:
+    """The line with its tokens that have a digit masked; the test costs less than the replacement that most lines do not need."""
+    return F.when(even.rlike("[0-9]"), F.regexp_replace(even, "(?<![^ ])[^ 0-9]*+[0-9][^ ]*", VARIABLE)).otherwise(even)
 
 
 def _lines(docs: DataFrame, key: Column, leading: int) -> DataFrame:
-    """Lines that hold anything but white space: (key, line_no, masked, leaf, line)."""
-    each = docs.select(key.alias("key"), F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
-    each = each.select("key", "line_no", F.length("raw").alias("chars"), masked(F.col("raw")).alias("masked")).filter("masked <> ''")
-    spaces = F.length("masked") - F.length(F.replace("masked", F.lit(" "), F.lit("")))
-    leaf = F.xxhash64(spaces, F.substring_index("masked", " ", leading))
-    return each.select("key", "line_no", "masked", "chars", (spaces >= LONG_WORDS).alias("long"), leaf.alias("leaf"), F.xxhash64("masked").alias("line"))
+    """Lines that hold anything but white space: (key, line_no, raw, long, leaf).
+
+    Masking changes no token count, so that the leaf takes only the leading tokens masked.
+    """
+    # the key comes before the lines, or it would be worked out again for each
+    each = docs.select(key.alias("key"), "text").select("key", F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
+    each = each.filter(F.btrim("raw", F.lit(" \t\x0b\f\r")) != "").withColumn("even", _even(F.col("raw")))
+    each = each.select("key", "line_no", "raw", _spaces(F.col("even")).alias("spaces"), F.substring_index("even", " ", leading).alias("head"))
+    return each.select("key", "line_no", "raw", (F.col("spaces") >= LONG_WORDS).alias("long"), F.xxhash64("spaces", masked(F.col("head"))).alias("leaf"))
+
+
+def _nodes_by_joins(distinct: DataFrame, enough: Column) -> DataFrame:
+    """Constants of each line: (leaf, line, tokens, counts, nodes), by joins on all nodes; for leaves of any size.
+
+    A node is a token at its place in a leaf, as one number; variable tokens are none. Lines without constants are left out.
+    """
+    split = distinct.select("leaf", "line", "long", "n", (_spaces(F.col("masked")) + 1).alias("tokens"), "masked")
+    spread = split.select("leaf", "line", "long", "n", "tokens", F.posexplode(F.split("masked", " ")).alias("place", "token"))
+    placed = spread.filter(F.col("token") != VARIABLE).select("leaf", "line", "long", "n", "tokens", F.xxhash64("leaf", "place", "token").alias("node"))
+    constant = materialize(placed.groupBy("long", "node").agg(F.sum("n").alias("n")).filter(enough).select("node", "n"), "constants")
+    return placed.select("leaf", "line", "tokens", "node").join(broadcast_if_small(constant), "node").groupBy("leaf", "line", "tokens").agg(
+        F.collect_list("n").alias("counts"), F.collect_list("node").alias("nodes"))  # at most a line's tokens
+
+
+def _nodes_by_lines(distinct: DataFrame, enough: Callable[[Column], Column]) -> DataFrame:
+    """As `_nodes_by_joins` for leaves of few lines: each is compared with its leaf's others place by place. Counts that are no constants' are null."""
+    leaves = distinct.groupBy("leaf", "long").agg(F.collect_list(F.struct("line", "n", "masked")).alias("lines"))  # at most LEAF_LINES
+
+    def spelled(x: Column) -> Column:
+        nodes = F.transform(F.split(x["masked"], " "), lambda token, place: F.when(token != VARIABLE, F.xxhash64("leaf", place, token)))
+        return F.struct(x["line"].alias("line"), x["n"].alias("n"), nodes.alias("nodes"))
+
+    def documents(node: Column, place: Column) -> Column:
+        held = F.aggregate("lines", F.lit(0).cast("long"), lambda n, y: n + F.when(F.get(y["nodes"], place) == node, y["n"]).otherwise(0))
+        return F.when(node.isNotNull(), held)
+
+    def counted(x: Column) -> Column:
+        counts = F.transform(F.transform(x["nodes"], documents), lambda n: F.when(enough(n), n))
+        return F.struct(x["line"].alias("line"), counts.alias("counts"), x["nodes"].alias("nodes"))
+
+    leaves = leaves.select("leaf", "long", F.transform("lines", spelled).alias("lines"))
+    each = leaves.select("leaf", F.explode(F.transform("lines", counted)).alias("x"))
+    return each.select("leaf", "x.line", F.size("x.nodes").alias("tokens"), "x.counts", "x.nodes")
 
 
 def recurring_lines(docs: DataFrame, key: Column, min_documents: int = MIN_DOCUMENTS,
@@ -63,24 +115,32 @@ def recurring_lines(docs: DataFrame, key: Column, min_documents: int = MIN_DOCUM
     `key` tells documents apart; equal keys count once.
     """
     lines = _lines(docs, key, leading)
-    enough = F.col("n") >= F.when(F.col("long"), F.least(F.lit(min_documents), F.lit(LONG_DOCUMENTS))).otherwise(F.lit(min_documents))
+
+    def frequent_enough(n: Column) -> Column:
+        return n >= F.when(F.col("long"), F.least(F.lit(min_documents), F.lit(LONG_DOCUMENTS))).otherwise(F.lit(min_documents))
+
+    enough = frequent_enough(F.col("n"))
     leaves = (
         lines.select("leaf", "long", "key").distinct().groupBy("leaf", "long").agg(F.count("*").alias("n"))
         .filter(enough).select("leaf")
     )
-    leaves = broadcast_if_small(materialize(leaves, "leaves"))
-    candidates = materialize(lines.join(leaves, "leaf", "left_semi"), "lines", compression="zstd")
+    leaves = materialize(leaves, "leaves")
+    found = lines.join(broadcast_if_small(leaves), "leaf", "left_semi")
+    found = found.select("key", "line_no", F.length("raw").alias("chars"), "long", "leaf", _even(F.col("raw")).alias("even"))
+    found = found.select("key", "line_no", "chars", "long", "leaf", masked(F.col("even")).alias("masked")).withColumn("line", F.xxhash64("masked"))
+    candidates = materialize(found, "lines", compression="zstd")
     # distinct lines with the number of documents that hold them
     held = candidates.select("leaf", "line", "key").distinct().groupBy("leaf", "line").agg(F.count("*").alias("n"))
     texts = candidates.select("leaf", "line", "long", "masked").dropDuplicates(["leaf", "line"])
     distinct = materialize(texts.join(held, ["leaf", "line"]), "distinct_lines", compression="zstd")
-    # a node is a token at its place in a leaf, as one number; variable tokens are none
-    spaces = F.length("masked") - F.length(F.replace("masked", F.lit(" "), F.lit("")))
-    spread = distinct.select("leaf", "line", "long", "n", (spaces + 1).alias("tokens"), F.posexplode(F.split("masked", " ")).alias("place", "token"))
-    placed = spread.filter(F.col("token") != VARIABLE).select("leaf", "line", "long", "n", "tokens", F.xxhash64("leaf", "place", "token").alias("node"))
-    constant = materialize(placed.groupBy("long", "node").agg(F.sum("n").alias("n")).filter(enough).select("node", "n"), "constants")
-    met = placed.select("leaf", "line", "tokens", "node").join(broadcast_if_small(constant), "node").groupBy("leaf", "line", "tokens").agg(
-        F.collect_list("n").alias("counts"), F.collect_list("node").alias("nodes"))  # at most a line's tokens
+    # a leaf's only line has one template, general or its own, and stays out
+    sizes = materialize(distinct.groupBy("leaf").agg(F.count("*").alias("lines"), F.sum(F.length("masked")).alias("chars")).filter("lines > 1").select(
+        "leaf", ((F.col("lines") <= LEAF_LINES) & (F.col("chars") <= LEAF_CHARS)).alias("small")), "leaf_sizes")
+
+    def in_leaves(which: Column) -> DataFrame:
+        return distinct.join(broadcast_if_small(sizes.filter(which).select("leaf")), "leaf", "left_semi")
+
+    met = _nodes_by_lines(in_leaves(F.col("small")), frequent_enough).unionByName(_nodes_by_joins(in_leaves(~F.col("small")), enough))
     # documents of the last constant that the line needs to be a template: all its constants have about as many or more
     needed = F.coalesce(F.get(F.sort_array("counts", asc=False), F.ceil(constant_share * F.col("tokens")).cast("int") - 1), F.lit(0))
 
@@ -99,26 +159,30 @@ def recurring_lines(docs: DataFrame, key: Column, min_documents: int = MIN_DOCUM
         candidates.select("key", "line_no", "chars", "long", "leaf", "line").join(general, ["leaf", "line"], "left")
         .select("key", "line_no", "chars", "long", F.coalesce("template", F.xxhash64("leaf", "line")).alias("template")), "owned"
     )
+    discard(leaves, candidates, distinct, sizes)
     held_by = owned.select("template", "long", "key").distinct().groupBy("template", "long").agg(F.count("*").alias("n"))
     frequent = held_by.filter(enough).select("template")
     # repeated rows give a line several times
     shared = materialize(owned.join(materialize(frequent, "frequent"), "template").dropDuplicates(["key", "line_no"]), "shared")
+    discard(owned)
     classes = copy_classes(docs, shared, key)
     groups = shared.select("template", "long", "key").distinct().join(broadcast_if_small(classes), "key", "left")
     recurring = (
         groups.select("template", "long", F.coalesce("class", "key").alias("class")).distinct().groupBy("template", "long").agg(F.count("*").alias("n"))
         .filter(enough).select("template", F.lit(True).alias("recurs"))
     )
-    found = shared.select("key", "line_no", "template").join(materialize(recurring, "recurring"), "template", "left")
+    recurring = materialize(recurring, "recurring")
+    discard(classes)
+    found = shared.select("key", "line_no", "template").join(recurring, "template", "left")
     return found.select("key", "line_no", F.coalesce("recurs", F.lit(False)).alias("recurs"))
 
 
 def _shingles(text: Column) -> Column:
     """Distinct hashes of a text's runs of SHINGLE_WORDS words; shorter texts are one run."""
-    words = F.split(F.btrim(F.regexp_replace(text, r"\s+", " ")), " ")
-    # the one-element array binds the words once, or they would be split again for every run
+    words = F.transform(F.split(F.btrim(text, F.lit(" \t\n\x0b\f\r")), r"\s+"), lambda w: F.xxhash64(w))
+    # the one-element array binds the words' hashes once, or they would be worked out again for every run; places beyond the end are null
     return F.element_at(F.transform(F.array(words), lambda w: F.array_distinct(F.transform(
-        F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(w) - SHINGLE_WORDS + 1)), lambda i: F.xxhash64(F.slice(w, i, SHINGLE_WORDS))))), 1)
+        F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(w) - SHINGLE_WORDS)), lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(SHINGLE_WORDS)])))), 1)
 
 
 def copy_classes(docs: DataFrame, shared: DataFrame, key: Column) -> DataFrame:
@@ -172,7 +236,9 @@ def copy_classes(docs: DataFrame, shared: DataFrame, key: Column) -> DataFrame:
     else:
         raise RuntimeError("copies did not settle")
     roots = own.join(links.select(F.col("key").alias("first"), "up"), "first", "left").select("key", F.coalesce("up", "first").alias("class"))
-    return materialize(roots.filter("key <> class"), "classes")
+    classes = materialize(roots.filter("key <> class"), "classes")
+    discard(held, texts, first, own, mine, sets)
+    return classes
 
 
 def _marked(docs: DataFrame, found: DataFrame, key: Column) -> DataFrame:
@@ -182,12 +248,13 @@ def _marked(docs: DataFrame, found: DataFrame, key: Column) -> DataFrame:
         F.collect_set(F.when(~F.col("recurs"), F.col("line_no"))).alias("copied"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("text").alias("text"), key.alias("key"))
     lines = F.split("text", "\n")
+    breaks = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit("")))
     none = F.array().cast("array<int>")
     joined = rows.join(marks, "key", "left").withColumns({"drop": F.coalesce("drop", none), "copied": F.coalesce("copied", none)})
     kept = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("drop", i)), "\n")
     return joined.select(
         "doc", F.when(F.size("drop") > 0, kept).otherwise(F.col("text")).alias("text"),
-        F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).alias("n_lines"), F.size("drop").alias("n_recurring"),
+        F.when(F.col("text").isNull(), 0).otherwise(breaks + 1).alias("n_lines"), F.size("drop").alias("n_recurring"),
         ((F.size("copied") > 0) & (F.size("drop") == 0)).alias("whole"),
     )
 

@@ -64,3 +64,20 @@ def materialize(df: DataFrame, label: str, **options: str) -> DataFrame:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*stored: DataFrame) -> None:
+    """Delete the files of frames from `materialize` that nothing reads any more, so that disk does not fill with finished steps.
+
+    Frames that still depend on them can no longer be computed: what follows must be stored first.
+    """
+    for df in stored:
+        spark = df.sparkSession
+        base = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+        files = base.getFileSystem(spark._jsc.hadoopConfiguration())
+        root = files.makeQualified(base)
+        for file in df.inputFiles()[:1]:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
+            if not files.makeQualified(folder.getParent()).equals(root):
+                raise ValueError(f"not stored by materialize: {file}")
+            files.delete(folder, True)

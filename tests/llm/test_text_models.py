@@ -1,6 +1,7 @@
 import hashlib
 import math
 import random
+import tempfile
 from collections import Counter
 
 import numpy as np
@@ -296,3 +297,37 @@ def test_mixture_equals_plain_classifier_and_solver(spark):
     for (doc_id, n, q), want in zip(plain, rate):
         r = got[doc_id, n]
         assert r.posterior == pytest.approx(q.tolist(), rel=1e-9) and r.rate == pytest.approx(want, rel=1e-6, abs=1e-9)
+
+
+def test_leaves_of_few_and_many_lines_agree(spark, monkeypatch):
+    import acequia.llm.line_templates as t
+
+    rng = random.Random(9)
+    filler = "the office sends this note to all members of the house and asks for".split()
+    # leaves of 1 to 9 distinct lines that vary in some words
+    rows = [(i, "\n".join(" ".join([f"lead{'abcdefghi'[j]}", "note", *[w if rng.random() < 0.85 else rng.choice(filler) for w in filler], f"n{i}"])
+                          for j in range(9) if i <= j * 2 + 2)) for i in range(20)]
+
+    def found():
+        return sorted(tuple(r) for r in t.recurring_lines(documents(spark, rows), content_key()).collect())
+
+    by_lines = found()
+    monkeypatch.setattr(t, "LEAF_LINES", 1)
+    assert by_lines and found() == by_lines
+
+
+def test_line_dedup_leaves_no_finished_steps_on_disk(spark):
+    from pathlib import Path
+
+    from acequia.session import discard, shared_dir
+
+    rows = [(i, f"a notice that many of the documents hold\nown {'abcdef'[i]}") for i in range(6)]
+    base = Path(shared_dir(spark).removeprefix("file:"))
+    before = set(base.iterdir())
+    assert drop_recurring_lines(documents(spark, rows), content_key()).filter("n_recurring = 1").count() == 6
+    left = {p.name.rsplit("-", 1)[0] for p in set(base.iterdir()) - before}
+    assert left.isdisjoint({"leaves", "lines", "distinct_lines", "leaf_sizes", "owned", "held", "at_risk", "shingles", "classes"}) and "shared" in left
+    other = tempfile.mkdtemp(prefix="other-")
+    spark.range(1).write.mode("overwrite").parquet(f"{other}/t")
+    with pytest.raises(ValueError):
+        discard(spark.read.parquet(f"{other}/t"))
