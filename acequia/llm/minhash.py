@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acequia.llm.common import broadcast_if_small, components, lean
-from acequia.session import materialize
+from acequia.session import discard, materialize
 
 WORDS = re.compile(rb"[^\x20\x09-\x0d]+")
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -215,6 +215,7 @@ def minhash_components(docs: DataFrame, shingle_words: int = 5, percent: int = 8
     ids = classes.select("class", F.col("doc_id").alias("least")).join(roots.withColumnRenamed("node", "class"), "class", "left")
     ids = ids.select(F.coalesce("root", "class").alias("root"), "class", "least").join(groups, "root", "left")
     ids = materialize(ids.select("class", F.coalesce("top", "root").alias("root"), "least"), "ids")
+    discard(tables, ends, first, sets, links, placed, late)
     least = ids.groupBy("root").agg(F.min("least").alias("component_id"))
     found = ids.join(least, "root").select("class", "component_id")
     component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
@@ -251,7 +252,9 @@ def _links_in_blocks(placed: DataFrame, sets: DataFrame, percent: int) -> DataFr
     met = materialize(ids.join(other, "pool").filter((F.col("block") <= F.col("other")) & near).select("block", "other"), "block_pairs")
     bodies = blocks.select(F.col("block").alias("other"), F.col("body").alias("other_body"))
     both = met.join(blocks, "block").join(bodies, "other").select("body", "other_body", (F.col("block") == F.col("other")).alias("same"))
-    return materialize(both.mapInPandas(lean(_linked_blocks(percent)), "a bigint, b bigint"), "late_links")
+    late = materialize(both.mapInPandas(lean(_linked_blocks(percent)), "a bigint, b bigint"), "late_links")
+    discard(blocks, met)
+    return late
 
 
 def _blocked(frame: pd.DataFrame) -> pd.DataFrame:

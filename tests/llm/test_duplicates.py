@@ -133,3 +133,17 @@ def test_vectors_equal_brute_force(spark):
     assert sorted(got, key=str) == sorted(want, key=str)
     assert vector_components(frame.limit(0)).count() == 0
     assert vector_components(frame.filter("embedding is null")).count() == 2
+
+
+def test_near_dedup_leaves_no_finished_steps_on_disk(spark):
+    from pathlib import Path
+
+    from acequia.session import shared_dir
+
+    rows = [(i, words("w", 40) + f" end{i}") for i in range(6)] + [(9, words("other", 30))]
+    base = Path(shared_dir(spark).removeprefix("file:"))
+    before = set(base.iterdir())
+    found = minhash_components(documents(spark, rows))
+    left = {p.name.rsplit("-", 1)[0] for p in set(base.iterdir()) - before}
+    assert left.isdisjoint({"tables", "ends", "pairs", "sets", "links", "open", "blocks", "block_pairs", "late_links"}) and {"signed", "ids"} <= left
+    assert sorted((r.doc_id, r.component_id) for r in found.collect()) == [(i, 0) for i in range(6)] + [(9, 9)]
